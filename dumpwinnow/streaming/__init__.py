@@ -1,0 +1,2 @@
+"""Left empty on purpose: every input is a complete, bounded dump, so no operator of this
+engine consumes a stream."""
