@@ -20,10 +20,7 @@ NAMED_ESCAPES = (
 NUMERIC_ESCAPE = r"\\[0-7xX]"
 # One escape or one run of plain characters per piece.
 PIECES = r"(?s)\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}|\\.|[^\\]+"
-# An unescaped end-of-data mark; pairs of backslashes before it are data.
-END_MARK = r"(?s)^(?:[^\\]|\\[^.])*\\\."
-# An odd number of backslashes at the end would swallow the delimiter that follows.
-DANGLING = r"(?s)^(?:[^\\]|\\.)*\\$"
+END_MARK = "\\."
 
 # Stands for an escaped backslash while the other escapes are replaced; a NUL cannot occur
 # in valid input.
@@ -99,9 +96,15 @@ def encode_line(*fields: Column) -> Column:
 
 
 def malformed(raw: Column) -> Column:
-    """True where the raw field holds an end-of-data mark or a dangling backslash."""
-    return (F.instr(raw, F.lit("\\")) > 0) & (raw != NULL_MARKER) & (
-        raw.rlike(END_MARK) | raw.rlike(DANGLING)
+    """True where the raw field holds an end-of-data mark, or ends in a lone backslash that
+    would swallow the delimiter after it."""
+
+    def unpaired(rest: Column) -> Column:
+        return F.contains(rest, F.lit(END_MARK)) | rest.endswith("\\")
+
+    without_pairs = F.replace(raw, F.lit("\\\\"), F.lit(""))
+    return (F.instr(raw, F.lit("\\")) > 0) & (raw != NULL_MARKER) & _bind(
+        without_pairs, unpaired
     )
 
 

@@ -65,7 +65,7 @@ def distinct_names(table: DataFrame, name: str) -> DataFrame:
     return (
         table.select(F.coalesce(F.lower(name), F.lit("")).alias("name_key"))
         .distinct()
-        .repartition(parts, "name_key")
+        .repartition(parts, F.xxhash64("name_key"))
         .select("name_key", trigram_codes("name_key").alias("grams"))
     )
 

@@ -53,6 +53,22 @@ def check_rules(rules: Iterable[KeepRule]) -> None:
         done.add(rule.table)
 
 
+def rules_for(rules: Iterable[KeepRule], targets: Iterable[str]) -> tuple[KeepRule, ...]:
+    """The rules that the given tables depend on, in order."""
+    rules = tuple(rules)
+    needed = set(targets)
+    for rule in reversed(rules):
+        if rule.table in needed:
+            needed.update(w.table for w in rule.wanted if w.kept)
+    return tuple(rule for rule in rules if rule.table in needed)
+
+
+def tables_for(rules: Iterable[KeepRule]) -> set[str]:
+    """The tables that rules read."""
+    rules = tuple(rules)
+    return {r.table for r in rules} | {w.table for r in rules for w in r.wanted if not w.kept}
+
+
 def _wanted_keys(
     rule: KeepRule, tables: Mapping[str, DataFrame], kept: Mapping[str, DataFrame]
 ) -> DataFrame:

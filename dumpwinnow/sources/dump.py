@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpwinnow.functions.copytext import NULL_MARKER, decode_field, malformed, try_typed
+from dumpwinnow.functions.copytext import decode_field, malformed, try_typed
 from dumpwinnow.sources.files import path_exists
 from dumpwinnow.sources.specs import LOADED_TABLES, TableSpec
 
@@ -40,14 +40,6 @@ def _without_carriage_return(value: Column) -> Column:
     ).otherwise(value)
 
 
-def _required(spec: TableSpec, column: str) -> bool:
-    return column in spec.required_columns
-
-
-def _raw_fields(spec: TableSpec) -> list[Column]:
-    return [F.get("fields", F.lit(c.position)).alias(f"raw_{c.name}") for c in spec.columns]
-
-
 def parse_lines(lines: DataFrame, spec: TableSpec, mode: str = STRICT) -> ParsedTable:
     """Project, decode and type the fields a spec selects from a ``value`` column.
 
@@ -58,80 +50,89 @@ def parse_lines(lines: DataFrame, spec: TableSpec, mode: str = STRICT) -> Parsed
     if mode not in (STRICT, TOLERANT):
         raise ValueError(f"unknown mode {mode!r}")
     checked = F.validate_utf8("value") if mode == STRICT else F.col("value")
+    # A generator column is computed once; a plain one would be split again for every filter
+    # that the optimizer pushes below the projection.
     fields = lines.select(
         F.col("value"),
-        F.split(_without_carriage_return(checked), "\t", -1).alias("fields"),
+        F.explode(F.array(F.split(_without_carriage_return(checked), "\t", -1))).alias("fields"),
     )
     short = F.size("fields") <= spec.last_position
+    # The selected fields are decoded as one array: the decoding appears once in the plan
+    # and the generated code of wide tables stays small enough to be compiled.
+    selected = F.array(*[F.get("fields", F.lit(p)) for p in spec.positions])
     if mode == STRICT:
-        rows = (
-            fields.filter(~short)
-            .select(*_raw_fields(spec))
-            .select(*[_strict_column(spec, c).alias(c.name) for c in spec.columns])
+        rows = fields.filter(~short).select(
+            F.transform(selected, lambda raw: _decode_or_fail(spec, raw)).alias("values")
         )
-        rejects = fields.filter(short).select(
-            F.col("value").alias("line"), F.lit(SHORT_ROW).alias("reason")
+        return ParsedTable(
+            rows.select(*[_strict(spec, i).alias(c.name) for i, c in enumerate(spec.columns)]),
+            fields.filter(short).select(
+                F.col("value").alias("line"), F.lit(SHORT_ROW).alias("reason")
+            ),
         )
-        return ParsedTable(rows, rejects)
 
-    raw = fields.select(
+    decoded = fields.select(
         "value",
         short.alias("short"),
         F.is_valid_utf8("value").alias("valid"),
-        *_raw_fields(spec),
-    )
-    typed = raw.select(
-        "value",
-        "short",
-        "valid",
-        F.coalesce(*[_problem(spec, c) for c in spec.columns]).alias("problem"),
-        *[_value(c).alias(c.name) for c in spec.columns],
+        F.transform(selected, malformed).alias("malformed"),
+        F.transform(selected, decode_field).alias("values"),
     )
     reason = (
         F.when(F.col("short"), F.lit(SHORT_ROW))
         .when(~F.col("valid"), F.lit("invalid utf-8"))
-        .otherwise(F.col("problem"))
+        .otherwise(F.coalesce(*[_problem(spec, i) for i in range(len(spec.columns))]))
     )
-    judged = typed.withColumn("reason", reason)
+    judged = decoded.select("value", "values", reason.alias("reason"))
+    typed = [_typed(spec, i).alias(c.name) for i, c in enumerate(spec.columns)]
     return ParsedTable(
-        rows=judged.filter("reason IS NULL").select(*spec.column_names),
+        rows=judged.filter("reason IS NULL").select(*typed),
         rejects=judged.filter("reason IS NOT NULL").select(F.col("value").alias("line"), "reason"),
     )
 
 
-def _value(column) -> Column:
-    return try_typed(decode_field(F.col(f"raw_{column.name}")), column.type)
+def _typed(spec: TableSpec, i: int) -> Column:
+    return try_typed(F.get("values", F.lit(i)), spec.columns[i].type)
 
 
-def _problem(spec: TableSpec, column) -> Column:
-    """Reason text when the field cannot be loaded, else NULL."""
-    raw = F.col(f"raw_{column.name}")
-    is_null = raw == NULL_MARKER
-    problem = F.when(malformed(raw), F.lit(f"malformed escape: {column.name}"))
-    if _required(spec, column.name):
-        problem = problem.when(is_null, F.lit(f"missing value: {column.name}"))
-    if column.type != "text":
-        problem = problem.when(
-            ~is_null & _value(column).isNull(), F.lit(f"bad value: {column.name}")
-        )
-    return problem
+def _fail(spec: TableSpec, what: str, shown: Column | None = None) -> Column:
+    message = F.lit(f"{spec.table}: {what}")
+    return F.raise_error(message if shown is None else F.concat(message, F.lit(": "), shown))
+
+
+def _decode_or_fail(spec: TableSpec, raw: Column) -> Column:
+    bad = _fail(spec, "malformed escape", raw).cast("string")
+    return F.when(malformed(raw), bad).otherwise(decode_field(raw))
 
 
-def _strict_column(spec: TableSpec, column) -> Column:
+def _strict(spec: TableSpec, i: int) -> Column:
     """The field's value, or an expression that fails the task with what was wrong."""
-    raw = F.col(f"raw_{column.name}")
+    column = spec.columns[i]
+    value, text = _typed(spec, i), F.get("values", F.lit(i))
+    spark_type = spec.schema[column.name].dataType
+    attempts = [value]
+    if column.type != "text":
+        bad = _fail(spec, f"bad value for {column.name}", text).cast(spark_type)
+        attempts.append(F.when(text.isNotNull(), bad))
+    if column.name in spec.required_columns:
+        attempts.append(_fail(spec, f"missing value for {column.name}").cast(spark_type))
+    return F.coalesce(*attempts) if len(attempts) > 1 else value
 
-    def fail(what: str) -> Column:
-        message = F.concat(F.lit(f"{spec.table}.{column.name}: {what}: "), raw)
-        return F.raise_error(message).cast(spec.schema[column.name].dataType)
 
-    value = _value(column)
+def _problem(spec: TableSpec, i: int) -> Column:
+    """Reason text when the field cannot be loaded, else NULL."""
+    column = spec.columns[i]
+    text = F.get("values", F.lit(i))
+    problem = F.when(
+        F.get("malformed", F.lit(i)), F.lit(f"malformed escape: {column.name}")
+    )
+    if column.name in spec.required_columns:
+        problem = problem.when(text.isNull(), F.lit(f"missing value: {column.name}"))
     if column.type != "text":
-        value = F.coalesce(value, fail("bad value"))
-    missing = fail("missing value") if _required(spec, column.name) else F.lit(None)
-    return F.when(raw == NULL_MARKER, missing).when(
-        malformed(raw), fail("malformed escape")
-    ).otherwise(value)
+        problem = problem.when(
+            text.isNotNull() & _typed(spec, i).isNull(), F.lit(f"bad value: {column.name}")
+        )
+    return problem
 
 
 def _empty(spark: SparkSession, spec: TableSpec) -> ParsedTable:
