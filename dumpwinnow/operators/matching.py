@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dumpwinnow.functions.normalize import normalize_name
+from dumpwinnow.functions.once import once
 from dumpwinnow.operators.keyjoin import KEY, keep_by_keys
 
 STRICT = "strict"
@@ -29,13 +30,13 @@ def library_keys(
     if mode == STRICT:
         name = F.coalesce(name, F.raise_error(F.lit("library name is NULL")).cast("string"))
     names = library.select(name.alias(column)).filter(F.col(column) != "").distinct()
-    keys = names.select(normalize_name(column).alias(KEY)).distinct()
+    keys = names.select(once(normalize_name(column)).alias(KEY)).distinct()
     return keys.filter(F.col(KEY) != "") if drop_blank else keys
 
 
 def name_candidates(table: DataFrame, entity: str, name: str = "name") -> DataFrame:
     """(entity, normalized name) of every row; the scan reads these two columns."""
-    return table.select(F.col(entity).alias("entity"), normalize_name(name).alias("name_key"))
+    return table.select(F.col(entity).alias("entity"), once(normalize_name(name)).alias("name_key"))
 
 
 def match_rows(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpwinnow.functions.copytext import decode_field, malformed, try_typed
+from dumpwinnow.functions.once import once
 from dumpwinnow.sources.files import path_exists
 from dumpwinnow.sources.specs import LOADED_TABLES, TableSpec
 
@@ -50,11 +51,9 @@ def parse_lines(lines: DataFrame, spec: TableSpec, mode: str = STRICT) -> Parsed
     if mode not in (STRICT, TOLERANT):
         raise ValueError(f"unknown mode {mode!r}")
     checked = F.validate_utf8("value") if mode == STRICT else F.col("value")
-    # A generator column is computed once; a plain one would be split again for every filter
-    # that the optimizer pushes below the projection.
     fields = lines.select(
         F.col("value"),
-        F.explode(F.array(F.split(_without_carriage_return(checked), "\t", -1))).alias("fields"),
+        once(F.split(_without_carriage_return(checked), "\t", -1)).alias("fields"),
     )
     short = F.size("fields") <= spec.last_position
     # The selected fields are decoded as one array: the decoding appears once in the plan

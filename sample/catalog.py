@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpwinnow.functions.copytext import encode_line
+from dumpwinnow.functions.once import once
 from dumpwinnow.sources.specs import LOADED_TABLES, TableSpec, spec_for
 
 CATALOG_SQL: dict[str, str] = {
@@ -139,7 +140,7 @@ def to_lines(rows: DataFrame, spec: TableSpec) -> DataFrame:
         if column.type == "uuid":
             value = F.concat(F.lit("{"), F.upper(value), F.lit("}"))
         fields[column.position] = value
-    return rows.select(F.explode(F.array(encode_line(*fields))).alias("value"))
+    return rows.select(once(encode_line(*fields)).alias("value"))
 
 
 def dump_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
