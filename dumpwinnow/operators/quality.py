@@ -137,13 +137,22 @@ def compare_sizes(before: DataFrame, after: DataFrame) -> DataFrame:
 # -- profile ---------------------------------------------------------------------------
 
 
+def _distinct_sketch(column: Column, type_name: str) -> Column:
+    """Approximate distinct count from a sketch held as one binary buffer per column."""
+    if type_name in ("boolean", "tinyint", "smallint"):
+        column = column.cast("int")
+    elif type_name not in ("int", "bigint", "string"):
+        column = column.cast("string")
+    return F.hll_sketch_estimate(F.hll_sketch_agg(column))
+
+
 def profile(table: DataFrame, name: str, exact_distinct: bool = False) -> DataFrame:
     """(table, column, rows, nulls, distinct, min, max) per column; min and max as text.
 
     Distinct counts are sketches gathered in the same single pass.  ``exact_distinct``
     counts (column, value) pairs with map-side aggregation instead.
     """
-    columns = table.columns
+    columns, types = table.columns, dict(table.dtypes)
 
     def statistics(c: str) -> Column:
         column = F.col(c)
@@ -151,7 +160,7 @@ def profile(table: DataFrame, name: str, exact_distinct: bool = False) -> DataFr
             F.lit(c).alias("column"),
             F.count(F.lit(1)).alias("rows"),
             F.count_if(column.isNull()).alias("nulls"),
-            F.approx_count_distinct(column).alias("distinct"),
+            _distinct_sketch(column, types[c]).alias("distinct"),
             F.min(column).cast("string").alias("min"),
             F.max(column).cast("string").alias("max"),
         )
