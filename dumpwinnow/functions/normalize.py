@@ -67,6 +67,8 @@ def folding_tables() -> FoldingTables:
         if 0xD800 <= code <= 0xDFFF or HANGUL_FIRST <= code <= HANGUL_LAST:
             continue
         char = chr(code)
+        if not unicodedata.decomposition(char) and not unicodedata.combining(char):
+            continue
         folded = strip_marks(char)
         if folded == char:
             continue
