@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import suffix_dedup
+from . import substring, suffix_dedup, superminhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return superminhash.near_duplicates(docs, shingle=3, percent=85)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -25,8 +30,19 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring.remove_windows(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["high"] - x["low"])
+    return rows.select(
+        "doc_id",
+        "n_words",
+        gone.alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_suffix_dedup,)}
+    return {f.__name__: f for f in (op2_superminhash, op7_suffix_dedup, op9_substring_dedup)}
 
 
 def all_oracles() -> dict[str, str]:

@@ -11,7 +11,8 @@ a suffix that is alone in its bucket after a pass leaves the sort.
 2. Second digit: all bytes that the run's suffixes cover.  Runs equal here are repeats in
    whole, and one of them stands for all in the last pass.
 3. Last digit: the `size` bytes of each suffix, only in buckets where different runs are left.
-   Equal groups are exactly the repeated strings.
+   Equal groups are exactly the repeated strings.  A bucket of few runs is sorted where it is
+   gathered; the suffixes of a large one are shuffled by the digit.
 
 Digits are compared by hashes of 64 bits each; a group is equal in two of them.
 """
@@ -30,15 +31,21 @@ from .text import (
     Rolling,
     anchored_runs,
     byte_values,
+    covered,
+    cut,
     expand,
     flat,
-    merge_spans,
+    mix,
     portions,
     signed,
+    spans_of,
 )
 
 SIZE = 400
 CORE = 200
+#: Different runs of a bucket that one task sorts; suffixes of larger buckets are dealt out by
+#: their last digit instead.
+GATHERED = 256
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -49,6 +56,19 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
 
+def core_rows(size: int, core: int):
+    """Task: texts to the anchor of each run of suffixes."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in portions(batch["text"]):
+                grams = Rolling(byte_values(part.data)).windows(core)
+                runs = anchored_runs(grams, part.offsets, size, core)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(grams[runs.anchor]))], ["core"])
+
+    return task
+
+
 def run_rows(size: int, core: int):
     """Task: texts to runs of suffixes, with the first two digits."""
 
@@ -77,28 +97,84 @@ def run_rows(size: int, core: int):
     return task
 
 
+def piece_rows(size: int):
+    """Task: texts with the runs asked of them to the bytes of each run."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = flat(batch["text"])
+            row = np.repeat(np.arange(batch.num_rows), batch["asked"].value_lengths().to_numpy())
+            core, low, high = (batch["asked"].flatten().field(k).to_numpy() for k in range(3))
+            begin = offsets[row] + low
+            end = offsets[row] + high + size
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(core),
+                    pa.array(batch["key"].to_numpy()[row]),
+                    pa.array(low),
+                    pa.array([data[a:b].tobytes() for a, b in zip(begin, end, strict=True)], pa.binary()),
+                ],
+                ["core", "key", "low", "bytes"],
+            )
+
+    return task
+
+
+def sorted_buckets(size: int):
+    """Task: pieces ordered by core to the spans of suffixes that are equal in `size` bytes."""
+
+    def repeats(pieces: pa.Table) -> pa.RecordBatch:
+        data, offsets = flat(pieces["bytes"])
+        at, which = expand(offsets[:-1], offsets[1:] - size)
+        digits = Rolling(byte_values(data)).stretch(at, at + size)
+        digits ^= mix(pieces["core"].to_numpy().view(np.uint64))[which]
+        _, group, counts = np.unique(digits, return_inverse=True, return_counts=True)
+        again = np.zeros(len(data), bool)
+        again[at] = counts[group] > 1
+        spans = spans_of(again, offsets)
+        row = np.repeat(np.arange(len(spans)), spans.value_lengths().to_numpy())
+        low = pieces["low"].to_numpy()[row]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(pieces["key"].to_numpy()[row]),
+                pa.array((low + spans.flatten().field(0).to_numpy()).astype(np.int32)),
+                pa.array((low + spans.flatten().field(1).to_numpy() - 1 + size).astype(np.int32)),
+            ],
+            ["key", "low", "high"],
+        )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if left is None else pa.concat_tables([left, rows]).combine_chunks()
+            cores = rows["core"].to_numpy()
+            ended = int(np.flatnonzero(cores != cores[-1])[-1]) + 1 if (cores != cores[-1]).any() else 0
+            if ended:
+                yield repeats(rows.slice(0, ended))
+            left = rows.slice(ended)
+        if left is not None:
+            yield repeats(left)
+
+    return task
+
+
 def suffix_rows(size: int):
-    """Task: texts with the runs asked of them to one row for each suffix."""
+    """Task: pieces to one row for each suffix."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch["key"].to_numpy()
-            asked = batch["asked"]
-            for part in portions(batch["text"]):
-                own = asked.slice(part.low, part.high - part.low)
-                row = np.repeat(np.arange(len(own)), own.value_lengths().to_numpy())
-                runs = own.flatten()
-                core, low, high = (runs.field(k).to_numpy() for k in range(3))
-                at, which = expand(low, high)
-                hashes = Rolling(byte_values(part.data))
-                begin = at + part.offsets[row[which]]
-                digits = hashes.stretch(begin, begin + size)
+            for part in portions(batch["bytes"]):
+                rows = slice(part.low, part.high)
+                at, which = expand(part.offsets[:-1], part.offsets[1:] - size)
+                digits = Rolling(byte_values(part.data)).stretch(at, at + size)
+                place = batch["low"].to_numpy()[rows][which] + at - part.offsets[which]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(core[which]),
+                        pa.array(batch["core"].to_numpy()[rows][which]),
                         pa.array(signed(digits)),
-                        pa.array(keys[part.low : part.high][row[which]]),
-                        pa.array(at.astype(np.int32)),
+                        pa.array(batch["key"].to_numpy()[rows][which]),
+                        pa.array(place.astype(np.int32)),
                     ],
                     ["core", "digits", "key", "at"],
                 )
@@ -108,35 +184,19 @@ def suffix_rows(size: int):
 
 def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: merge the spans of each text and cut them out."""
-    span = pa.struct([("low", pa.int32()), ("high", pa.int32())])
     for batch in batches:
-        data, offsets = flat(batch["text"])
-        spans = batch["spans"]
-        counts = spans.value_lengths().fill_null(0).to_numpy()
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        fields = spans.flatten()
-        lows, highs = (fields.field(k).to_numpy() for k in range(2))
-        merged: list[list[dict]] = []
-        kept: list[bytes] = []
-        for k in range(batch.num_rows):
-            text = data[offsets[k] : offsets[k + 1]]
-            low, high = merge_spans(lows[ends[k] : ends[k + 1]], highs[ends[k] : ends[k + 1]])
-            if len(low):
-                keep = np.ones(len(text), bool)
-                for a, b in zip(low, high, strict=True):
-                    keep[a:b] = False
-                text = text[keep]
-            merged.append([{"low": a, "high": b} for a, b in zip(low.tolist(), high.tolist(), strict=True)])
-            kept.append(text.tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["doc_id"],
-                pa.array(np.diff(offsets)),
-                pa.array(merged, pa.list_(span)),
-                pa.array(kept, pa.binary()),
-            ],
-            ["doc_id", "n_bytes", "removed", "kept"],
-        )
+        for part in portions(batch["text"]):
+            rows = slice(part.low, part.high)
+            gone = covered(batch["spans"][rows], part.offsets)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["doc_id"][rows],
+                    pa.array(np.diff(part.offsets)),
+                    spans_of(gone, part.offsets),
+                    cut(part.data, ~gone, part.offsets),
+                ],
+                ["doc_id", "n_bytes", "removed", "kept"],
+            )
 
 
 def remove_repeats(
@@ -151,10 +211,20 @@ def remove_repeats(
     Columns of `docs` other than the two named are ignored.
     """
     texts = keyed(docs, doc_id, text)
+    seen = (
+        texts.select("text")
+        .mapInArrow(core_rows(size, core), "core long")
+        .groupBy("core")
+        .agg(F.count("*").alias("n"))
+        .where("n > 1")
+        .select("core")
+    )
     runs = written(
-        texts.select("key", "text").mapInArrow(
+        texts.select("key", "text")
+        .mapInArrow(
             run_rows(size, core), "core long, whole long, key long, low int, high int"
         )
+        .join(seen, "core", "left_semi")
     )
     wholes = runs.groupBy("core", "whole").agg(
         F.count("*").alias("copies"), F.min(F.struct("key", "low", "high")).alias("one")
@@ -164,14 +234,29 @@ def remove_repeats(
         wholes.groupBy("core")
         .agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest"))
         .where("kinds > 1 and fewest = 1")
-        .select("core")
+        .select("core", (F.col("kinds") > GATHERED).alias("crowded"))
     )
-    asked = (
-        wholes.join(mixed, "core", "left_semi")
-        .groupBy(F.col("one.key").alias("key"))
-        .agg(F.collect_list(F.struct("core", "one.low", "one.high")).alias("asked"))
+    ones = written(
+        wholes.join(mixed, "core").select("core", "crowded", "one.key", "one.low", "one.high")
+    )
+
+    def pieces(of: str) -> DataFrame:
+        asked = (
+            ones.where(of)
+            .groupBy("key")
+            .agg(F.collect_list(F.struct("core", "low", "high")).alias("asked"))
+        )
+        return texts.join(asked, "key").select("key", "text", "asked").mapInArrow(
+            piece_rows(size), "core long, key long, low int, bytes binary"
+        )
+
+    sorted_ = (
+        pieces("not crowded")
+        .repartition("core")
+        .sortWithinPartitions("core")
+        .mapInArrow(sorted_buckets(size), "key long, low int, high int")
     )
-    suffixes = texts.join(asked, "key").select("key", "text", "asked").mapInArrow(
+    suffixes = pieces("crowded").mapInArrow(
         suffix_rows(size), "core long, digits long, key long, at int"
     )
     equal = (
@@ -187,7 +272,8 @@ def remove_repeats(
         wholes.where("copies > 1").select("core", "whole"), ["core", "whole"], "left_semi"
     ).select("key", "low", (F.col("high") + size).alias("high"))
     spans = (
-        whole.unionByName(single)
+        whole.unionByName(sorted_)
+        .unionByName(single)
         .groupBy("key")
         .agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     )

@@ -193,18 +193,54 @@ def expand(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(before[-1]) - before[which] + low[which], which
 
 
-def merge_spans(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Union of half-open spans as maximal ones, in order; touching spans become one."""
-    if not len(low):
-        return low, high
-    order = np.argsort(low, kind="stable")
-    low, reach = low[order], np.maximum.accumulate(high[order])
-    new = np.ones(len(low), bool)
-    new[1:] = low[1:] > reach[:-1]
-    head = np.flatnonzero(new)
-    return low[head], reach[np.append(head[1:], len(low)) - 1]
-
-
 def signed(values: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's long."""
     return values.astype(U64, copy=False).view(np.int64)
+
+
+def covered(spans: pa.ListArray, first: np.ndarray) -> np.ndarray:
+    """For each unit of a portion whether a span of its row covers it.
+
+    `spans` holds structs of low and high (half-open, counted from the row's start).
+    """
+    change = np.zeros(first[-1] + 1, np.int32)
+    row = np.repeat(np.arange(len(spans)), spans.value_lengths().fill_null(0).to_numpy())
+    if len(row):
+        fields = spans.flatten()
+        np.add.at(change, first[row] + fields.field(0).to_numpy(), 1)
+        np.add.at(change, first[row] + fields.field(1).to_numpy(), -1)
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
+
+
+def spans_of(marked: np.ndarray, first: np.ndarray) -> pa.ListArray:
+    """The maximal marked stretches of each row, as lists of low and high."""
+    words = find_words(marked.view(np.uint8), first, np.arange(256) > 0)
+    base = first[words.row()]
+    fields = [
+        pa.array((words.begin - base).astype(np.int32)),
+        pa.array((words.end - base).astype(np.int32)),
+    ]
+    return pa.ListArray.from_arrays(
+        pa.array(words.first.astype(np.int32)), pa.StructArray.from_arrays(fields, ["low", "high"])
+    )
+
+
+def cut(data: np.ndarray, keep: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary column of the kept bytes of each row."""
+    ends = np.concatenate([[0], np.cumsum(keep)])[offsets].astype(np.int64)
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data[keep])]
+    ).cast(pa.binary())
+
+
+def join_words(data: np.ndarray, words: Words, keep: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """String column of the kept words of each row, joined by one space."""
+    row, kept = words.row(), np.flatnonzero(keep)
+    more = np.zeros(len(kept), np.int64)  # another kept word of the row follows
+    more[:-1] = row[kept][1:] == row[kept][:-1]
+    change = np.zeros(len(data) + 1, np.int8)
+    change[words.begin[kept]] += 1
+    change[words.end[kept] + more] -= 1
+    spaced = data.copy()
+    spaced[words.end[kept][more > 0]] = 0x20
+    return cut(spaced, np.cumsum(change[:-1], dtype=np.int8) > 0, offsets).cast(pa.string())
