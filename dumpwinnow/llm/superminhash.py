@@ -200,7 +200,7 @@ def find_links(buckets: DataFrame, sets: DataFrame, percent: int, rounds: int =
     pairs = (
         held.withColumnsRenamed({"node": "a", "n": "n_a"})
         .join(other, "bucket")
-        .where((F.col("a") < F.col("b")) & (F.col("root") <> F.col("root_b")))
+        .where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")))
     )
     found = written(confirmed(pairs, sets, percent))
     return components(links.unionByName(found))
