@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substring, suffix_dedup, superminhash
+from . import decontaminate, quality_rules, substring, suffix_dedup, superminhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,27 @@ def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(docs, shingle=3, percent=85)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.judged(decontaminate.find_items(docs, items)).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.quality_rules(docs, labels)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -42,7 +63,15 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_superminhash, op7_suffix_dedup, op9_substring_dedup)}
+    found = (
+        op2_superminhash,
+        op4_decontaminate,
+        op5_warc_revisits,
+        op6_quality_rules,
+        op7_suffix_dedup,
+        op9_substring_dedup,
+    )
+    return {f.__name__: f for f in found}
 
 
 def all_oracles() -> dict[str, str]:
