@@ -22,8 +22,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import carried_columns, carried_schema, keyed
 from .scratch import written
-from .suffix_dedup import keyed
 from .text import (
     ALPHANUMERIC,
     LOWER,
@@ -203,6 +203,7 @@ def hit_rows(broadcast: Broadcast):
                 row, item = np.divmod(pairs, len(index.names) + 1)
                 ends = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
                 own = slice(part.low, part.high)
+                more, names_of_more = carried_columns(batch, own)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["key"][own],
@@ -210,8 +211,9 @@ def hit_rows(broadcast: Broadcast):
                         pa.array(np.diff(words.first)),
                         spans_of(hit, words.first),
                         pa.ListArray.from_arrays(pa.array(ends), names.take(pa.array(item))),
+                        *more,
                     ],
-                    ["key", "doc_id", "n_words", "hits", "items"],
+                    ["key", "doc_id", "n_words", "hits", "items", *names_of_more],
                 )
 
     return task
@@ -222,9 +224,10 @@ def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         first = np.concatenate([[0], np.cumsum(batch["n_words"].to_numpy())])
         hits = spans_of(covered(batch["hits"], first), first)
+        more, names = carried_columns(batch, slice(None))
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["n_words"], hits, batch["items"]],
-            ["doc_id", "n_words", "hits", "items"],
+            [batch["doc_id"], batch["n_words"], hits, batch["items"], *more],
+            ["doc_id", "n_words", "hits", "items", *names],
         )
 
 
@@ -247,7 +250,7 @@ def against_block(texts: DataFrame, rows: pa.Table, size: int) -> DataFrame:
         counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
         rarity = {r["word"]: r["n"] for r in counted.collect()}
     index = build_index(rows, size, rarity)
-    return texts.mapInArrow(hit_rows(context.broadcast(index)), FOUND)
+    return texts.mapInArrow(hit_rows(context.broadcast(index)), FOUND + carried_schema(texts))
 
 
 def find_items(
@@ -259,6 +262,7 @@ def find_items(
     item_text: str = "text",
     size: int = SIZE,
     block: int = BLOCK,
+    carry: bool = False,
 ) -> DataFrame:
     """Per document: doc_id, n_words, hits (maximal spans of hit words), items (ids, as text).
 
@@ -266,9 +270,9 @@ def find_items(
     fewer words than `size` is one window; an item without words occurs nowhere.  Every
     occurrence of every window counts.  Null texts have no words; a null item id is listed as
     the empty string; ids that repeat are listed once; repeated documents get equal rows.
-    Columns other than those named are ignored.
+    Columns other than those named are ignored, or come along in `carried` beside the text.
     """
-    texts = keyed(docs, doc_id, text)
+    texts = keyed(docs, doc_id, text, carry)
     named = items.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col(item_text), F.lit("")).alias("text"),
@@ -281,7 +285,11 @@ def find_items(
     blocks = max(1, -(-windows.count() // block))
     dealt = windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
     found = [
-        against_block(texts, dealt.where(F.col("block") == k).drop("block").toArrow(), size)
+        against_block(
+            texts if k == 0 else texts.select("key", "doc_id", "text"),
+            dealt.where(F.col("block") == k).drop("block").toArrow(),
+            size,
+        )
         for k in range(blocks)
     ]
     if blocks == 1:
@@ -301,8 +309,9 @@ def find_items(
             "n_words",
             F.concat("hits", F.coalesce("more_hits", F.array())).alias("hits"),
             F.array_distinct(F.concat("items", F.coalesce("more_items", F.array()))).alias("items"),
+            *(["text", "carried"] if carry else []),
         )
-        .mapInArrow(merged_rows, FOUND.removeprefix("key long, "))
+        .mapInArrow(merged_rows, FOUND.removeprefix("key long, ") + carried_schema(texts))
     )
 
 

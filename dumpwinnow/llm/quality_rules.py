@@ -17,6 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import carried_columns, carried_schema, keyed
 from .text import (
     LOWER,
     SPACED,
@@ -165,6 +166,7 @@ def judged_rows(model: Broadcast, threshold: float):
                 s = statistics(part.data, part.offsets)
                 failed = (s.n_words < 20) | (100 * s.n_repeat_words > 30 * s.n_words)
                 score = np.ones(len(failed)) if forest is None else forest.probabilities(s.features)
+                more, names = carried_columns(batch, slice(part.low, part.high))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"][part.low : part.high],
@@ -172,6 +174,7 @@ def judged_rows(model: Broadcast, threshold: float):
                         pa.array(failed),
                         pa.array(~failed & (score >= threshold)),
                         pa.array(score),
+                        *more,
                     ],
                     [
                         "doc_id",
@@ -183,6 +186,7 @@ def judged_rows(model: Broadcast, threshold: float):
                         "base_failed",
                         "kept",
                         "score",
+                        *names,
                     ],
                 )
 
@@ -226,6 +230,7 @@ def quality_rules(
     label: str = "quality",
     train_rows: int = TRAIN_ROWS,
     threshold: float = THRESHOLD,
+    carry: bool = False,
 ) -> DataFrame:
     """Per document: doc_id, the five counts, base_failed, kept, score.
 
@@ -233,15 +238,15 @@ def quality_rules(
     not base_failed and a score of at least `threshold`.  A null text counts as empty and so
     fails; a null id is kept as it is and never labelled; labels other than 0 and 1 are
     ignored, and with labels of one kind only, or none, the trees are left out (score 1).
-    Repeated rows are judged alike.  Columns other than those named are ignored.
+    Repeated rows are judged alike.  Columns other than those named are ignored, or come along
+    in `carried` beside the text.
     """
-    texts = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
+    texts = keyed(docs, doc_id, text, carry).drop("key")
     marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
-    model = docs.sparkSession.sparkContext.broadcast(train(texts, marks, train_rows))
+    model = docs.sparkSession.sparkContext.broadcast(train(texts.select("doc_id", "text"), marks, train_rows))
     return texts.mapInArrow(
         judged_rows(model, threshold),
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-        "n_repeat_words long, base_failed boolean, kept boolean, score double",
+        "n_repeat_words long, base_failed boolean, kept boolean, score double"
+        + carried_schema(texts),
     )

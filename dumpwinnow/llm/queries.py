@@ -7,16 +7,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, substring, suffix_dedup, superminhash, warc
+from . import (
+    decontaminate,
+    mil,
+    ppm,
+    quality_rules,
+    sentencepiece_nbest,
+    sharding,
+    substring,
+    suffix_dedup,
+    superminhash,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = sentencepiece_nbest.shared_vocabulary(spark)
+    encoded = sentencepiece_nbest.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return sentencepiece_nbest.decode(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        "score",
+        "more",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return superminhash.near_duplicates(docs, shingle=3, percent=85)
+    found = superminhash.near_duplicates(docs, shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op3_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_texts(table(spark, sf_dir, "documents"))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +80,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring.remove_windows(table(spark, sf_dir, "documents"))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["high"] - x["low"])
@@ -62,14 +95,23 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mil.quality_scores(docs, labels)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op1_sentencepiece_nbest,
         op2_superminhash,
+        op3_ppm_scores,
         op4_decontaminate,
         op5_warc_revisits,
         op6_quality_rules,
         op7_suffix_dedup,
+        op8_label_propagation,
         op9_substring_dedup,
+        op10_attention_mil,
     )
     return {f.__name__: f for f in found}
 

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import carried_columns, carried_schema, keyed
 from .scratch import written
-from .suffix_dedup import keyed
 from .text import (
     Rolling,
     anchored_runs,
@@ -131,20 +131,23 @@ def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = slice(part.low, part.high)
             words = find_words(part.data, part.offsets)
             gone = covered(batch["spans"][rows], words.first)
+            more, names = carried_columns(batch, rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"][rows],
                     pa.array(np.diff(words.first)),
                     spans_of(gone, words.first),
                     join_words(part.data, words, ~gone, part.offsets),
+                    *more,
                 ],
-                ["doc_id", "n_words", "removed", "kept"],
+                ["doc_id", "n_words", "removed", "kept", *names],
             )
 
 
 def repeated_spans(texts: DataFrame, size: int, core: int) -> DataFrame:
     """Spans (key, spans) of windows that start in a document of smaller rank as well."""
-    seen = (
+    # written, so that an anchor of many runs can be split when runs are joined to it
+    seen = written(
         texts.select("rank", "text")
         .mapInArrow(core_rows(size, core), "core long, rank long")
         .groupBy("core")
@@ -192,7 +195,7 @@ def repeated_spans(texts: DataFrame, size: int, core: int) -> DataFrame:
 
 
 def remove_windows(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, core: int = CORE
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, core: int = CORE, carry: bool = False
 ) -> DataFrame:
     """Per row: doc_id, n_words, removed (maximal word intervals), kept (text of the rest).
 
@@ -200,15 +203,17 @@ def remove_windows(
     judged on the input.  Windows do not cross documents, and repeats within one document stay.
     Kept words are joined by one space.  A null text has no words; texts of fewer words stay
     whole; a null id comes after all ids and equals other null ids; rows that share an id do
-    not remove each other's words.  Columns other than the two named are ignored.
+    not remove each other's words.  Columns other than the two named are ignored, or come along
+    in `carried` beside the input text.
     """
-    texts = keyed(docs, doc_id, text).withColumn("rank", F.coalesce("doc_id", F.lit(LAST)))
-    spans = repeated_spans(texts, size, core)
+    texts = keyed(docs, doc_id, text, carry).withColumn("rank", F.coalesce("doc_id", F.lit(LAST)))
+    spans = repeated_spans(texts.select("key", "rank", "text"), size, core)
     return (
         texts.join(spans, "key", "left")
-        .select("doc_id", "text", "spans")
+        .drop("key", "rank")
         .mapInArrow(
             cut_rows,
-            "doc_id long, n_words long, removed array<struct<low int, high int>>, kept string",
+            "doc_id long, n_words long, removed array<struct<low int, high int>>, kept string"
+            + carried_schema(texts),
         )
     )

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import keyed
 from .scratch import written
 from .text import (
     Rolling,
@@ -48,14 +49,6 @@ CORE = 200
 GATHERED = 256
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Id, text (null: empty) and a 64-bit key of both, which also tells repeated ids apart."""
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
-    return rows.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
-
-
 def core_rows(size: int, core: int):
     """Task: texts to the anchor of each run of suffixes."""
 
@@ -211,7 +204,8 @@ def remove_repeats(
     Columns of `docs` other than the two named are ignored.
     """
     texts = keyed(docs, doc_id, text)
-    seen = (
+    # written, so that a bucket of many runs can be split when runs are joined to it
+    seen = written(
         texts.select("text")
         .mapInArrow(core_rows(size, core), "core long")
         .groupBy("core")

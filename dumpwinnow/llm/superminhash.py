@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .rows import keyed
 from .scratch import written
-from .suffix_dedup import keyed
 from .text import (
     LOWER,
     SPACED,
@@ -215,7 +215,9 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable), kept.
+    """Per row: doc_id, key, n_shingles, component_id (smallest doc_id reachable), kept.
+
+    `key` is the row's id and text as rows.keyed hashes them.
 
     Words are those between white space, A-Z lower-cased; a text of fewer words than `shingle`
     is one shingle.  Linked are texts whose sets have 100 * intersection >= percent * union.
@@ -255,9 +257,9 @@ def near_duplicates(
     placed = with_root(nodes.select("node", "id"), roots)
     named = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     found = placed.join(named, "root").select("node", "component_id")
-    linked = filled.select("doc_id", "n_shingles", "node").join(found, "node").drop("node")
+    linked = filled.select("doc_id", "key", "n_shingles", "node").join(found, "node").drop("node")
     alone = sketches.where("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id")
     )
     return linked.unionByName(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
