@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,3 +44,21 @@ def carried_back(rows: DataFrame, schema: StructType, text: str) -> DataFrame:
     return rows.select(
         *[F.col(text).alias("text") if f.name == "text" else F.col(f"carried.`{f.name}`") for f in schema]
     )
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """Rows that come ordered by `column`, in tables that never split a value's rows."""
+    left = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = rows if left is None else pa.concat_tables([left, rows]).combine_chunks()
+        values = rows[column].to_numpy()
+        other = np.flatnonzero(values != values[-1])
+        ended = int(other[-1]) + 1 if len(other) else 0
+        if ended:
+            yield rows.slice(0, ended).combine_chunks()
+        left = rows.slice(ended)
+    if left is not None:
+        yield left.combine_chunks()

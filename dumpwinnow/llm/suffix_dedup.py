@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import keyed
+from .rows import keyed, whole_groups
 from .scratch import written
 from .text import (
     Rolling,
@@ -137,17 +137,8 @@ def sorted_buckets(size: int):
         )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = rows if left is None else pa.concat_tables([left, rows]).combine_chunks()
-            cores = rows["core"].to_numpy()
-            ended = int(np.flatnonzero(cores != cores[-1])[-1]) + 1 if (cores != cores[-1]).any() else 0
-            if ended:
-                yield repeats(rows.slice(0, ended))
-            left = rows.slice(ended)
-        if left is not None:
-            yield repeats(left)
+        for pieces in whole_groups(batches, "core"):
+            yield repeats(pieces)
 
     return task
 

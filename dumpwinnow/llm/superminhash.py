@@ -6,9 +6,11 @@ the slots are thus all different, which lowers the variance against independent
 document is finished as soon as all its slots hold values below the next step.
 
 Signatures are cut into bands.  Documents with equal sets are one node.  Nodes that share a
-band are compared on their full sets, at first only with one leader of each band bucket; where
-a bucket then still holds nodes of different components, all pairs across these are compared,
-so a candidate link is never lost.  Components follow from the confirmed links.
+band are compared on their full sets, at first only with one leader of each band bucket.  Where
+a bucket then still holds nodes of different components, these are compared across components
+inside tasks, in blocks of bounded size: first by their signatures, whose agreement must not
+be six deviations short of the threshold, and what is left on the full sets.  Only confirmed
+links leave the tasks, and no candidate is given up.  Components follow from the links.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .rows import keyed
+from .rows import keyed, whole_groups
 from .scratch import written
 from .text import (
     LOWER,
@@ -30,6 +32,7 @@ from .text import (
     U64,
     Rolling,
     find_words,
+    flat,
     mix,
     portions,
     signed,
@@ -40,6 +43,8 @@ from .text import (
 #: A pair of similarity 0.85 shares none of the bands with probability 6e-9, one of 0.8 5e-6.
 BANDS = 40
 ROWS = 6
+#: Nodes of a bucket that one task compares with each other.
+BLOCK = 1024
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +117,10 @@ def sketch_rows(size: int, bands: int, rows: int):
                 counts = np.diff(first)
                 sums = np.concatenate([[U64(0)], np.cumsum(mix(hashes))])
                 node = mix((sums[first[1:]] - sums[first[:-1]]) ^ mix(counts.astype(U64)))
-                found = band_hashes(signatures(hashes, first, bands * rows), bands, rows)
+                signature = signatures(hashes, first, bands * rows)
+                found = band_hashes(signature, bands, rows)
+                brief = np.ascontiguousarray((signature & U64(0xFF)).astype(np.uint8))
+                brief_ends = np.arange(len(counts) + 1, dtype=np.int32) * (bands * rows)
                 own = slice(part.low, part.high)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -124,8 +132,13 @@ def sketch_rows(size: int, bands: int, rows: int):
                             pa.array(np.arange(len(counts) + 1, dtype=np.int32) * bands),
                             pa.array(signed(found.reshape(-1))),
                         ),
+                        pa.Array.from_buffers(
+                            pa.binary(),
+                            len(counts),
+                            [None, pa.py_buffer(brief_ends), pa.py_buffer(brief)],
+                        ),
                     ],
-                    ["doc_id", "key", "n_shingles", "node", "bands"],
+                    ["doc_id", "key", "n_shingles", "node", "bands", "brief"],
                 )
 
     return task
@@ -167,43 +180,139 @@ def with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def find_links(buckets: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
-    """(node, root) of all linked nodes; buckets: (bucket, node, n), those of one node left out.
+def likely_pairs(group: dict[str, np.ndarray], percent: int, least: int, rows: int):
+    """Pairs of a block that have to be compared, as two arrays of places, a part at a time.
 
-    Each round compares every node with one leader of its bucket, the least node of a
-    component that the others do not belong to.  What is left mixed afterwards is compared
-    pair by pair across components.
+    They lie in different components, have sizes that allow a link, agree in at least `least`
+    places of their signatures, and share no earlier band, which would compare them as well.
     """
-    links = None
-    roots = None
-    for _ in range(rounds):
-        held = buckets if roots is None else with_root(buckets, roots)
-        if roots is None:
-            held = held.withColumn("root", F.col("node"))
-        lead = held.groupBy("bucket").agg(
-            F.min(F.struct("node", "n", "root")).alias("l") if links is None
-            else F.max(F.struct("node", "n", "root")).alias("l")
-        )
-        pairs = held.join(lead, "bucket").where("root <> l.root").select(
-            F.least("node", "l.node").alias("a"),
-            F.when(F.col("node") < F.col("l.node"), F.col("n")).otherwise(F.col("l.n")).alias("n_a"),
-            F.greatest("node", "l.node").alias("b"),
-            F.when(F.col("node") < F.col("l.node"), F.col("l.n")).otherwise(F.col("n")).alias("n_b"),
-        )
-        found = written(confirmed(pairs, sets, percent))
-        links = found if links is None else links.unionByName(found)
-        roots = written(components(links))
-    held = with_root(buckets, roots)
-    mixed = held.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q")
-    held = held.join(mixed.select("bucket"), "bucket", "left_semi")
-    other = held.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    pairs = (
-        held.withColumnsRenamed({"node": "a", "n": "n_a"})
-        .join(other, "bucket")
-        .where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")))
+    brief, root, n, side, band = (group[k] for k in ("brief", "root", "n", "side", "band"))
+    place = np.arange(len(root))
+    for low in range(0, len(root), 128):
+        x = place[low : low + 128]
+        open_ = (root[x, None] != root) & (100 * np.minimum(n[x, None], n) >= percent * np.maximum(n[x, None], n))
+        # of two different chunks only pairs across; of one chunk each pair once
+        open_ &= (side[x, None] < side) | ((side[x, None] == side) & (group["same"][0] & (x[:, None] < place)))
+        i, j = np.nonzero(open_)
+        for part in range(0, len(i), 1 << 17):
+            a, b = x[i[part : part + (1 << 17)]], j[part : part + (1 << 17)]
+            equal = brief[a] == brief[b]
+            near = equal.sum(axis=1) >= least
+            a, b, equal = a[near], b[near], equal[near]
+            first = equal.reshape(len(a), brief.shape[1] // rows, rows).all(axis=2).argmax(axis=1)
+            yield a[first == band[0]], b[first == band[0]]
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch], slots: int):
+    """Blocks, each with its rows and their columns in numpy."""
+    for table in whole_groups(batches, "block"):
+        block = table["block"].to_numpy()
+        ends = np.append(np.flatnonzero(block[1:] != block[:-1]) + 1, len(block))
+        brief = flat(table["brief"])[0].reshape(-1, slots)
+        columns = {k: table[k].to_numpy() for k in ("root", "n", "side", "band", "same")}
+        begin = 0
+        for end in ends:
+            own = {k: v[begin:end] for k, v in columns.items()}
+            yield table.slice(begin, end - begin), own | {"brief": brief[begin:end]}
+            begin = end
+
+
+def open_rows(percent: int, least: int, bands: int, rows: int):
+    """Task: keep the rows of each block that have a pair to compare."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in blocks_of(batches, bands * rows):
+            wanted = np.zeros(table.num_rows, bool)
+            for a, b in likely_pairs(group, percent, least, rows):
+                wanted[a] = wanted[b] = True
+            if wanted.any():
+                yield from table.filter(pa.array(wanted)).to_batches()
+
+    return task
+
+
+def link_rows(percent: int, least: int, bands: int, rows: int):
+    """Task: compare pairs on their full sets; one link for each node and other component."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in blocks_of(batches, bands * rows):
+            lists = table["members"].combine_chunks()
+            _, shingle = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            held = np.zeros((len(lists), int(shingle.max(initial=0)) // 8 + 1), np.uint8)
+            np.bitwise_or.at(held, (row, shingle // 8), np.uint8(1) << (shingle % 8).astype(np.uint8))
+            n, root, node = group["n"], group["root"], table["node"].to_numpy()
+            step = max(1, (16 << 20) // held.shape[1])
+            for a, b in likely_pairs(group, percent, least, rows):
+                for part in range(0, len(a), step):
+                    x, y = a[part : part + step], b[part : part + step]
+                    common = np.bitwise_count(held[x] & held[y]).sum(axis=1, dtype=np.int64)
+                    linked = 100 * common >= percent * (n[x] + n[y] - common)
+                    x, y = x[linked], y[linked]
+                    _, one = np.unique(np.stack([x, root[y]], axis=1), axis=0, return_index=True)
+                    if len(one):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(node[x[one]]), pa.array(node[y[one]])], ["a", "b"]
+                        )
+
+    return task
+
+
+BLOCK_ROWS = (
+    "node long, block long, band int, same boolean, side int, n long, root long, brief binary"
+)
+
+
+def in_blocks(held: DataFrame) -> DataFrame:
+    """Deal the nodes of each bucket into chunks, and chunks into pairs of chunks."""
+    sizes = held.groupBy("bucket").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks")
+    )
+    dealt = held.join(written(sizes), "bucket").withColumn(
+        "chunk", F.pmod(F.xxhash64("node", "bucket"), F.col("chunks")).cast("int")
+    )
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    low, high = F.least("chunk", "other"), F.greatest("chunk", "other")
+    return pairs.select(
+        F.xxhash64("bucket", low, high).alias("block"),
+        "band",
+        (F.col("chunk") == F.col("other")).alias("same"),
+        F.when(F.col("chunk") > F.col("other"), 1).otherwise(0).alias("side"),
+        "node",
+        "n",
+        "root",
+    )
+
+
+def find_links(
+    buckets: DataFrame, sets: DataFrame, briefs: DataFrame, percent: int, bands: int, rows: int
+) -> DataFrame:
+    """(node, root) of all linked nodes; buckets: (bucket, band, node, n), none of one node."""
+    lead = written(buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("l")))
+    pairs = buckets.join(lead, "bucket").where("node <> l.node").select(
+        F.col("l.node").alias("a"), F.col("l.n").alias("n_a"), F.col("node").alias("b"), F.col("n").alias("n_b")
+    )
+    links = written(confirmed(pairs, sets, percent))
+    held = with_root(buckets, written(components(links)))
+    mixed = written(
+        held.groupBy("bucket")
+        .agg(F.min("root").alias("p"), F.max("root").alias("q"))
+        .where("p < q")
+        .select("bucket")
     )
-    found = written(confirmed(pairs, sets, percent))
-    return components(links.unionByName(found))
+    held = held.join(mixed, "bucket", "left_semi")
+    p = percent / 100
+    slots = bands * rows
+    least = int(slots * (p - 6 * (p * (1 - p) / slots) ** 0.5))
+    blocks = in_blocks(held).join(briefs, "node")
+    likely = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(
+        open_rows(percent, least, bands, rows), BLOCK_ROWS
+    )
+    compared = likely.join(sets.select("node", "members"), "node")
+    found = compared.repartition("block").sortWithinPartitions("block").mapInArrow(
+        link_rows(percent, least, bands, rows), "a long, b long"
+    )
+    return components(links.unionByName(written(found)))
 
 
 def near_duplicates(
@@ -230,7 +339,7 @@ def near_duplicates(
     sketches = written(
         texts.select("doc_id", "key", "text").mapInArrow(
             sketch_rows(shingle, bands, rows),
-            "doc_id long, key long, n_shingles long, node long, bands array<long>",
+            "doc_id long, key long, n_shingles long, node long, bands array<long>, brief binary",
         )
     )
     filled = sketches.where("n_shingles > 0")
@@ -240,10 +349,14 @@ def near_duplicates(
             F.min("key").alias("key"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
+            F.first("brief").alias("brief"),
         )
     )
-    banded = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1").select("bucket")
+    banded = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
+    # written, so that a bucket of many nodes can be split when they are joined to it
+    shared = written(
+        banded.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1").select("bucket")
+    )
     buckets = written(banded.join(shared, "bucket", "left_semi"))
     asked = buckets.select("node").distinct().join(nodes, "node").select("node", "key")
     sets = written(
@@ -253,7 +366,8 @@ def near_duplicates(
         .select("node", "text")
         .mapInArrow(set_rows(shingle), "node long, members array<long>")
     )
-    roots = find_links(buckets, sets, percent)
+    briefs = nodes.select("node", "brief")
+    roots = find_links(buckets, sets, briefs, percent, bands, rows)
     placed = with_root(nodes.select("node", "id"), roots)
     named = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     found = placed.join(named, "root").select("node", "component_id")
