@@ -2,8 +2,8 @@
 
 Archives are written by Spark's text writer: a record's header and block are one value and the
 two line ends that close a record are the separator, so files get Spark's commit protocol and
-go to any file system it knows.  Files are cut by number of records.  Reading walks each file
-by the Content-Length fields, so payloads may hold any bytes.
+go to any file system it knows.  Files are gzipped and cut by number of records.  Reading walks
+each file by the Content-Length fields, so payloads may hold any bytes.
 
 Revisit resolution shuffles headers by payload digest: the largest page id of equal payloads
 of at least `least_bytes` keeps its response record, the others become revisit records
@@ -12,6 +12,7 @@ without a payload that refer to it.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import shared_folder
+from .scratch import shared_folder, written
 
 LEAST_BYTES = 1000
 RECORDS_PER_FILE = 2000
@@ -78,12 +79,12 @@ def as_records(pages: DataFrame, purpose: str, date: str) -> DataFrame:
 
 
 def write_archives(records: DataFrame, path: str) -> None:
-    records.write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    writer = records.write.option("lineSep", END).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def parse_record(data: memoryview, at: int) -> tuple[dict, int]:
+def parse_record(raw: bytes, at: int) -> tuple[dict, int]:
     """The record that begins at a place of an archive, and where the next one begins."""
-    raw = data.obj
     stop = raw.find(END.encode(), at)
     if stop < 0 or not raw.startswith(VERSION.encode(), at):
         raise ValueError(f"no record at byte {at}")
@@ -128,7 +129,8 @@ def read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
     for batch in batches:
         for content in batch["content"]:
-            data = memoryview(content.as_py())
+            raw = content.as_py()
+            data = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
             at, held, rows = 0, 0, []
             while at < len(data):
                 row, after = parse_record(data, at)
@@ -148,7 +150,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def resolved(records: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Response records with kind and refers_page decided by payload digest."""
-    top = (
+    # written, so that a payload of many records can be split in the join
+    top = written(
         records.where(F.col("n_bytes") >= least_bytes)
         .groupBy("digest", "n_bytes")
         .agg(F.max("page_id").alias("top"), F.count("*").alias("copies"))
