@@ -1,12 +1,13 @@
 """Shards of equally many documents that keep linked documents together.
 
 Documents of equal text are linked.  Balanced label propagation: every document has a shard,
-at first by hash.  In each round the linked documents look at the shards of their neighbours;
+at first by hash.  In each round linked documents look at the shards of their neighbours;
 those whose shard holds fewer neighbours than another one with room want to move there.  A
 shard's quota is the room it has left, and the movers' hashes decide who is admitted, whole
-groups at a time unless a group could fill much of a shard.  At the end unlinked documents,
-which cut no edge wherever they are, are dealt from shards that hold too many to those that
-hold too few, so that counts differ by one at most.
+groups at a time.  Groups that could fill much of a shard go first, spread over just as many
+shards as they need; smaller ones make way for them.  At the end unlinked documents, which cut
+no edge wherever they are, are dealt from shards that hold too many to those that hold too
+few, so that counts differ by one at most.
 
 The neighbours of a group are counted by shard, so links are never listed as pairs.  Rows are
 numbered within a shard in small hash buckets with the counts of the buckets before them.
@@ -64,45 +65,66 @@ def chance(*parts) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def by_shard(values: list[float], shard: Column) -> Column:
+    """The value of a shard, from one literal for each shard."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), shard + 1)
+
+
+def wishes(state: DataFrame, loads: list[int], small: list[int], capacity: int, salt: int) -> DataFrame:
+    """Add `want`, the shard that a document would rather be in, or null.
+
+    A group takes as many shards as it needs, those with room that hold most of it.  A small
+    group moves where more of it is; from a shard that holds too much, as much as is too much
+    moves anywhere with room.
+    """
+    roomy = [s for s, n in enumerate(loads) if n < capacity]
+    leave = [max(0, n - capacity) / max(1, m) for n, m in zip(loads, small, strict=True)]
+    votes = state.groupBy("group", "shard").agg(F.count("*").alias("votes"))
+    # at most one entry for each shard; written, so that a large group can be split in the join
+    entry = F.struct("votes", F.xxhash64("group", "shard").alias("tie"), "shard")
+    held = written(votes.groupBy("group").agg(F.sort_array(F.collect_list(entry), False).alias("held")))
+    joined = state.join(held, "group")
+    own = F.col("shard")
+    here = F.filter("held", lambda x: x["shard"] == own)[0]
+    open_ = F.filter("held", lambda x: x["shard"].isin(roomy) if roomy else F.lit(False))
+    needed = F.ceil(F.col("members") / F.lit(capacity)).cast("int")
+    targets = F.slice(open_, F.lit(1), F.greatest(needed, F.lit(1)))
+    top = F.get(targets, F.lit(0))
+    anywhere = F.get(
+        F.array(*[F.lit(s) for s in roomy]).cast("array<int>"),
+        F.pmod(F.xxhash64("group", F.lit(salt)), F.lit(max(1, len(roomy)))).cast("int"),
+    )
+    crowded = chance("group", F.lit(salt + 1)) < by_shard(leave, own)
+    better = (top["votes"] > here["votes"]) | ((top["votes"] == here["votes"]) & (top["tie"] > here["tie"]))
+    one = F.when(crowded, F.when(top["shard"] != own, top["shard"]).otherwise(anywhere)).when(
+        better & (top["shard"] != own), top["shard"]
+    )
+    spread = F.get(targets, F.pmod(F.xxhash64("node"), F.greatest(F.size(targets), F.lit(1))).cast("int"))
+    several = F.when(~F.exists(targets, lambda x: x["shard"] == own), spread["shard"])
+    return joined.select("node", "group", "members", "shard", F.when(F.col("large"), several).otherwise(one).alias("want"), "large")
+
+
 def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int) -> DataFrame:
-    """(node, group, shard) after some rounds of moves under quotas."""
-    state = linked
+    """(node, shard) after rounds of moves under quotas: large groups first, then the others."""
+    state = linked.withColumn("large", F.col("members") * 4 >= capacity)
     for k in range(rounds):
-        loads = [0] * shards
-        for r in state.groupBy("shard").count().collect():  # one row for each shard
-            loads[r["shard"]] = r["count"]
-        room = F.element_at(
-            F.array(*[F.lit(max(0, capacity - n)) for n in loads]), F.col("shard") + 1
-        )
-        # at most one row for each group and shard
-        votes = state.groupBy("group", "shard").agg(F.count("*").alias("votes"))
-        by_group = Window.partitionBy("group")
-        best = F.max(
-            F.when(room > 0, F.struct("votes", F.xxhash64("group", "shard").alias("tie"), "shard"))
-        ).over(by_group)
-        votes = votes.withColumns(
-            {"best": best, "members": F.sum("votes").over(by_group)}
-        ).select("group", "shard", "votes", "members", F.col("best.shard").alias("target"), F.col("best.votes").alias("there"), F.xxhash64("group", "shard").alias("tie"), F.col("best.tie").alias("their_tie"))
-        movers = votes.where(
-            "target is not null and target <> shard and (votes < there or (votes = there and tie < their_tie))"
-        )
-        wanted = {r["target"]: r["n"] for r in movers.groupBy("target").agg(F.sum("votes").alias("n")).collect()}
-        if not wanted:
-            break
-        ratio = F.element_at(
-            F.array(*[F.lit(min(1.0, max(0, capacity - loads[s]) / wanted.get(s, 1))) for s in range(shards)]),
-            F.col("target") + 1,
-        )
-        together = F.col("members") * 4 < capacity
-        admitted = F.when(together, chance("group", F.lit(k))).otherwise(chance("node", F.lit(k))) < ratio
-        state = written(
-            state.join(movers.select("group", "shard", "members", "target"), ["group", "shard"], "left").select(
-                "node",
-                "group",
-                F.when(F.col("target").isNotNull() & admitted, F.col("target")).otherwise(F.col("shard")).alias("shard"),
+        loads, small = [0] * shards, [0] * shards
+        large_turn = k < rounds // 3
+        for r in state.groupBy("shard").agg(F.count("*").alias("n"), F.count_if("large").alias("l")).collect():
+            loads[r["shard"]] = r["l"] if large_turn else r["n"]  # one row for each shard
+            small[r["shard"]] = r["n"] - r["l"]
+        turn = F.col("large") if large_turn else ~F.col("large")
+        asked = written(
+            wishes(state.where(turn), loads, small, capacity, 1000 * k).unionByName(
+                state.where(~turn).withColumn("want", F.lit(None).cast("int"))
             )
         )
-    return state
+        wanted = {r["want"]: r["count"] for r in asked.where("want is not null").groupBy("want").count().collect()}
+        room = [max(0, capacity - loads[s]) / wanted.get(s, 1) for s in range(shards)]
+        lot = F.when(F.col("large"), chance("node", F.lit(k))).otherwise(chance("group", F.lit(k)))
+        moves = F.col("want").isNotNull() & (lot < by_shard(room, F.col("want")))
+        state = asked.withColumn("shard", F.when(moves, F.col("want")).otherwise(F.col("shard"))).drop("want")
+    return state.select("node", "shard")
 
 
 def balance(placed: DataFrame, total: int, shards: int) -> DataFrame:
@@ -149,9 +171,9 @@ def shard_documents(
     dealt = rows.select(
         "node", "group", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")
     )
-    groups = written(rows.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group"))
-    linked = written(dealt.join(groups, "group", "left_semi"))
-    gathered = propagate(linked, shards, total // shards, rounds)
+    groups = written(rows.groupBy("group").agg(F.count("*").alias("members")).where("members > 1"))
+    linked = written(dealt.join(groups, "group"))
+    gathered = propagate(linked, shards, max(1, total // shards), rounds)
     placed = gathered.select("node", "shard", F.lit(0).alias("tier")).unionByName(
         dealt.join(groups, "group", "left_anti").select("node", "shard", F.lit(1).alias("tier"))
     )
