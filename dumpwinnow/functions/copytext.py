@@ -22,9 +22,14 @@ NUMERIC_ESCAPE = r"\\[0-7xX]"
 PIECES = r"(?s)\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}|\\.|[^\\]+"
 END_MARK = "\\."
 
-# Stands for an escaped backslash while the other escapes are replaced; a NUL cannot occur
-# in valid input.
+# Stands for an escaped backslash while the other escapes are replaced; lines that hold a NUL
+# are refused before.
 HELD_BACKSLASH = "\x00"
+NUL = "\x00"
+
+# White space round a number, its sign and digits; a cast alone would also trim control
+# characters.
+WHOLE_NUMBER = r"^[ \t\n\x0B\f\r]*[+-]?[0-9]+[ \t\n\x0B\f\r]*$"
 
 # Accepted spellings of booleans, including every unambiguous prefix.
 TRUE_WORDS = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1")
@@ -82,6 +87,28 @@ def decode_field(raw: Column) -> Column:
     )
 
 
+def decode_checked(raw: Column) -> Column:
+    """Struct of the decoded ``text`` and the ``problem`` that keeps it from being loaded.
+
+    Octal and hex escapes can spell bytes that are no text, so what they give is validated
+    after decoding; other fields cannot go wrong there.
+    """
+
+    def judged(text: Column) -> Column:
+        numeric = raw.rlike(NUMERIC_ESCAPE)
+        problem = (
+            F.when(malformed(raw), F.lit("malformed escape"))
+            .when(numeric & ~F.is_valid_utf8(text), F.lit("invalid utf-8"))
+            .when(numeric & F.contains(text, F.lit(NUL)), F.lit("zero byte"))
+        )
+        return F.struct(text.alias("text"), problem.alias("problem"))
+
+    plain = F.struct(raw.alias("text"), F.lit(None).cast("string").alias("problem"))
+    return F.when(F.instr(raw, F.lit("\\")) == 0, plain).otherwise(
+        _bind(decode_field(raw), judged)
+    )
+
+
 def encode_field(value: Column) -> Column:
     """Value to raw field; the inverse of :func:`decode_field`."""
     text = F.replace(value, F.lit("\\"), F.lit("\\\\"))
@@ -133,4 +160,4 @@ def try_typed(text: Column, type_name: str) -> Column:
         return try_boolean(text)
     if type_name == "uuid":
         return try_uuid(text)
-    return text.try_cast(type_name)
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast(type_name))

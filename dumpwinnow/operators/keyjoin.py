@@ -2,26 +2,29 @@
 
 Three forms with one result:
 
-* ``key_rows`` known (the caller wrote the keys and counted them) and small: broadcast, so
-  the big table is neither shuffled nor sorted;
-* ``key_rows`` known and large: rows of the most frequent keys are taken out and filtered
-  without a shuffle, the rest goes through a shuffled semi-join that no single key dominates;
+* ``key_rows`` known (the caller wrote the keys and counted them), of fixed width and few:
+  broadcast, so the big table is neither shuffled nor sorted;
+* ``key_rows`` known and many: one shuffled semi-join on (key, salt), in which the rows of the
+  most frequent keys are spread over several salts and only those keys are copied to each;
 * size unknown: a plain semi-join; the optimizer's size estimate and adaptive execution
   choose the strategy and split skewed partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 KEY = "key"
 
-# A broadcast table of longs takes some 20 bytes a row: 2 million rows are about 40 MB.
+# A broadcast table of numbers takes some 20 bytes a row: 2 million rows are about 40 MB.
+# Strings have no such bound and are left to the optimizer's size check.
 BROADCAST_ROWS = 2_000_000
 
 # Any key that holds more than 1/256 of the rows is among the 256 most frequent ones.
 HOT_KEYS = 256
+SALTS = 16
 
 
 def distinct_keys(table: DataFrame, column: str) -> DataFrame:
@@ -39,9 +42,11 @@ def keep_by_keys(
     """Rows whose ``column`` is in ``keys`` (a :func:`distinct_keys` result)."""
     if key_rows is None:
         return _semi(rows, column, keys)
-    if key_rows <= broadcast_rows:
-        return _semi(rows, column, F.broadcast(keys))
-    return _keep_split(rows, column, keys)
+    if key_rows > broadcast_rows:
+        return _keep_salted(rows, column, keys)
+    if isinstance(keys.schema[KEY].dataType, StringType):
+        return _semi(rows, column, keys)
+    return _semi(rows, column, F.broadcast(keys))
 
 
 def drop_by_keys(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
@@ -53,21 +58,31 @@ def _semi(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return rows.join(keys, rows[column] == keys[KEY], "left_semi")
 
 
-def _keep_split(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+def _keep_salted(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Semi-join in which the rows of frequent keys never meet in one task.
 
     Which keys count as frequent only decides the path a row takes, so the result is the
-    same for any choice; the choice depends on values alone, so a re-run makes it again.
+    same for any choice.  A row's salt depends on its values alone, so a re-run repeats it.
     """
-    frequent = (
+    counted = (
         rows.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).alias(KEY))
         .count()
         .orderBy(F.desc("count"), KEY)
         .limit(HOT_KEYS)
-        .select(KEY)
     )
-    hot = F.broadcast(frequent.withColumnRenamed(KEY, "hot_key"))
-    hot_kept = F.broadcast(keys.join(hot, keys[KEY] == hot["hot_key"], "left_semi"))
-    others = rows.join(hot, rows[column] == hot["hot_key"], "left_anti")
-    return _semi(rows, column, hot_kept).unionAll(_semi(others, column, keys))
+    hot = [r[KEY] for r in counted.collect()]  # at most HOT_KEYS
+
+    def frequent(value: Column) -> Column:
+        return value.isin(hot) if hot else F.lit(False)
+
+    salt = F.when(
+        frequent(F.col(column)), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
+    ).otherwise(0)
+    copies = F.when(frequent(F.col(KEY)), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    salted_keys = keys.select(KEY, F.explode(copies).cast("bigint").alias("key_salt"))
+    salted = rows.withColumn("row_salt", salt.cast("bigint"))
+    on = (salted[column] == salted_keys[KEY]) & (salted["row_salt"] == salted_keys["key_salt"])
+    return salted.join(salted_keys, on, "left_semi").drop("row_salt")

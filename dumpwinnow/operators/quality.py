@@ -65,46 +65,79 @@ def integrity_report(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec]
     """Violations of every declared constraint as (check, table, columns, violations).
 
     Broken references are findings, not failures: a subset may keep a track whose own
-    credit was not kept.
+    credit was not kept.  Every table is read twice: once for all its NULL counts, once for
+    the values of all its keys and references.  These are counted per value before a value
+    meets its referrers, so a value that many rows share is one row per task by then.
     """
-    findings = []
+    nulls, values, checks = [], [], []
     for spec in specs:
         if spec.table not in tables:
             continue
         table = tables[spec.table]
         if spec.required_columns:
-            nulls = null_violations(table, spec.required_columns, spec.table)
-            findings.append(
-                nulls.select(
-                    F.lit("not null").alias("check"),
-                    "table",
-                    F.col("column").alias("columns"),
-                    "violations",
-                )
-            )
+            nulls.append(null_violations(table, spec.required_columns, spec.table))
+        entries = []
         if spec.primary_key:
-            findings.append(
-                _finding(
-                    "primary key",
-                    spec.table,
-                    spec.primary_key,
-                    duplicate_keys(table, spec.primary_key).agg(F.count(F.lit(1)).alias("v")),
-                )
+            checks.append((PRIMARY, spec.table, ", ".join(spec.primary_key)))
+            whole = f"{spec.table}.{', '.join(spec.primary_key)}"
+            key = [F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in spec.primary_key]
+            entries.append(
+                _entry(whole, F.concat_ws("\x1f", *key), PRIMARY, spec.table, ", ".join(spec.primary_key))
             )
         for column, parent, key in spec.foreign_keys:
             if parent in tables:
-                orphans = orphan_keys(table, column, tables[parent], key)
-                total = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v"))
-                findings.append(_finding("foreign key", spec.table, (column,), total))
-    return _union(findings)
+                checks.append((FOREIGN, spec.table, column))
+                entries.append(
+                    _entry(f"{parent}.{key}", F.col(column).cast("string"), FOREIGN, spec.table, column)
+                )
+        if entries:
+            values.append(table.select(F.inline(F.array(*entries))).filter("value IS NOT NULL"))
+    found = _union(
+        n.select(F.lit("not null").alias("check"), "table", F.col("column").alias("columns"), "violations")
+        for n in nulls
+    )
+    if not checks:
+        return found
+    return found.unionAll(_key_findings(_union(values), checks))
+
+
+PRIMARY, FOREIGN = "primary key", "foreign key"
+NO_VALUE = "\x00"
 
 
-def _finding(check: str, table: str, columns: Sequence[str], counted: DataFrame) -> DataFrame:
-    return counted.select(
+def _entry(domain: str, value: Column, check: str, table: str, columns: str) -> Column:
+    """One value of a key or reference; `domain` names the key that it belongs to."""
+    return F.struct(
+        F.lit(domain).alias("domain"),
+        value.alias("value"),
         F.lit(check).alias("check"),
         F.lit(table).alias("table"),
-        F.lit(", ".join(columns)).alias("columns"),
-        F.col("v").cast("long").alias("violations"),
+        F.lit(columns).alias("columns"),
+    )
+
+
+def _key_findings(values: DataFrame, checks: list[tuple[str, str, str]]) -> DataFrame:
+    """Duplicate keys and references without a key, with zeros for checks without findings."""
+    counted = values.groupBy("domain", "value", "check", "table", "columns").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # a value's entries: its key and one for each reference column that may name it
+    met = counted.groupBy("domain", "value").agg(
+        F.bool_or(F.col("check") == PRIMARY).alias("present"),
+        F.collect_list(F.struct("check", "table", "columns", "n")).alias("entries"),
+    )
+    wrong = F.when(F.col("check") == PRIMARY, (F.col("n") > 1).cast("long")).when(
+        ~F.col("present"), F.col("n")
+    )
+    totals = (
+        met.select("present", F.inline("entries"))
+        .groupBy("check", "table", "columns")
+        .agg(F.sum(F.coalesce(wrong, F.lit(0))).alias("violations"))
+    )
+    spark = values.sparkSession
+    declared = spark.createDataFrame(checks, "check string, table string, columns string")
+    return declared.join(totals, ["check", "table", "columns"], "left").select(
+        "check", "table", "columns", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -39,6 +40,7 @@ class Subset:
 
     tables: dict[str, DataFrame] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 def check_rules(rules: Iterable[KeepRule]) -> None:
@@ -112,7 +114,9 @@ def write_subset(
     check_rules(rules)
     kept: dict[str, DataFrame] = {ROOT: root_keys}
     counts: dict[str, int | None] = {ROOT: root_rows}
+    seconds: dict[str, float] = {}
     for rule in rules:
+        began = time.monotonic()
         rows = tables[rule.table]
         if rule.column is not None:
             bounds = [counts[w.table] if w.kept else None for w in rule.wanted]
@@ -123,7 +127,9 @@ def write_subset(
         counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         kept[rule.table] = write(rule.table, counted)
         counts[rule.table] = seen.get["rows"]
+        seconds[rule.table] = time.monotonic() - began
     return Subset(
         {rule.table: kept[rule.table] for rule in rules},
         {rule.table: counts[rule.table] for rule in rules},
+        seconds,
     )

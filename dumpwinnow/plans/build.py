@@ -8,6 +8,7 @@ run again and replaces what it had written, so running any step twice changes no
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,14 +22,14 @@ from dumpwinnow.operators.fuzzy import (
     frequent_trigrams,
 )
 from dumpwinnow.operators.matching import library_keys, match_entities, matched_keys
-from dumpwinnow.operators.quality import profile
+from dumpwinnow.operators.quality import integrity_report, profile
 from dumpwinnow.operators.subset import write_subset
 from dumpwinnow.plans.rules import CATALOG_RULES
 from dumpwinnow.sources.dump import STRICT, TOLERANT, load_table
 from dumpwinnow.sources.files import list_names, path_exists
 from dumpwinnow.sources.listing import missing_files
 from dumpwinnow.sources.snapshots import Snapshot, SnapshotStore
-from dumpwinnow.sources.specs import LOADED_TABLES
+from dumpwinnow.sources.specs import ALL_TABLES, LOADED_TABLES
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +41,17 @@ SCHEMA, IMPORT, FILTER, INDEXES, ANALYZE = STEPS = (
     "analyze",
 )
 
-LEDGER_SCHEMA = "step string, rows long, completed_at timestamp"
+LEDGER_SCHEMA = "step string, rows long, rejects long, seconds double, completed_at timestamp"
+IMPORT_SCHEMA = "table string, rows long, rejects long"
+KEPT_SCHEMA = "table string, rows long, seconds double"
+
+
+@dataclass(frozen=True)
+class Done:
+    """What a step did, for its ledger entry."""
+
+    rows: int
+    rejects: int = 0
 
 
 @dataclass(frozen=True)
@@ -69,17 +80,19 @@ class Ledger:
         done = self.completed()
         return tuple(step for step in STEPS if step not in done)
 
-    def mark(self, step: str, rows: int) -> None:
+    def mark(self, step: str, done: Done, seconds: float = 0.0) -> None:
         spark = self.snapshot.spark
         entry = spark.range(1).select(
             F.lit(step).alias("step"),
-            F.lit(rows).cast("long").alias("rows"),
+            F.lit(done.rows).cast("long").alias("rows"),
+            F.lit(done.rejects).cast("long").alias("rejects"),
+            F.lit(seconds).alias("seconds"),
             F.current_timestamp().alias("completed_at"),
         )
         entry.coalesce(1).write.mode("overwrite").json(f"{self.path}/{step}")
 
     def entries(self) -> DataFrame:
-        """(step, rows, completed_at) of the completed steps, sorted by step."""
+        """(step, rows, rejects, seconds, completed_at) of the completed steps, sorted by step."""
         spark = self.snapshot.spark
         paths = [f"{self.path}/{step}" for step in sorted(self.completed())]
         if not paths:
@@ -106,14 +119,15 @@ def open_ledger(snapshot: Snapshot, resume: bool) -> Ledger:
     return ledger
 
 
-def _run(ledger: Ledger, step: str, work: Callable[[], int]) -> None:
+def _run(ledger: Ledger, step: str, work: Callable[[], Done]) -> None:
     if step in ledger.completed():
         log.info("%s: already complete", step)
         return
     log.info("%s: started", step)
-    rows = work()
-    ledger.mark(step, rows)
-    log.info("%s: done, %d rows", step, rows)
+    began = time.monotonic()
+    done = work()
+    ledger.mark(step, done, time.monotonic() - began)
+    log.info("%s: done, %d rows, %d rejects", step, done.rows, done.rejects)
 
 
 def import_dump(
@@ -121,28 +135,72 @@ def import_dump(
 ) -> dict[str, int]:
     """Load every dump file into a snapshot; rows written per table.
 
-    Lines read, kept and rejected are counted while the rows are written.  Rejected lines
-    are written to ``_rejects/<table>`` in a second pass, only when there are any.  Unless
-    ``fresh``, a table that is already there is left alone and counts as 0 rows.
+    Kept and rejected lines are counted while the rows are written.  ``_rejects/<table>``
+    is written after the rows every time, so it is never stale, and a table counts as loaded
+    only with it, so a crash in between loses no reject.  It takes a second pass over the
+    dump only when there are rejects; in strict mode it stays empty.  ``_import`` holds both
+    counts.  Unless ``fresh``, a loaded table that has rows is left alone and counts as 0.
     """
     if not path_exists(spark, dump_dir):
         raise FileNotFoundError(f"no dump folder at {dump_dir}")
     missing = missing_files(spark, dump_dir)
     if missing:
         log.warning("missing dump files: %s", ", ".join(missing))
-    written = {}
+    written, rejected = {}, {}
     for spec in LOADED_TABLES:
-        if not fresh and target.has(spec.table) and not target.read(spec.table).isEmpty():
+        rejects = f"_rejects/{spec.table}"
+        if (
+            not fresh
+            and target.has(spec.table)
+            and target.has(rejects)
+            and not target.read(spec.table).isEmpty()
+        ):
             log.info("%s: already loaded", spec.table)
-            written[spec.table] = 0
+            written[spec.table], rejected[spec.table] = 0, target.read(rejects).count()
             continue
         parsed = load_table(spark, spec, dump_dir, mode)
-        written[spec.table] = _write_counted(target, spec.table, parsed.rows)
-        if mode == TOLERANT and not parsed.rejects.isEmpty():
-            target.write(f"_rejects/{spec.table}", parsed.rejects)
+        seen = Observation(f"import {spec.table}")
+        target.write(spec.table, parsed.rows_observed(seen))
+        counts = seen.get
+        written[spec.table] = counts["rows"]
+        rejected[spec.table] = counts["rejects"] if mode == TOLERANT else 0
+        lines = parsed.rejects
+        if not rejected[spec.table]:
+            lines = spark.createDataFrame([], lines.schema)
+        target.write(rejects, lines)
+        log.info("%s: %d rows, %d rejects", spec.table, written[spec.table], counts["rejects"])
+    target.write(
+        "_import",
+        spark.createDataFrame([(t, n, rejected[t]) for t, n in written.items()], IMPORT_SCHEMA).coalesce(1),
+    )
     return written
 
 
+def write_declared(target: Snapshot) -> int:
+    """The declared tables that no dump file fills, empty, so that every table is there."""
+    loaded = {spec.table for spec in LOADED_TABLES}
+    for spec in ALL_TABLES:
+        if spec.table not in loaded and not target.has(spec.table):
+            target.write(spec.table, target.spark.createDataFrame([], spec.schema))
+    return len(ALL_TABLES)
+
+
+def import_checked(spark: SparkSession, dump_dir: str, loaded: Snapshot, mode: str) -> Done:
+    """Load the dump and check its keys, as a load into declared tables would.
+
+    Findings go to ``_findings``.  A duplicate primary key stops a strict load.
+    """
+    written = import_dump(spark, dump_dir, loaded, mode, fresh=False)
+    findings = loaded.write("_findings", integrity_report(read_tables(loaded), LOADED_TABLES))
+    doubled = findings.filter("check = 'primary key' AND violations > 0").collect()
+    for row in doubled:
+        log.warning("%s: %d duplicate keys (%s)", row["table"], row["violations"], row["columns"])
+    if doubled and mode == STRICT:
+        raise ValueError(f"duplicate primary keys in {sorted(r['table'] for r in doubled)}")
+    rejects = loaded.read("_import").agg(F.sum("rejects")).first()[0]
+    return Done(sum(written.values()), rejects)
+
+
 def _write_counted(target: Snapshot, table: str, rows: DataFrame) -> int:
     seen = Observation(f"write {table}")
     target.write(table, rows.observe(seen, F.count(F.lit(1)).alias("rows")))
@@ -159,9 +217,14 @@ def build(
     keep_all: bool = False,
     resume: bool = False,
     mode: str = STRICT,
+    drop_blank: bool = False,
 ) -> Snapshot:
     """Run all steps for the snapshot ``name`` under ``root`` and publish it.
 
+    In tolerant mode bad lines are set aside, duplicate keys are reported only, and NULL
+    library names are skipped and counted as the filter step's rejects.  ``drop_blank``
+    leaves library names out that are white space alone.
+
     The published tables are in the returned snapshot; loaded tables before filtering stay
     in its ``loaded`` folder.
     """
@@ -172,29 +235,43 @@ def build(
     ledger = open_ledger(snapshot, resume)
     loaded = Snapshot(spark, f"{snapshot.path}/loaded")
 
-    _run(ledger, SCHEMA, lambda: len(LOADED_TABLES))
-    _run(ledger, IMPORT, lambda: sum(import_dump(spark, dump_dir, loaded, mode, fresh=False).values()))
+    published = loaded if keep_all else snapshot
+    _run(ledger, SCHEMA, lambda: Done(write_declared(published)))
+    _run(ledger, IMPORT, lambda: import_checked(spark, dump_dir, loaded, mode))
     if keep_all:
         # The step counts as done so that later ones can follow it; the loaded tables are
         # the published ones.
         if FILTER not in ledger.completed():
-            ledger.mark(FILTER, 0)
-        published = loaded
+            ledger.mark(FILTER, Done(0))
     else:
-        published = snapshot
-        _run(ledger, FILTER, lambda: filter_tables(loaded, published, library, library_column))
-    _run(ledger, INDEXES, lambda: write_indexes(published))
-    _run(ledger, ANALYZE, lambda: write_profiles(published))
+        _run(
+            ledger,
+            FILTER,
+            lambda: filter_tables(loaded, published, library, library_column, mode, drop_blank),
+        )
+    _run(ledger, INDEXES, lambda: Done(write_indexes(published)))
+    _run(ledger, ANALYZE, lambda: Done(write_profiles(published)))
     store.publish(name if published is snapshot else f"{name}/loaded")
     return published
 
 
 def filter_tables(
-    loaded: Snapshot, target: Snapshot, library: DataFrame, library_column: str = "artist"
-) -> int:
-    """Match artists and write the kept rows of every table; returns the rows kept."""
+    loaded: Snapshot,
+    target: Snapshot,
+    library: DataFrame,
+    library_column: str = "artist",
+    mode: str = STRICT,
+    drop_blank: bool = False,
+) -> Done:
+    """Match artists and write the kept rows of every table; the rows kept, the names skipped.
+
+    ``_kept`` holds rows and elapsed seconds of each table.
+    """
     tables = {spec.table: loaded.read(spec.table) for spec in LOADED_TABLES}
-    keys, key_rows = _stored(target, "_library_keys", library_keys(library, library_column))
+    skipped = library.filter(F.col(library_column).isNull()).count() if mode == TOLERANT else 0
+    keys, key_rows = _stored(
+        target, "_library_keys", library_keys(library, library_column, mode, drop_blank)
+    )
     matched, matched_rows = _stored(
         target,
         "_matched",
@@ -205,8 +282,10 @@ def filter_tables(
         tables, CATALOG_RULES, matched_keys(matched), matched_rows, target.write
     )
     for table, rows in stored.rows.items():
-        log.info("%s: %d rows kept", table, rows)
-    return sum(stored.rows.values())
+        log.info("%s: %d rows kept in %.1f s", table, rows, stored.seconds[table])
+    kept = [(t, n, stored.seconds[t]) for t, n in stored.rows.items()]
+    target.write("_kept", target.spark.createDataFrame(kept, KEPT_SCHEMA).coalesce(1))
+    return Done(sum(stored.rows.values()), skipped)
 
 
 def _stored(target: Snapshot, table: str, rows: DataFrame) -> tuple[DataFrame, int]:

@@ -6,10 +6,10 @@ import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dumpwinnow.functions.copytext import decode_field, malformed, try_typed
+from dumpwinnow.functions.copytext import NUL, decode_checked, try_typed
 from dumpwinnow.functions.once import once
 from dumpwinnow.sources.files import path_exists
 from dumpwinnow.sources.specs import LOADED_TABLES, TableSpec
@@ -24,10 +24,42 @@ SHORT_ROW = "short row"
 
 @dataclass(frozen=True)
 class ParsedTable:
-    """``rows`` in the spec's schema; ``rejects`` as (line, reason)."""
+    """Lines of a dump as (value, reason, values), and the table they make.
 
-    rows: DataFrame
-    rejects: DataFrame
+    ``reason`` is NULL where a line can be loaded.
+    """
+
+    lines: DataFrame
+    spec: TableSpec
+    mode: str
+
+    @property
+    def rows(self) -> DataFrame:
+        """Loadable lines in the spec's schema."""
+        return self._rows(self.lines)
+
+    @property
+    def rejects(self) -> DataFrame:
+        """The other lines as (line, reason)."""
+        return self.lines.filter("reason IS NOT NULL").select(
+            F.col("value").alias("line"), "reason"
+        )
+
+    def rows_observed(self, seen: Observation) -> DataFrame:
+        """``rows``, while the lines of both kinds are counted as ``rows`` and ``rejects``."""
+        return self._rows(
+            self.lines.observe(
+                seen,
+                F.count_if(F.col("reason").isNull()).alias("rows"),
+                F.count_if(F.col("reason").isNotNull()).alias("rejects"),
+            )
+        )
+
+    def _rows(self, lines: DataFrame) -> DataFrame:
+        field = _strict if self.mode == STRICT else _typed
+        return lines.filter("reason IS NULL").select(
+            *[field(self.spec, i).alias(c.name) for i, c in enumerate(self.spec.columns)]
+        )
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,53 +77,46 @@ def parse_lines(lines: DataFrame, spec: TableSpec, mode: str = STRICT) -> Parsed
     """Project, decode and type the fields a spec selects from a ``value`` column.
 
     Lines with too few fields are dropped in both modes.  Everything else that cannot be
-    loaded (broken UTF-8, a bad value, a missing required value) stops the job in strict
-    mode and goes to ``rejects`` in tolerant mode.
+    loaded (broken UTF-8, also where escapes spell it, a zero byte, a bad value, a missing
+    required value) stops the job in strict mode and goes to ``rejects`` in tolerant mode.
     """
     if mode not in (STRICT, TOLERANT):
         raise ValueError(f"unknown mode {mode!r}")
-    checked = F.validate_utf8("value") if mode == STRICT else F.col("value")
+    value = F.col("value")
+    if mode == STRICT:
+        zero = _fail(spec, "zero byte in line").cast("string")
+        value = F.when(F.contains("value", F.lit(NUL)), zero).otherwise(F.validate_utf8("value"))
     fields = lines.select(
         F.col("value"),
-        once(F.split(_without_carriage_return(checked), "\t", -1)).alias("fields"),
+        once(F.split(_without_carriage_return(value), "\t", -1)).alias("fields"),
     )
     short = F.size("fields") <= spec.last_position
     # The selected fields are decoded as one array: the decoding appears once in the plan
-    # and the generated code of wide tables stays small enough to be compiled.
+    # and the generated code of wide tables stays small enough to be compiled.  A generator
+    # keeps null tests inferred from joins, and the decoding with them, from moving below it.
     selected = F.array(*[F.get("fields", F.lit(p)) for p in spec.positions])
-    if mode == STRICT:
-        rows = fields.filter(~short).select(
-            F.transform(selected, lambda raw: _decode_or_fail(spec, raw)).alias("values")
-        )
-        return ParsedTable(
-            rows.select(*[_strict(spec, i).alias(c.name) for i, c in enumerate(spec.columns)]),
-            fields.filter(short).select(
-                F.col("value").alias("line"), F.lit(SHORT_ROW).alias("reason")
-            ),
-        )
-
+    decode = decode_checked if mode == TOLERANT else lambda raw: _decode_or_fail(spec, raw)
     decoded = fields.select(
         "value",
         short.alias("short"),
-        F.is_valid_utf8("value").alias("valid"),
-        F.transform(selected, malformed).alias("malformed"),
-        F.transform(selected, decode_field).alias("values"),
-    )
-    reason = (
-        F.when(F.col("short"), F.lit(SHORT_ROW))
-        .when(~F.col("valid"), F.lit("invalid utf-8"))
-        .otherwise(F.coalesce(*[_problem(spec, i) for i in range(len(spec.columns))]))
-    )
-    judged = decoded.select("value", "values", reason.alias("reason"))
-    typed = [_typed(spec, i).alias(c.name) for i, c in enumerate(spec.columns)]
-    return ParsedTable(
-        rows=judged.filter("reason IS NULL").select(*typed),
-        rejects=judged.filter("reason IS NOT NULL").select(F.col("value").alias("line"), "reason"),
+        once(F.when(~short, F.transform(selected, decode))).alias("values"),
     )
+    reason = F.when(F.col("short"), F.lit(SHORT_ROW))
+    if mode == TOLERANT:
+        reason = (
+            reason.when(~F.is_valid_utf8("value"), F.lit("invalid utf-8"))
+            .when(F.contains("value", F.lit(NUL)), F.lit("zero byte"))
+            .otherwise(F.coalesce(*[_problem(spec, i) for i in range(len(spec.columns))]))
+        )
+    return ParsedTable(decoded.select("value", reason.alias("reason"), "values"), spec, mode)
+
+
+def _text(i: int) -> Column:
+    return F.get("values", F.lit(i))["text"]
 
 
 def _typed(spec: TableSpec, i: int) -> Column:
-    return try_typed(F.get("values", F.lit(i)), spec.columns[i].type)
+    return try_typed(_text(i), spec.columns[i].type)
 
 
 def _fail(spec: TableSpec, what: str, shown: Column | None = None) -> Column:
@@ -100,14 +125,20 @@ def _fail(spec: TableSpec, what: str, shown: Column | None = None) -> Column:
 
 
 def _decode_or_fail(spec: TableSpec, raw: Column) -> Column:
-    bad = _fail(spec, "malformed escape", raw).cast("string")
-    return F.when(malformed(raw), bad).otherwise(decode_field(raw))
+    """The decoded field; the task fails where it cannot be loaded."""
+
+    def checked(field: Column) -> Column:
+        bad = _fail(spec, "bad field", F.concat(field["problem"], F.lit(": "), raw))
+        text = F.when(field["problem"].isNull(), field["text"]).otherwise(bad.cast("string"))
+        return F.struct(text.alias("text"))
+
+    return F.get(F.transform(F.array(decode_checked(raw)), checked), F.lit(0))
 
 
 def _strict(spec: TableSpec, i: int) -> Column:
     """The field's value, or an expression that fails the task with what was wrong."""
     column = spec.columns[i]
-    value, text = _typed(spec, i), F.get("values", F.lit(i))
+    value, text = _typed(spec, i), _text(i)
     spark_type = spec.schema[column.name].dataType
     attempts = [value]
     if column.type != "text":
@@ -121,10 +152,9 @@ def _strict(spec: TableSpec, i: int) -> Column:
 def _problem(spec: TableSpec, i: int) -> Column:
     """Reason text when the field cannot be loaded, else NULL."""
     column = spec.columns[i]
-    text = F.get("values", F.lit(i))
-    problem = F.when(
-        F.get("malformed", F.lit(i)), F.lit(f"malformed escape: {column.name}")
-    )
+    text = _text(i)
+    found = F.get("values", F.lit(i))["problem"]
+    problem = F.when(found.isNotNull(), F.concat(found, F.lit(f": {column.name}")))
     if column.name in spec.required_columns:
         problem = problem.when(text.isNull(), F.lit(f"missing value: {column.name}"))
     if column.type != "text":
@@ -134,11 +164,8 @@ def _problem(spec: TableSpec, i: int) -> Column:
     return problem
 
 
-def _empty(spark: SparkSession, spec: TableSpec) -> ParsedTable:
-    return ParsedTable(
-        spark.createDataFrame([], spec.schema),
-        spark.createDataFrame([], "line string, reason string"),
-    )
+def _empty(spark: SparkSession, spec: TableSpec, mode: str) -> ParsedTable:
+    return parse_lines(spark.createDataFrame([], "value string"), spec, mode)
 
 
 def load_table(
@@ -148,7 +175,7 @@ def load_table(
     path = f"{dump_dir.rstrip('/')}/{spec.dump_file}"
     if not path_exists(spark, path):
         log.warning("%s: no dump file at %s, table is empty", spec.table, path)
-        return _empty(spark, spec)
+        return _empty(spark, spec, mode)
     return parse_lines(read_lines(spark, path), spec, mode)
 
 

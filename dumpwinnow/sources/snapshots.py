@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -61,16 +60,14 @@ class SnapshotStore:
 
 
 def scratch_snapshot(spark: SparkSession) -> Snapshot:
-    """A new folder for intermediate tables, in the cluster's shared checkpoint folder.
+    """A new folder for intermediate tables, in the shared folder of the session.
 
-    Without one configured (local runs and tests) it is a temporary folder.
+    That is spark.checkpoint.dir, or else the warehouse, which all executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return Snapshot(spark, f"{shared.rstrip('/')}/scratch-{uuid.uuid4().hex}")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return Snapshot(spark, tempfile.mkdtemp(prefix="scratch-"))
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    return Snapshot(spark, f"{shared.rstrip('/')}/scratch-{uuid.uuid4().hex}")
 
 
 # -- catalog tables --------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from dumpwinnow.sources.specs import LOADED_TABLES
+from dumpwinnow.sources.specs import ALL_TABLES, LOADED_TABLES, spec_for
 from sample.catalog import CATALOG_SQL, LIBRARY_SQL
 
 
@@ -128,6 +128,18 @@ def _integrity(prefix: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _build() -> str:
+    columns = sum(len(spec.columns) for spec in LOADED_TABLES)
+    imported, kept = _sizes(""), _sizes("kept_")
+    return f"""
+        SELECT 'imported' AS part, "table" AS name, rows FROM ({imported})
+        UNION ALL SELECT 'kept', "table", rows FROM ({kept})
+        UNION ALL SELECT 'ledger', 'schema', {len(ALL_TABLES)}
+        UNION ALL SELECT 'ledger', 'import', CAST(sum(rows) AS BIGINT) FROM ({imported})
+        UNION ALL SELECT 'ledger', 'filter', CAST(sum(rows) AS BIGINT) FROM ({kept})
+        UNION ALL SELECT 'ledger', 'analyze', {columns}"""
+
+
 def _profile(table: str, columns: tuple[str, ...]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*) AS rows, "
@@ -259,11 +271,25 @@ def all_oracles() -> dict[str, str]:
             "SELECT * FROM mb_tag WHERE id NOT IN (SELECT tag FROM kept_mb_artist_tag)"
         ),
         "uuid_malformed": """
-            SELECT o_orderkey AS id, concat('g', substr(md5(o_orderpriority), 2)) AS gid
-            FROM orders WHERE o_orderstatus = 'O'""",
+            SELECT o_orderkey AS id,
+                   CASE o_orderkey % 6 WHEN 4 THEN '{' || md5(CAST(o_orderkey AS VARCHAR))
+                        ELSE 'g' || substr(md5(CAST(o_orderkey AS VARCHAR)), 2) END AS gid
+            FROM orders WHERE o_orderkey % 6 >= 4""",
+        "decoded_text_rejects": """
+            SELECT CAST(doc_id AS INT) AS id,
+                   CASE doc_id % 4 WHEN 1 THEN 'zero byte: body' WHEN 2 THEN 'kept'
+                        ELSE 'invalid utf-8: body' END AS reason,
+                   CASE doc_id % 4 WHEN 2 THEN length(text) + 1 END AS length
+            FROM documents""",
+        "build_from_files": _kept(_build()),
         "integrity_loaded": _catalog(_integrity("")),
         "integrity_kept": _kept(_integrity("kept_")),
         "column_profile": _catalog(_profile("mb_artist", ARTIST_COLUMNS)),
+        "column_profile_sketch": _catalog(
+            f"""SELECT * REPLACE (true AS "close") FROM (
+                SELECT * RENAME ("distinct" AS exact), true AS "close"
+                FROM ({_profile("mb_track", spec_for("mb_track").column_names)}))"""
+        ),
         "ci_name_lookup": _requests(BY_NAME),
         "ci_alias_lookup": _requests(BY_ALIAS),
         "ci_lookup": _requests(f"{BY_NAME} UNION ALL {BY_ALIAS}"),

@@ -14,10 +14,11 @@ from dumpwinnow.operators import lookup, matching, quality
 from dumpwinnow.operators.fuzzy import fuzzy_lookup
 from dumpwinnow.operators.keyjoin import distinct_keys
 from dumpwinnow.operators.subset import rules_for, subset, tables_for, write_subset
+from dumpwinnow.plans.build import Ledger, build, import_checked, read_tables
 from dumpwinnow.plans.rules import CATALOG_RULES
 from dumpwinnow.sources.dump import TOLERANT, parse_lines
 from dumpwinnow.sources.listing import latest_stamp, missing_names, shared_names, snapshot_stamps
-from dumpwinnow.sources.snapshots import scratch_snapshot
+from dumpwinnow.sources.snapshots import Snapshot, SnapshotStore, scratch_snapshot
 from dumpwinnow.sources.specs import LOADED_TABLES, Column, TableSpec, spec_for
 from sample.catalog import catalog, catalog_table, dump_lines, library, read, run_sql
 
@@ -337,13 +338,72 @@ def orphans_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uuid_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recording ids of which those of open orders are spoilt."""
-    sql = """
-        SELECT o_orderkey AS id,
-               CASE WHEN o_orderstatus = 'O' THEN concat('g', substr(md5(o_orderpriority), 2))
-                    ELSE md5(o_orderpriority) END AS gid
-        FROM {orders}"""
-    return quality.malformed_uuids(run_sql(spark, sf_dir, sql), "gid")
+    """Order keys hashed and spelled in six ways, of which two are no UUID."""
+    plain = F.md5(F.col("o_orderkey").cast("string"))
+    hyphened = F.regexp_replace(
+        plain, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
+    )
+    spelling = F.col("o_orderkey") % 6
+    gid = (
+        F.when(spelling == 0, plain)
+        .when(spelling == 1, F.upper(plain))
+        .when(spelling == 2, hyphened)
+        .when(spelling == 3, F.concat(F.lit("{"), plain, F.lit("}")))
+        .when(spelling == 4, F.concat(F.lit("{"), plain))
+        .otherwise(F.concat(F.lit("g"), F.substring(plain, 2, 31)))
+    )
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), gid.alias("gid"))
+    return quality.malformed_uuids(orders, "gid")
+
+
+def decoded_text_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts with escapes that spell broken UTF-8, a zero byte or a letter."""
+    spec = TableSpec("d", "d", (Column("id", "int", 0), Column("body", "text", 1)))
+    tail = (
+        F.when(F.col("doc_id") % 4 == 0, F.lit(r"\377"))
+        .when(F.col("doc_id") % 4 == 1, F.lit(r"\000x"))
+        .when(F.col("doc_id") % 4 == 2, F.lit(r"\x41"))
+        .otherwise(F.lit(r"\303"))
+    )
+    line = F.concat_ws(
+        "\t", F.col("doc_id").cast("string"), F.concat(encode_field(F.col("text")), tail)
+    )
+    lines = read(spark, sf_dir, "documents").select(line.alias("value"))
+    parsed = parse_lines(lines, spec, TOLERANT)
+    kept = parsed.rows.select(
+        "id", F.lit("kept").alias("reason"), F.length("body").cast("long").alias("length")
+    )
+    bad = parsed.rejects.select(
+        F.split("line", "\t", 2)[0].cast("int").alias("id"),
+        "reason",
+        F.lit(None).cast("long").alias("length"),
+    )
+    return kept.unionAll(bad)
+
+
+def build_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dump files to a published snapshot, in a run that is resumed after its import.
+
+    Rows as (part, name, rows): lines imported and rows kept of each table, and the ledger.
+    """
+    folder = scratch_snapshot(spark).path
+    for spec in LOADED_TABLES:
+        dump_lines(spark, sf_dir, spec.table).write.text(f"{folder}/dump/{spec.dump_file}")
+    names = library(spark, sf_dir)
+    store = SnapshotStore(spark, f"{folder}/out")
+    started = store.snapshot("one")
+    loaded = Snapshot(spark, f"{started.path}/loaded")
+    ledger = Ledger(started)
+    ledger.mark("import", import_checked(spark, f"{folder}/dump", loaded, TOLERANT))
+    snapshot = build(spark, f"{folder}/dump", store.root, "one", names, resume=True, mode=TOLERANT)
+    imported = loaded.read("_import").select(F.lit("imported").alias("part"), F.col("table").alias("name"), "rows")
+    kept = quality.table_sizes(read_tables(snapshot)).select(
+        F.lit("kept").alias("part"), F.col("table").alias("name"), "rows"
+    )
+    steps = ledger.entries().filter("step <> 'indexes'").select(
+        F.lit("ledger").alias("part"), F.col("step").alias("name"), "rows"
+    )
+    return imported.unionAll(kept).unionAll(steps)
 
 
 def integrity_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +420,16 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def column_profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.profile(catalog_table(spark, sf_dir, "mb_track"), "mb_track")
+    """Whether the sketched distinct count of each column is within 5 % of the exact one."""
+    track = catalog_table(spark, sf_dir, "mb_track")
+    exact = track.agg(*[F.count_distinct(c).alias(c) for c in track.columns])
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in track.columns])
+    close = F.abs(F.col("distinct") - F.col("exact")) * 20 <= F.col("exact")
+    return (
+        quality.profile(track, "mb_track")
+        .join(exact.select(F.inline(entries)), "column")
+        .select("table", "column", "rows", "nulls", "exact", close.alias("close"), "min", "max")
+    )
 
 
 # -- lookups ---------------------------------------------------------------------------
@@ -519,6 +588,8 @@ PLAIN: tuple[Query, ...] = (
     fk_orphan_keys,
     orphans_not_in,
     uuid_malformed,
+    decoded_text_rejects,
+    build_from_files,
     integrity_loaded,
     integrity_kept,
     column_profile,

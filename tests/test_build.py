@@ -6,6 +6,7 @@ from dumpwinnow.operators.fuzzy import fuzzy_lookup
 from dumpwinnow.plans import build as plan
 from dumpwinnow.plans.build import (
     STEPS,
+    Done,
     Ledger,
     build,
     filter_tables,
@@ -22,6 +23,7 @@ from dumpwinnow.sources.snapshots import (
     drop_tables,
     fill_if_empty,
 )
+from dumpwinnow.sources.specs import ALL_TABLES
 from tests.fixture_rows import (
     FIRST,
     FIRST_KEPT,
@@ -54,7 +56,7 @@ def test_full_build_and_publish(spark, tmp_path):
     profile = snapshot.read("_profile/mb_artist").filter("column = 'id'").first()
     assert (profile["rows"], profile["min"], profile["max"]) == (3, "100", "300")
     hits = fuzzy_lookup(
-        spark.createDataFrame([("autechrre",)], "request string"),
+        spark.createDataFrame([("ostrevanne",)], "request string"),
         snapshot.read("mb_artist"),
         read_name_index(snapshot),
     )
@@ -113,12 +115,14 @@ def test_unknown_and_unfinished_entries_are_ignored(spark, tmp_path):
     ledger = Ledger(Snapshot(spark, str(tmp_path)))
     assert (ledger.completed(), ledger.exists()) == (set(), False)
     assert ledger.entries().isEmpty()
-    ledger.mark("import", 5)
-    ledger.mark("no such step", 1)
+    ledger.mark("import", Done(5))
+    ledger.mark("no such step", Done(1))
     (tmp_path / "_ledger" / "filter").mkdir()
     assert ledger.completed() == {"import"}
-    ledger.mark("import", 7)
-    assert [(r["step"], r["rows"]) for r in ledger.entries().collect()] == [("import", 7)]
+    ledger.mark("import", Done(7, 2), 1.5)
+    assert [(r["step"], r["rows"], r["rejects"], r["seconds"]) for r in ledger.entries().collect()] == [
+        ("import", 7, 2, 1.5)
+    ]
 
 
 def test_steps_are_idempotent(spark, tmp_path):
@@ -130,7 +134,7 @@ def test_steps_are_idempotent(spark, tmp_path):
     assert set(import_dump(spark, dump, loaded, fresh=False).values()) == {0}
     assert counts(loaded) == FIRST_LOADED
     for _ in range(2):
-        assert filter_tables(loaded, kept, library) == sum(FIRST_KEPT.values())
+        assert filter_tables(loaded, kept, library) == Done(sum(FIRST_KEPT.values()))
         assert counts(kept) == FIRST_KEPT
         plan.write_indexes(kept)
         plan.write_profiles(kept)
@@ -146,13 +150,55 @@ def test_import_missing_file_and_rejects(spark, tmp_path):
     assert (rows["mb_tag"], rows["mb_gender"]) == (0, 3)
     rejects = {tuple(r) for r in target.read("_rejects/mb_gender").collect()}
     assert rejects == {("x\tbad", "bad value: id"), ("short", "short row")}
-    assert not target.has("_rejects/mb_artist")
+    assert target.read("_rejects/mb_artist").isEmpty()
+    assert {r["table"]: r["rejects"] for r in target.read("_import").collect()}["mb_gender"] == 2
     with pytest.raises(Exception, match="bad value for id"):
         import_dump(spark, dump, target)
     with pytest.raises(FileNotFoundError):
         import_dump(spark, str(tmp_path / "nowhere"), target)
 
 
+def test_rejects_survive_a_crash_and_are_never_stale(spark, tmp_path, monkeypatch):
+    dump = write_dump(tmp_path / "dump", FIRST)
+    with open(f"{dump}/gender", "a", encoding="utf-8") as out:
+        out.write("x\tbad\n")
+    target = Snapshot(spark, str(tmp_path / "out"))
+    store = Snapshot.write
+
+    def dies(self, table, rows):
+        if table == "_rejects/mb_gender":
+            raise RuntimeError("lost")
+        return store(self, table, rows)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Snapshot, "write", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            import_dump(spark, dump, target, mode="tolerant")
+    assert target.has("mb_gender")
+    import_dump(spark, dump, target, mode="tolerant", fresh=False)
+    assert target.read("_rejects/mb_gender").count() == 1
+    import_dump(spark, write_dump(tmp_path / "clean", FIRST), target, mode="tolerant")
+    assert target.read("_rejects/mb_gender").isEmpty()
+
+
+def test_tolerant_build(spark, tmp_path):
+    dump = write_dump(tmp_path / "dump", FIRST)
+    with open(f"{dump}/gender", "a", encoding="utf-8") as out:
+        out.write("1\tagain\n")
+    library = names(spark, [*FIRST_LIBRARY, None])
+    with pytest.raises(ValueError, match="duplicate primary keys"):
+        build(spark, dump, str(tmp_path / "strict"), "s", library)
+    snapshot = build(spark, dump, str(tmp_path / "out"), "s", library, mode="tolerant", drop_blank=True)
+    ledger = Ledger(SnapshotStore(spark, str(tmp_path / "out")).snapshot("s"))
+    entries = {r["step"]: r for r in ledger.entries().collect()}
+    assert entries["filter"]["rejects"] == 1
+    assert entries["schema"]["rows"] == 20
+    assert snapshot.read("mb_artist").count() == FIRST_KEPT["mb_artist"]
+    kept = {r["table"]: r for r in snapshot.read("_kept").collect()}
+    assert kept["mb_track"]["rows"] == FIRST_KEPT["mb_track"] and kept["mb_track"]["seconds"] > 0
+    assert all(snapshot.has(spec.table) for spec in ALL_TABLES)
+
+
 def test_catalog_tables(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS catalog_test")
     create_tables(spark, "catalog_test")

@@ -26,13 +26,13 @@ def expected(text):
 
 def test_known_names(spark):
     cases = {
-        "Autechre": "autechre",
-        "Stereolab": "stereolab",
-        "Jessica Pratt": "jessica pratt",
-        "Björk": "bjork",
-        "Sigur Rós": "sigur ros",
-        "Cécile McLorin Salvant": "cecile mclorin salvant",
-        "テスト・アーティスト": "テスト・アーティスト",
+        "Ostrevane": "ostrevane",
+        "Melodrift": "melodrift",
+        "Nora Feldt": "nora feldt",
+        "Lönna": "lonna",
+        "Vetur Nós": "vetur nos",
+        "Hélène Varda Quist": "cecile mclorin salvant",
+        "カモメ・バンド": "カモメ・バンド",
         "  Spaced Out  ": "spaced out",
         "UPPER CASE": "upper case",
         "café": "cafe",
@@ -64,10 +64,10 @@ def test_any_text(spark, texts):
 
 def artists_and_aliases(spark):
     artists = spark.createDataFrame(
-        [(1, "Björk"), (2, "Other"), (3, " 　"), (4, "x"), (5, None)], "id int, name string"
+        [(1, "Lönna"), (2, "Other"), (3, " 　"), (4, "x"), (5, None)], "id int, name string"
     )
     aliases = spark.createDataFrame(
-        [(4, "BJORK "), (1, "bjork"), (2, "another"), (9, "Björk")], "artist int, name string"
+        [(4, "LONNA "), (1, "lonna"), (2, "another"), (9, "Lönna")], "artist int, name string"
     )
     return artists, aliases
 
@@ -77,9 +77,9 @@ def names(spark, *values):
 
 
 def test_library_edge_rules(spark):
-    library = names(spark, "", "   ", "Björk", "BJÖRK", "bjork ")
-    assert sorted(r["key"] for r in library_keys(library).collect()) == ["", "bjork"]
-    assert [r["key"] for r in library_keys(library, drop_blank=True).collect()] == ["bjork"]
+    library = names(spark, "", "   ", "Lönna", "LÖNNA", "lonna ")
+    assert sorted(r["key"] for r in library_keys(library).collect()) == ["", "lonna"]
+    assert [r["key"] for r in library_keys(library, drop_blank=True).collect()] == ["lonna"]
     with_null = names(spark, "a", None)
     with pytest.raises(Exception, match="NULL"):
         library_keys(with_null).collect()
@@ -89,7 +89,7 @@ def test_library_edge_rules(spark):
 @pytest.mark.parametrize("key_rows", [None, 2, 10**9])
 def test_match_by_name_and_alias(spark, key_rows):
     artists, aliases = artists_and_aliases(spark)
-    keys = library_keys(names(spark, "björk", "  "))
+    keys = library_keys(names(spark, "lönna", "  "))
     matched = match_entities(artists, aliases, keys, key_rows)
     assert sorted(tuple(r) for r in matched.collect()) == [
         (1, True, True),

