@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     decontaminate,
     mil,
+    oracle,
     ppm,
     quality_rules,
     sentencepiece_nbest,
@@ -117,4 +118,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op2_superminhash": oracle.NEAR_DUPLICATES,
+        "op4_decontaminate": oracle.CONTAMINATION,
+        "op5_warc_revisits": oracle.REVISITS,
+        "op9_substring_dedup": oracle.WINDOWS,
+    }
