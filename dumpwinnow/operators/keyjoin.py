@@ -79,10 +79,9 @@ def _keep_salted(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     salt = F.when(
         frequent(F.col(column)), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
     ).otherwise(0)
-    copies = F.when(frequent(F.col(KEY)), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    salted_keys = keys.select(KEY, F.explode(copies).cast("bigint").alias("key_salt"))
+    every = F.array(*[F.lit(n).cast("bigint") for n in range(SALTS)])
+    copies = F.when(frequent(F.col(KEY)), every).otherwise(F.slice(every, 1, 1))
+    salted_keys = keys.select(KEY, F.explode(copies).alias("key_salt"))
     salted = rows.withColumn("row_salt", salt.cast("bigint"))
     on = (salted[column] == salted_keys[KEY]) & (salted["row_salt"] == salted_keys["key_salt"])
     return salted.join(salted_keys, on, "left_semi").drop("row_salt")

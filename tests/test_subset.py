@@ -110,8 +110,14 @@ def test_all_forms_of_the_semi_join_agree(spark, monkeypatch, wanted):
     assert keep_by_keys(rows, "k", keys).count() + drop_by_keys(rows, "k", keys).count() == 9000
 
 
-def test_split_form_shuffles_no_hot_rows(spark):
+def test_salted_form_joins_once(spark):
     rows = skewed(spark)
     keys = distinct_keys(rows, "k")
     plan = keep_by_keys(rows, "k", keys, 1000, 10)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan and "LeftAnti" in plan
+    assert plan.count("Join LeftSemi") == 1 and "key_salt" in plan and "Union" not in plan
+
+
+def test_string_keys_are_not_broadcast_by_count(spark):
+    rows = skewed(spark).withColumn("k", F.col("k").cast("string"))
+    plan = keep_by_keys(rows, "k", distinct_keys(rows, "k"), 5, 10)
+    assert "strategy=broadcast" not in plan._jdf.queryExecution().optimizedPlan().toString()
