@@ -31,12 +31,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import flat
+from .text import STEP, U64
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 #: Units whose result a task remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 MILLION = 1_000_000
@@ -46,6 +46,14 @@ NONE = 1 << 62
 Edge = tuple[int, int, bytes]  # begin, score, ids
 
 
+def text_digest(text: str) -> int:
+    """64-bit polynomial of the code points, as `analysed_together` computes it for columns."""
+    digest = 0
+    for char in text:
+        digest = (digest * STEP + ord(char) + 1) % (1 << 64)
+    return digest
+
+
 class Vocabulary:
     """Pieces with integer scores; bounded by the model's size."""
 
@@ -56,6 +64,13 @@ class Vocabulary:
         self.spelled = spelled
         self.unknown = min((s for _, s in pieces.values()), default=0) - 10 * MILLION
         self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
+        self.longest = max(map(len, pieces), default=1)
+        names = list(pieces)
+        digests = np.array([text_digest(p) for p in names], np.uint64)
+        order = np.argsort(digests)
+        self.digests = digests[order]
+        self.piece_ids = np.array([pieces[p][0] for p in names], np.int32)[order]
+        self.piece_scores = np.array([pieces[p][1] for p in names], np.int64)[order]
 
     def spell(self, char: str) -> bytes:
         """Byte pieces of a character that is no piece."""
@@ -176,6 +191,66 @@ def analysed(vocabulary: Vocabulary, unit: str) -> tuple[bytes, int, int]:
     return b"".join(steps), best[n], best[n] - second if second > -NONE else NONE
 
 
+def analysed_together(vocabulary: Vocabulary, units: list[str]) -> list[tuple[bytes, int, int] | None]:
+    """`analysed` for many units of one length at once; None where a character is no piece."""
+    count, n = len(units), len(units[0])
+    width = min(n, vocabulary.longest)
+    codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(count, n).astype(U64)
+    worst = -(1 << 60)
+    scores = np.full((count, n, width), worst, np.int64)
+    ids = np.full((count, n, width), -1, np.int32)
+    known = vocabulary.digests
+    for i in range(n):
+        digest = np.zeros(count, U64)
+        for k in range(min(width, n - i)):
+            digest = digest * U64(STEP) + (codes[:, i + k] + U64(1))
+            place = np.minimum(np.searchsorted(known, digest), len(known) - 1)
+            found = known[place] == digest
+            scores[found, i, k] = vocabulary.piece_scores[place[found]]
+            ids[found, i, k] = vocabulary.piece_ids[place[found]]
+        scores[ids[:, i, 0] < 0, i, 0] = vocabulary.unknown
+    rows = np.arange(count)
+    best, last = np.full((n + 1, count), worst, np.int64), np.zeros((n + 1, count), np.int64)
+    best[0] = 0
+    for j in range(1, n + 1):
+        for i in range(max(0, j - width), j):
+            reached = best[i] + scores[:, i, j - i - 1]
+            better = reached > best[j]
+            best[j][better] = reached[better]
+            last[j][better] = i
+    ends = np.zeros((count, n), np.int64)  # where the best path's piece from i ends, or 0
+    chosen = np.full((count, n), -1, np.int32)
+    node = np.full(count, n)
+    while node.any():
+        live = rows[node > 0]
+        begin = last[node[live], live]
+        ends[live, begin] = node[live]
+        chosen[live, begin] = ids[live, begin, node[live] - begin - 1]
+        node[live] = begin
+    ahead, second = np.full((n + 1, count), worst, np.int64), np.full(count, 2 * worst)
+    ahead[n] = 0
+    for i in range(n - 1, -1, -1):
+        for k in range(min(width, n - i)):
+            rest = scores[:, i, k] + ahead[i + k + 1]
+            np.maximum(ahead[i], rest, out=ahead[i])
+            through = np.where(ends[:, i] == i + k + 1, 2 * worst, best[i] + rest)
+            np.maximum(second, through, out=second)
+    on_path = ends > 0
+    flat_ids = chosen[on_path].tobytes()
+    cuts = np.concatenate([[0], np.cumsum(on_path.sum(axis=1) * 4)]).tolist()
+    spelled = (on_path & (chosen < 0)).any(axis=1).tolist()
+    loss = np.where(second > worst // 2, best[n] - second, NONE).tolist()
+    total = best[n].tolist()
+    return [
+        None if spelled[u] else (flat_ids[cuts[u] : cuts[u + 1]], total[u], loss[u]) for u in range(count)
+    ]
+
+
+#: Longer units are analysed one by one, and others this many at a time.
+LONG_UNIT = 24
+TOGETHER = 4096
+
+
 class Encoder:
     """Segments texts; remembers units."""
 
@@ -191,19 +266,50 @@ class Encoder:
             found = self.known[unit] = analysed(self.vocabulary, unit)
         return found
 
+    def learn(self, texts: list[str]) -> list[list[str]]:
+        """Units of some texts, of which new ones are analysed together."""
+        units_of = [self.units(text) for text in texts]
+        if not self.vocabulary.splits:
+            return units_of
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        new: dict[int, list[str]] = {}
+        for unit in set().union(*units_of).difference(self.known):
+            if len(unit) <= LONG_UNIT:
+                new.setdefault(len(unit), []).append(unit)
+        for same in new.values():
+            for low in range(0, len(same), TOGETHER):
+                part = same[low : low + TOGETHER]
+                for unit, found in zip(part, analysed_together(self.vocabulary, part), strict=True):
+                    if found is not None:
+                        self.known[unit] = found
+        return units_of
+
+    def units(self, text: str) -> list[str]:
+        """A space mark in front, spaces as marks; nothing for an empty text."""
+        if not text:
+            return []
+        marked = SPACE + text.replace(" ", SPACE)
+        return UNIT.findall(marked) if self.vocabulary.splits else [marked]
+
     def encode(self, text: str) -> tuple[bytes, int, list[tuple[int, list[tuple[int, int, bytes]]]]]:
-        """Ids and score of the best path; further paths as score and edits of the ids.
+        """Ids and score of the best path; further paths as score and edits of the ids."""
+        return self.paths(self.units(text))
+
+    def paths(self, units: list[str]) -> tuple[bytes, int, list[tuple[int, list[tuple[int, int, bytes]]]]]:
+        """The same for the units of a text.
 
         An edit (begin, end, ids) puts ids in place of those from begin to end.
         """
-        if not text:
+        if not units:
             return b"", 0, []
-        marked = SPACE + text.replace(" ", SPACE)
-        units = UNIT.findall(marked) if self.vocabulary.splits else [marked]
-        parts = [self.look_up(unit) for unit in units]
+        parts = list(map(self.known.get, units))
+        if None in parts:
+            parts = [self.look_up(unit) for unit in units]
         ids = b"".join([p[0] for p in parts])
         score = sum([p[1] for p in parts])
-        close = heapq.nsmallest(self.count - 1, range(len(parts)), key=lambda k: parts[k][2])
+        losses = [p[2] for p in parts]
+        close = heapq.nsmallest(self.count - 1, range(len(parts)), key=losses.__getitem__)
         chosen = sorted(k for k in close if parts[k][2] < NONE)
         lattice: list[list[Edge]] = [[]]
         for place, k in enumerate(chosen):
@@ -258,7 +364,8 @@ def encode_rows(shared: Broadcast, count: int):
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
-                found = [encoder.encode(t.as_py() or "") for t in part["text"]]
+                texts = part["text"].to_pylist()
+                found = [encoder.paths(units) for units in encoder.learn(texts)]
                 ends = np.concatenate([[0], np.cumsum([len(f[0]) // 4 for f in found])])
                 ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
                 more = [

@@ -207,6 +207,16 @@ def test_n_best_equal_all_paths(vocabulary, text, count):
     assert len({i for _, i in found}) == len(found) and set(found) <= set(every)
 
 
+def test_units_analysed_together_as_one_by_one(vocabulary):
+    draw = np.random.default_rng(5)
+    for n in (1, 2, 3, 7, 12, 20):
+        units = ["".join(draw.choice(list("▁aaeéstñ漢the\n#"), n)) for _ in range(60)]
+        for unit, found in zip(units, sp.analysed_together(vocabulary, units), strict=True):
+            alone = sp.analysed(vocabulary, unit)
+            plain = all(c in vocabulary.pieces for c in unit)
+            assert found == alone if found is not None or plain else True
+
+
 def test_encoding_edge_rows_round_trip(spark, edge, empty, vocabulary):
     shared = spark.sparkContext.broadcast(vocabulary)
     rows = sp.decode(sp.encode(edge, shared), shared).collect()
