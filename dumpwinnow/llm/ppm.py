@@ -139,7 +139,8 @@ def score_rows(tokens: int, distinct: int):
 
 
 def low_bytes(key: Column | str, count: int) -> Column:
-    return F.col(key).bitwiseAND(F.lit((1 << (8 * count)) - 1)) if isinstance(key, str) else key.bitwiseAND(F.lit((1 << (8 * count)) - 1))
+    column = F.col(key) if isinstance(key, str) else key
+    return column.bitwiseAND(F.lit((1 << (8 * count)) - 1))
 
 
 def context(key: str) -> Column:
@@ -183,10 +184,10 @@ def code_lengths(pairs: DataFrame) -> DataFrame:
     # pairs that training texts do not hold walk down the shorter contexts
     walk = first.where("n = 0").select(
         "key",
-        F.lit(0.0).alias("value") + F.coalesce(F.expr("log10(u_top / (t_top + u_top))"), F.lit(0.0)),
+        F.coalesce(F.expr("log10(u_top / (t_top + u_top))"), F.lit(0.0)).alias("value"),
         F.lit(False).alias("done"),
         F.col("u_top").isNotNull().alias("longer_seen"),
-    ).toDF("key", "value", "done", "longer_seen")
+    )
     for k in range(ORDER - 1, -1, -1):
         excluded = rest[k + 1].select(
             F.col("context").alias("longer"), F.col("t").alias("t_rest"), F.col("u").alias("u_rest")
@@ -223,13 +224,10 @@ def code_lengths(pairs: DataFrame) -> DataFrame:
                 (F.col("longer_seen") | F.col("u").isNotNull()).alias("longer_seen"),
             )
         )
-    used = totals[0].agg(F.coalesce(F.sum("u"), F.lit(0)).alias("used"))  # one row
-    uniform = walk.join(F.broadcast(used)).select(
-        "key",
-        (
-            F.col("value")
-            + F.when(F.col("done"), 0.0).otherwise(-F.log10((SYMBOLS - F.col("used")).cast("double")))
-        ).alias("value"),
+    used = totals[0].agg(F.sum("u")).first()[0] or 0
+    rest_of_bytes = math.log10(SYMBOLS - used)
+    uniform = walk.select(
+        "key", (F.col("value") - F.when(F.col("done"), 0.0).otherwise(rest_of_bytes)).alias("value")
     )
     return known.unionByName(uniform)
 
