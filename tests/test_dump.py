@@ -185,3 +185,30 @@ def test_latest_stamp(spark):
     assert latest_stamp(pages, "html").first()["stamp"] == "20260405-002000"
     with pytest.raises(Exception, match="no snapshot"):
         latest_stamp(pages.filter("html LIKE '%none%'"), "html").collect()
+
+
+def test_what_escapes_spell_is_validated(spark):
+    spec = TableSpec("t", "t", (Column("id", "int", 0), Column("body", "text", 1)))
+    lines = lines_of(
+        spark, "1\tfine\\x41", "2\t\\377", "3\t\\303", "4\ta\\000b", "5\t\\303\\251", "\x016\tx", "7\ta\x00b"
+    )
+    parsed = parse_lines(lines, spec, TOLERANT)
+    assert {tuple(r) for r in parsed.rows.collect()} == {(1, "fineA"), (5, "é")}
+    assert sorted(r["reason"] for r in parsed.rejects.collect()) == [
+        "bad value: id", "invalid utf-8: body", "invalid utf-8: body", "zero byte", "zero byte: body",
+    ]
+    for k in (1, 2, 3):
+        with pytest.raises(Exception, match="invalid utf-8|zero byte"):
+            parse_lines(lines.limit(k + 1).subtract(lines.limit(k)), spec).rows.collect()
+
+
+def test_fields_are_decoded_once_under_a_join(spark):
+    spec = TableSpec("t", "t", (Column("id", "int", 0), Column("body", "text", 1)))
+    lines = lines_of(spark, "1\ta", "2\tb")
+    keys = spark.createDataFrame([(1,)], "key int")
+    for mode in (STRICT, TOLERANT):
+        rows = parse_lines(lines, spec, mode).rows
+        joined = rows.join(keys, rows["id"] == keys["key"])
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1
+        assert [r["body"] for r in joined.collect()] == ["a"]
