@@ -36,7 +36,7 @@ from .text import STEP, U64
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 #: Units whose result a task remembers; beyond it the memory starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 MILLION = 1_000_000
@@ -61,6 +61,7 @@ class Vocabulary:
         self.pieces = {p: (score, array("i", [i]).tobytes()) for p, (i, score) in pieces.items()}
         self.heads = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
         self.bytes_ids = bytes_ids
+        self.byte_pieces = np.array(bytes_ids, np.int32)
         self.spelled = spelled
         self.unknown = min((s for _, s in pieces.values()), default=0) - 10 * MILLION
         self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
@@ -208,7 +209,10 @@ def analysed_together(vocabulary: Vocabulary, units: list[str]) -> list[tuple[by
             found = known[place] == digest
             scores[found, i, k] = vocabulary.piece_scores[place[found]]
             ids[found, i, k] = vocabulary.piece_ids[place[found]]
-        scores[ids[:, i, 0] < 0, i, 0] = vocabulary.unknown
+        unknown = ids[:, i, 0] < 0
+        scores[unknown, i, 0] = vocabulary.unknown
+        unknown &= codes[:, i] < U64(128)  # one byte, one id
+        ids[unknown, i, 0] = vocabulary.byte_pieces[codes[unknown, i].astype(np.int64)]
     rows = np.arange(count)
     best, last = np.full((n + 1, count), worst, np.int64), np.zeros((n + 1, count), np.int64)
     best[0] = 0
@@ -261,8 +265,6 @@ class Encoder:
     def look_up(self, unit: str) -> tuple[bytes, int, int]:
         found = self.known.get(unit)
         if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
             found = self.known[unit] = analysed(self.vocabulary, unit)
         return found
 
@@ -349,7 +351,7 @@ MORE = pa.list_(
     )
 )
 #: Texts turned into one batch of rows.
-ROWS = 500
+ROWS = 400
 
 
 def numbers(ids: bytes) -> list[int]:
