@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time; one longer text is handled alone.
-PORTION = 2 << 20
+PORTION = 1 << 20
 
 U64 = np.uint64
 STEP = 0x9E3779B97F4A7C15
