@@ -79,21 +79,26 @@ def integrity_report(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec]
         entries = []
         if spec.primary_key:
             checks.append((PRIMARY, spec.table, ", ".join(spec.primary_key)))
-            whole = f"{spec.table}.{', '.join(spec.primary_key)}"
+            columns = ", ".join(spec.primary_key)
             key = [F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in spec.primary_key]
+            value = F.concat_ws("\x1f", *key)
             entries.append(
-                _entry(whole, F.concat_ws("\x1f", *key), PRIMARY, spec.table, ", ".join(spec.primary_key))
+                _entry(f"{spec.table}.{columns}", value, PRIMARY, spec.table, columns)
             )
         for column, parent, key in spec.foreign_keys:
             if parent in tables:
                 checks.append((FOREIGN, spec.table, column))
-                entries.append(
-                    _entry(f"{parent}.{key}", F.col(column).cast("string"), FOREIGN, spec.table, column)
-                )
+                value = F.col(column).cast("string")
+                entries.append(_entry(f"{parent}.{key}", value, FOREIGN, spec.table, column))
         if entries:
             values.append(table.select(F.inline(F.array(*entries))).filter("value IS NOT NULL"))
     found = _union(
-        n.select(F.lit("not null").alias("check"), "table", F.col("column").alias("columns"), "violations")
+        n.select(
+            F.lit("not null").alias("check"),
+            "table",
+            F.col("column").alias("columns"),
+            "violations",
+        )
         for n in nulls
     )
     if not checks:
@@ -137,7 +142,10 @@ def _key_findings(values: DataFrame, checks: list[tuple[str, str, str]]) -> Data
     spark = values.sparkSession
     declared = spark.createDataFrame(checks, "check string, table string, columns string")
     return declared.join(totals, ["check", "table", "columns"], "left").select(
-        "check", "table", "columns", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")
+        "check",
+        "table",
+        "columns",
+        F.coalesce("violations", F.lit(0)).cast("long").alias("violations"),
     )
 
 

@@ -169,10 +169,8 @@ def import_dump(
             lines = spark.createDataFrame([], lines.schema)
         target.write(rejects, lines)
         log.info("%s: %d rows, %d rejects", spec.table, written[spec.table], counts["rejects"])
-    target.write(
-        "_import",
-        spark.createDataFrame([(t, n, rejected[t]) for t, n in written.items()], IMPORT_SCHEMA).coalesce(1),
-    )
+    counts = [(t, n, rejected[t]) for t, n in written.items()]
+    target.write("_import", spark.createDataFrame(counts, IMPORT_SCHEMA).coalesce(1))
     return written
 
 

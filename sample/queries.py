@@ -396,7 +396,9 @@ def build_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = Ledger(started)
     ledger.mark("import", import_checked(spark, f"{folder}/dump", loaded, TOLERANT))
     snapshot = build(spark, f"{folder}/dump", store.root, "one", names, resume=True, mode=TOLERANT)
-    imported = loaded.read("_import").select(F.lit("imported").alias("part"), F.col("table").alias("name"), "rows")
+    imported = loaded.read("_import").select(
+        F.lit("imported").alias("part"), F.col("table").alias("name"), "rows"
+    )
     kept = quality.table_sizes(read_tables(snapshot)).select(
         F.lit("kept").alias("part"), F.col("table").alias("name"), "rows"
     )
@@ -423,7 +425,9 @@ def column_profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the sketched distinct count of each column is within 5 % of the exact one."""
     track = catalog_table(spark, sf_dir, "mb_track")
     exact = track.agg(*[F.count_distinct(c).alias(c) for c in track.columns])
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in track.columns])
+    entries = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in track.columns]
+    )
     close = F.abs(F.col("distinct") - F.col("exact")) * 20 <= F.col("exact")
     return (
         quality.profile(track, "mb_track")
