@@ -180,13 +180,15 @@ def with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def likely_pairs(group: dict[str, np.ndarray], percent: int, least: int, rows: int):
+def likely_pairs(group: dict[str, np.ndarray], percent: int, least: int):
     """Pairs of a block that have to be compared, as two arrays of places, a part at a time.
 
     They lie in different components, have sizes that allow a link, agree in at least `least`
-    places of their signatures, and share no earlier band, which would compare them as well.
+    places of their signatures, and share no earlier bucket, which compares them as well.  The
+    low bytes of the signatures serve the places alone: they agree where no bucket is shared.
     """
-    brief, root, n, side, band = (group[k] for k in ("brief", "root", "n", "side", "band"))
+    brief, root, n, side = (group[k] for k in ("brief", "root", "n", "side"))
+    earlier = np.ascontiguousarray(group["earlier"].T)
     place = np.arange(len(root))
     for low in range(0, len(root), 128):
         x = place[low : low + 128]
@@ -196,11 +198,12 @@ def likely_pairs(group: dict[str, np.ndarray], percent: int, least: int, rows: i
         i, j = np.nonzero(open_)
         for part in range(0, len(i), 1 << 17):
             a, b = x[i[part : part + (1 << 17)]], j[part : part + (1 << 17)]
-            equal = brief[a] == brief[b]
-            near = equal.sum(axis=1) >= least
-            a, b, equal = a[near], b[near], equal[near]
-            first = equal.reshape(len(a), brief.shape[1] // rows, rows).all(axis=2).argmax(axis=1)
-            yield a[first == band[0]], b[first == band[0]]
+            near = (brief[a] == brief[b]).sum(axis=1) >= least
+            a, b = a[near], b[near]
+            first = np.ones(len(a), bool)
+            for bucket in earlier:
+                first &= bucket[a] != bucket[b]
+            yield a[first], b[first]
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch], slots: int):
@@ -209,21 +212,26 @@ def blocks_of(batches: Iterator[pa.RecordBatch], slots: int):
         block = table["block"].to_numpy()
         ends = np.append(np.flatnonzero(block[1:] != block[:-1]) + 1, len(block))
         brief = flat(table["brief"])[0].reshape(-1, slots)
-        columns = {k: table[k].to_numpy() for k in ("root", "n", "side", "band", "same")}
+        columns = {k: table[k].to_numpy() for k in ("root", "n", "side", "same")}
+        band = table["band"].to_numpy()
+        buckets = table["earlier"].combine_chunks().flatten().to_numpy()
+        first = np.concatenate([[0], np.cumsum(band, dtype=np.int64)])
         begin = 0
         for end in ends:
             own = {k: v[begin:end] for k, v in columns.items()}
-            yield table.slice(begin, end - begin), own | {"brief": brief[begin:end]}
+            own["brief"] = brief[begin:end]
+            own["earlier"] = buckets[first[begin] : first[end]].reshape(end - begin, band[begin])
+            yield table.slice(begin, end - begin), own
             begin = end
 
 
-def open_rows(percent: int, least: int, bands: int, rows: int):
+def open_rows(percent: int, least: int, slots: int):
     """Task: keep the rows of each block that have a pair to compare."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, group in blocks_of(batches, bands * rows):
+        for table, group in blocks_of(batches, slots):
             wanted = np.zeros(table.num_rows, bool)
-            for a, b in likely_pairs(group, percent, least, rows):
+            for a, b in likely_pairs(group, percent, least):
                 wanted[a] = wanted[b] = True
             if wanted.any():
                 yield from table.filter(pa.array(wanted)).to_batches()
@@ -231,11 +239,11 @@ def open_rows(percent: int, least: int, bands: int, rows: int):
     return task
 
 
-def link_rows(percent: int, least: int, bands: int, rows: int):
+def link_rows(percent: int, least: int, slots: int):
     """Task: compare pairs on their full sets; one link for each node and other component."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, group in blocks_of(batches, bands * rows):
+        for table, group in blocks_of(batches, slots):
             lists = table["members"].combine_chunks()
             _, shingle = np.unique(lists.flatten().to_numpy(), return_inverse=True)
             row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
@@ -243,7 +251,7 @@ def link_rows(percent: int, least: int, bands: int, rows: int):
             np.bitwise_or.at(held, (row, shingle // 8), np.uint8(1) << (shingle % 8).astype(np.uint8))
             n, root, node = group["n"], group["root"], table["node"].to_numpy()
             step = max(1, (16 << 20) // held.shape[1])
-            for a, b in likely_pairs(group, percent, least, rows):
+            for a, b in likely_pairs(group, percent, least):
                 for part in range(0, len(a), step):
                     x, y = a[part : part + step], b[part : part + step]
                     common = np.bitwise_count(held[x] & held[y]).sum(axis=1, dtype=np.int64)
@@ -259,7 +267,8 @@ def link_rows(percent: int, least: int, bands: int, rows: int):
 
 
 BLOCK_ROWS = (
-    "node long, block long, band int, same boolean, side int, n long, root long, brief binary"
+    "node long, block long, band int, same boolean, side int, n long, root long, brief binary, "
+    "earlier array<long>"
 )
 
 
@@ -285,9 +294,12 @@ def in_blocks(held: DataFrame) -> DataFrame:
 
 
 def find_links(
-    buckets: DataFrame, sets: DataFrame, briefs: DataFrame, percent: int, bands: int, rows: int
+    buckets: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int, slots: int
 ) -> DataFrame:
-    """(node, root) of all linked nodes; buckets: (bucket, band, node, n), none of one node."""
+    """(node, root) of all linked nodes; buckets: (bucket, band, node, n), none of one node.
+
+    sketches: (node, brief, bands), the buckets of all its bands, shared or not.
+    """
     lead = written(buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("l")))
     pairs = buckets.join(lead, "bucket").where("node <> l.node").select(
         F.col("l.node").alias("a"), F.col("l.n").alias("n_a"), F.col("node").alias("b"), F.col("n").alias("n_b")
@@ -302,15 +314,15 @@ def find_links(
     )
     held = held.join(mixed, "bucket", "left_semi")
     p = percent / 100
-    slots = bands * rows
     least = int(slots * (p - 6 * (p * (1 - p) / slots) ** 0.5))
-    blocks = in_blocks(held).join(briefs, "node")
+    blocks = in_blocks(held).join(sketches, "node")
+    blocks = blocks.withColumn("earlier", F.slice("bands", F.lit(1), F.col("band"))).drop("bands")
     likely = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(
-        open_rows(percent, least, bands, rows), BLOCK_ROWS
+        open_rows(percent, least, slots), BLOCK_ROWS
     )
     compared = likely.join(sets.select("node", "members"), "node")
     found = compared.repartition("block").sortWithinPartitions("block").mapInArrow(
-        link_rows(percent, least, bands, rows), "a long, b long"
+        link_rows(percent, least, slots), "a long, b long"
     )
     return components(links.unionByName(written(found)))
 
@@ -366,8 +378,7 @@ def near_duplicates(
         .select("node", "text")
         .mapInArrow(set_rows(shingle), "node long, members array<long>")
     )
-    briefs = nodes.select("node", "brief")
-    roots = find_links(buckets, sets, briefs, percent, bands, rows)
+    roots = find_links(buckets, sets, nodes.select("node", "brief", "bands"), percent, bands * rows)
     placed = with_root(nodes.select("node", "id"), roots)
     named = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     found = placed.join(named, "root").select("node", "component_id")

@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,41 @@ def test_near_duplicates_edge_rows(edge, empty):
     assert superminhash.near_duplicates(empty).collect() == []
 
 
+@pytest.mark.parametrize("equal", [True, False])
+def test_bands_equal_in_low_bytes_alone_do_not_hide_a_pair(equal):
+    """Two signatures share band 3; band 1 agrees in all slots, or in their low bytes alone."""
+    bands, rows, band = 4, 6, 3
+    slots = bands * rows
+    signature = np.random.default_rng(5).integers(1 << 63, size=(2, slots)).astype(np.uint64)
+    signature[1, band * rows :] = signature[0, band * rows :]
+    own = slice(rows, 2 * rows)
+    signature[1, own] = signature[0, own] + np.uint64(0 if equal else 256)
+    found = superminhash.band_hashes(signature, bands, rows).view(np.int64)
+    assert list(found[0] == found[1]) == [False, equal, False, True]
+    brief = [bytes(s) for s in (signature & np.uint64(255)).astype(np.uint8)]
+    assert brief[0][own] == brief[1][own]
+    block = pa.RecordBatch.from_pydict(
+        {
+            "node": [10, 11],
+            "block": [1, 1],
+            "band": pa.array([band] * 2, pa.int32()),
+            "same": [True, True],
+            "side": pa.array([0, 0], pa.int32()),
+            "n": [20, 20],
+            "root": [10, 11],
+            "brief": pa.array(brief, pa.binary()),
+            "earlier": found[:, :band].tolist(),
+            "members": [list(range(20)), list(range(20))],
+        }
+    )
+    # what an earlier bucket holds as well is compared there
+    want = [] if equal else [(10, 11)]
+    kept = list(superminhash.open_rows(85, 2 * rows, slots)(iter([block])))
+    assert [n for b in kept for n in b["node"].to_pylist()] == [n for w in want for n in w]
+    links = superminhash.link_rows(85, 2 * rows, slots)(iter([block]))
+    assert [(r["a"], r["b"]) for b in links for r in b.to_pylist()] == want
+
+
 def test_sha_of_kept_words(spark):
     docs = spark.createDataFrame([(1, " a  b\tc ")], "doc_id long, text string")
     row = remove_windows(docs).select(F.sha2("kept", 256).alias("h")).first()
