@@ -40,7 +40,8 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which benchmark windows cover at least one word in twenty."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.judged(decontaminate.find_items(docs, items, carry=True))
+    hits, _ = decontaminate.find_hits(docs, items, carry=True)
+    found = decontaminate.hit_share(hits)
     return carried_back(found.where("not contaminated"), docs.schema, "text")
 
 

@@ -6,9 +6,11 @@ prefix is its single rarest word.  Documents join on that word only.  A candidat
 fit inside the document (length and position of the word within the window), and is verified
 word by word.
 
-The windows are the stated query set.  They are dealt into blocks of at most `block` windows;
-one block at a time is broadcast and all documents are read against it, so what is broadcast
-has a fixed bound whatever the benchmark's size.
+The windows are the stated query set.  They are dealt into blocks of about `block` windows, each
+broadcast by itself, and all documents are read against each block.  Windows that the same items
+hold form a group, and a block has only the group's number beside a window's words, so a
+broadcast has a fixed bound however many items there are and however many share a window.
+Tasks name the groups they find; Spark joins these with the items of each group.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from .text import (
 )
 
 SIZE = 13
-#: Windows broadcast at a time; about 120 bytes each.
+#: Windows of a broadcast; about 150 bytes each.
 BLOCK = 200_000
 #: Candidates verified at a time.
 CANDIDATES = 1 << 20
@@ -107,13 +109,12 @@ class Index(NamedTuple):
     length: np.ndarray
     digest: np.ndarray
     words: np.ndarray  # one row for each window, padded with 0
-    items_first: np.ndarray  # window w belongs to items items_first[w] to items_first[w + 1]
-    items: np.ndarray  # numbers of items
-    names: list[str]
+    group: np.ndarray  # place in `groups` of the group that holds the window
+    groups: np.ndarray
 
 
 def build_index(rows: pa.Table, size: int, rarity: dict[int, int]) -> Index:
-    """Rows of (words, items): distinct windows with the items that hold them."""
+    """Rows of (words, group): distinct windows with the number of their group."""
     lists = rows["words"].combine_chunks()
     length = lists.value_lengths().to_numpy().astype(np.int64)
     flat_words = lists.flatten().to_numpy().view(np.uint64)
@@ -129,8 +130,7 @@ def build_index(rows: pa.Table, size: int, rarity: dict[int, int]) -> Index:
     token, offset = flat_words[prefix], column[prefix]
     by_token = np.argsort(token, kind="stable")
     tokens, first = np.unique(token[by_token], return_index=True)
-    items = rows["items"].combine_chunks().take(pa.array(by_token))
-    encoded = items.flatten().dictionary_encode()
+    groups, group = np.unique(rows["group"].to_numpy()[by_token], return_inverse=True)
     at = begin[:-1]
     return Index(
         tokens,
@@ -139,9 +139,8 @@ def build_index(rows: pa.Table, size: int, rarity: dict[int, int]) -> Index:
         length[by_token],
         Rolling(flat_words).stretch(at, at + length)[by_token],
         words[by_token],
-        np.concatenate([[0], np.cumsum(items.value_lengths().to_numpy())]).astype(np.int64),
-        encoded.indices.to_numpy().astype(np.int64),
-        encoded.dictionary.to_pylist(),
+        group,
+        groups,
     )
 
 
@@ -183,11 +182,10 @@ def occurrences(index: Index, words: Words, hashes: np.ndarray) -> tuple[np.ndar
 
 
 def hit_rows(broadcast: Broadcast):
-    """Task: documents to word counts, spans of hit words and items found."""
+    """Task: documents to word counts, spans of hit words and groups found."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = broadcast.value
-        names = pa.array(index.names, pa.string())
         for batch in batches:
             for part in portions(batch["text"]):
                 words, hashes = folded_words(part.data, part.offsets)
@@ -197,10 +195,9 @@ def hit_rows(broadcast: Broadcast):
                 np.add.at(change, begin + index.length[window], -1)
                 hit = np.cumsum(change[:-1]) > 0
                 rows = part.high - part.low
-                at, which = expand(index.items_first[window], index.items_first[window + 1] - 1)
-                row = np.searchsorted(words.first, begin[which], "right") - 1
-                pairs = np.unique(row * (len(index.names) + 1) + index.items[at])
-                row, item = np.divmod(pairs, len(index.names) + 1)
+                row = np.searchsorted(words.first, begin, "right") - 1
+                pairs = np.unique(row * (len(index.groups) + 1) + index.group[window])
+                row, group = np.divmod(pairs, len(index.groups) + 1)
                 ends = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
                 own = slice(part.low, part.high)
                 more, names_of_more = carried_columns(batch, own)
@@ -210,10 +207,10 @@ def hit_rows(broadcast: Broadcast):
                         batch["doc_id"][own],
                         pa.array(np.diff(words.first)),
                         spans_of(hit, words.first),
-                        pa.ListArray.from_arrays(pa.array(ends), names.take(pa.array(item))),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(index.groups[group])),
                         *more,
                     ],
-                    ["key", "doc_id", "n_words", "hits", "items", *names_of_more],
+                    ["key", "doc_id", "n_words", "hits", "groups", *names_of_more],
                 )
 
     return task
@@ -226,14 +223,14 @@ def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = spans_of(covered(batch["hits"], first), first)
         more, names = carried_columns(batch, slice(None))
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["n_words"], hits, batch["items"], *more],
-            ["doc_id", "n_words", "hits", "items", *names],
+            [batch["key"], batch["doc_id"], batch["n_words"], hits, batch["groups"], *more],
+            ["key", "doc_id", "n_words", "hits", "groups", *names],
         )
 
 
 FOUND = (
     "key long, doc_id long, n_words long, hits array<struct<low int, high int>>, "
-    "items array<string>"
+    "groups array<long>"
 )
 
 
@@ -253,35 +250,37 @@ def against_block(texts: DataFrame, rows: pa.Table, size: int) -> DataFrame:
     return texts.mapInArrow(hit_rows(context.broadcast(index)), FOUND + carried_schema(texts))
 
 
-def find_items(
-    docs: DataFrame,
-    items: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    item_id: str = "item_id",
-    item_text: str = "text",
-    size: int = SIZE,
-    block: int = BLOCK,
-    carry: bool = False,
-) -> DataFrame:
-    """Per document: doc_id, n_words, hits (maximal spans of hit words), items (ids, as text).
+def grouped_windows(items: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct windows (words, group) and the items of each group (group, item).
 
-    Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.  An item of
-    fewer words than `size` is one window; an item without words occurs nowhere.  Every
-    occurrence of every window counts.  Null texts have no words; a null item id is listed as
-    the empty string; ids that repeat are listed once; repeated documents get equal rows.
-    Columns other than those named are ignored, or come along in `carried` beside the text.
+    `items` has (item, text).  No row holds more than one item, however many hold a window.
+    Two sets of items are taken as equal by their size and two 64-bit digests.
     """
-    texts = keyed(docs, doc_id, text, carry)
-    named = items.select(
-        F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
-        F.coalesce(F.col(item_text), F.lit("")).alias("text"),
+    held = written(
+        items.mapInArrow(window_rows(size), "item string, words array<long>").distinct()
     )
     windows = written(
-        named.mapInArrow(window_rows(size), "item string, words array<long>")
-        .groupBy("words")
-        .agg(F.collect_set("item").alias("items"))
+        held.groupBy("words").agg(
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("item")).alias("one"),
+            F.bit_xor(F.xxhash64(F.lit(1), "item")).alias("two"),
+        )
+    )
+    same = ["n", "one", "two"]
+    # written, so that the numbers stay as they are
+    groups = written(
+        windows.groupBy(same)
+        .agg(F.min("words").alias("words"))
+        .withColumn("group", F.monotonically_increasing_id())
     )
+    numbered = written(windows.join(groups.drop("words"), same).select("words", "group"))
+    return numbered, held.join(groups.select("words", "group"), "words").select("group", "item")
+
+
+def find_groups(
+    texts: DataFrame, windows: DataFrame, size: int = SIZE, block: int = BLOCK
+) -> DataFrame:
+    """Per row of `keyed`: key, doc_id, n_words, hits, groups, and what it carries."""
     blocks = max(1, -(-windows.count() // block))
     dealt = windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
     found = [
@@ -293,34 +292,82 @@ def find_items(
         for k in range(blocks)
     ]
     if blocks == 1:
-        return found[0].drop("key")
+        return found[0]
     more = found[1]
     for rows in found[2:]:
         more = more.unionByName(rows)
-    more = more.where(F.size("items") > 0).groupBy("key").agg(
+    more = more.where(F.size("groups") > 0).groupBy("key").agg(
         F.flatten(F.collect_set("hits")).alias("more_hits"),
-        F.flatten(F.collect_set("items")).alias("more_items"),
+        F.flatten(F.collect_set("groups")).alias("more_groups"),
     )
+    none = F.array().cast("array<long>")
     return (
         found[0]
         .join(more, "key", "left")
         .select(
+            "key",
             "doc_id",
             "n_words",
             F.concat("hits", F.coalesce("more_hits", F.array())).alias("hits"),
-            F.array_distinct(F.concat("items", F.coalesce("more_items", F.array()))).alias("items"),
-            *(["text", "carried"] if carry else []),
+            F.array_distinct(F.concat("groups", F.coalesce("more_groups", none))).alias("groups"),
+            *(["text", "carried"] if "carried" in texts.columns else []),
         )
-        .mapInArrow(merged_rows, FOUND.removeprefix("key long, ") + carried_schema(texts))
+        .mapInArrow(merged_rows, FOUND + carried_schema(texts))
     )
 
 
-def judged(found: DataFrame) -> DataFrame:
-    """Add n_hit, n_items and contaminated: at least one word in twenty is hit."""
+def find_hits(
+    docs: DataFrame,
+    items: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    size: int = SIZE,
+    block: int = BLOCK,
+    carry: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """What find_items finds, with key and groups in place of items, and (group, item)."""
+    named = items.select(
+        F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
+        F.coalesce(F.col(item_text), F.lit("")).alias("text"),
+    )
+    windows, held = grouped_windows(named, size)
+    return find_groups(keyed(docs, doc_id, text, carry), windows, size, block), held
+
+
+def find_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """Per document: doc_id, n_words, hits (maximal spans of hit words), items (ids, as text).
+
+    Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.  An item of
+    fewer words than `size` is one window; an item without words occurs nowhere.  Every
+    occurrence of every window counts.  Null texts have no words; a null item id is listed as
+    the empty string; ids that repeat are listed once; repeated documents get equal rows.
+    Columns other than those named are ignored, or come along in `carried` beside the text.
+    The options are those of find_hits.
+    """
+    found, held = find_hits(docs, items, **options)
+    # written, as the documents would be read once more for their groups
+    found = written(found)
+    pairs = found.select("key", F.explode("groups").alias("group")).distinct()
+    listed = pairs.join(held, "group").groupBy("key").agg(F.collect_set("item").alias("items"))
+    none = F.array().cast("array<string>")
+    return (
+        found.drop("groups")
+        .join(listed, "key", "left")
+        .withColumn("items", F.coalesce("items", none))
+        .drop("key")
+    )
+
+
+def hit_share(found: DataFrame) -> DataFrame:
+    """Add n_hit and contaminated: at least one word in twenty is hit."""
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["high"] - x["low"])
-    return found.withColumn("n_hit", n_hit).withColumns(
-        {
-            "n_items": F.size("items").cast("long"),
-            "contaminated": F.expr("n_hit > 0 and 20 * n_hit >= n_words"),
-        }
+    return found.withColumn("n_hit", n_hit).withColumn(
+        "contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words")
     )
+
+
+def judged(found: DataFrame) -> DataFrame:
+    """Add n_hit, n_items and contaminated."""
+    return hit_share(found).withColumn("n_items", F.size("items").cast("long"))

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import os
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -61,6 +62,31 @@ def test_items_found_equal_brute_force(spark, edge, block):
     assert {r["carried"]["key"] for r in rows} == {7}
 
 
+@pytest.mark.parametrize("block", [3, 200_000])
+def test_broadcast_and_driver_hold_no_items(spark, monkeypatch, block):
+    """What reaches the driver does not grow with the items that share a passage."""
+    passage = " ".join(f"shared{k}" for k in range(16))
+    docs_rows = [(1, f"a {passage} b"), (2, "own0 own1 own2"), (3, "nothing"), (4, f"own0 own1 own2 {passage}")]
+    docs = spark.createDataFrame(docs_rows, "doc_id long, text string")
+    build, sizes = decontaminate.build_index, []
+
+    def watched(rows, *args):
+        index = build(rows, *args)
+        sizes[-1] += rows.nbytes + len(pickle.dumps(index))
+        return index
+
+    monkeypatch.setattr(decontaminate, "build_index", watched)
+    for n in (30, 3000):
+        sizes.append(0)
+        items = [(i, passage) for i in range(n)] + [(n, "own0 own1 own2"), (n + 1, "own0 own1 own2")]
+        table = spark.createDataFrame(items, "item_id long, text string")
+        rows = decontaminate.judged(decontaminate.find_items(docs, table, block=block)).collect()
+        got = sorted((r["doc_id"], r["n_words"], r["n_hit"], sorted(r["items"])) for r in rows)
+        assert got == sorted(contaminated(docs_rows, items))
+        assert all(r["n_items"] == len(r["items"]) for r in rows)
+    assert sizes[1] < 1.5 * sizes[0]
+
+
 def test_no_items_and_no_documents(spark, edge, empty):
     items = spark.createDataFrame([(1, "alpha")], "item_id long, text string")
     assert decontaminate.find_items(empty, items).collect() == []
