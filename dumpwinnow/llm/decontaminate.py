@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import carried_columns, carried_schema, keyed
+from .rows import by_value, carried_columns, keyed, value_of, with_carried
 from .scratch import written
 from .text import (
     ALPHANUMERIC,
@@ -185,7 +185,7 @@ def hit_rows(broadcast: Broadcast):
     """Task: documents to word counts, spans of hit words and groups found."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = broadcast.value
+        index = value_of(broadcast)
         for batch in batches:
             for part in portions(batch["text"]):
                 words, hashes = folded_words(part.data, part.offsets)
@@ -247,7 +247,7 @@ def against_block(texts: DataFrame, rows: pa.Table, size: int) -> DataFrame:
         counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
         rarity = {r["word"]: r["n"] for r in counted.collect()}
     index = build_index(rows, size, rarity)
-    return texts.mapInArrow(hit_rows(context.broadcast(index)), FOUND + carried_schema(texts))
+    return texts.mapInArrow(hit_rows(by_value(context, index)), with_carried(FOUND, texts))
 
 
 def grouped_windows(items: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -312,7 +312,7 @@ def find_groups(
             F.array_distinct(F.concat("groups", F.coalesce("more_groups", none))).alias("groups"),
             *(["text", "carried"] if "carried" in texts.columns else []),
         )
-        .mapInArrow(merged_rows, FOUND + carried_schema(texts))
+        .mapInArrow(merged_rows, with_carried(FOUND, texts))
     )
 
 

@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import carried_columns, carried_schema, keyed
+from .rows import by_value, carried_columns, keyed, value_of, with_carried
 from .text import (
     LOWER,
     SPACED,
@@ -160,7 +160,7 @@ def judged_rows(model: Broadcast, threshold: float):
     """Task: texts to counts and verdict."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = model.value
+        forest = value_of(model)
         for batch in batches:
             for part in portions(batch["text"]):
                 s = statistics(part.data, part.offsets)
@@ -243,10 +243,13 @@ def quality_rules(
     """
     texts = keyed(docs, doc_id, text, carry).drop("key")
     marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
-    model = docs.sparkSession.sparkContext.broadcast(train(texts.select("doc_id", "text"), marks, train_rows))
+    trees = train(texts.select("doc_id", "text"), marks, train_rows)
+    model = by_value(docs.sparkSession.sparkContext, trees)
     return texts.mapInArrow(
         judged_rows(model, threshold),
-        "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-        "n_repeat_words long, base_failed boolean, kept boolean, score double"
-        + carried_schema(texts),
+        with_carried(
+            "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+            "n_repeat_words long, base_failed boolean, kept boolean, score double",
+            texts,
+        ),
     )

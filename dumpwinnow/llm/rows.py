@@ -2,35 +2,53 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, SparkContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def by_value(context: SparkContext, value: object) -> Broadcast:
+    """Broadcast a value with the code of its class, which executors need not have installed."""
+    return context.broadcast(cloudpickle.dumps(value))
+
+
+def value_of(shared: Broadcast):
+    return pickle.loads(shared.value)
+
+
 def keyed(docs: DataFrame, doc_id: str, text: str, carry: bool = False) -> DataFrame:
     """Id, text (null: empty) and a 64-bit key of both, which also tells repeated ids apart.
 
     With `carry` all columns but the text come along in one struct, `carried`.
     """
     columns = [
-        F.col(f"`{doc_id}`").alias("doc_id"),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
+        F.col(quoted(doc_id)).alias("doc_id"),
+        F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"),
     ]
     if carry:
-        columns.append(F.struct(*[f"`{c}`" for c in docs.columns if c != text]).alias("carried"))
+        columns.append(F.struct(*[quoted(c) for c in docs.columns if c != text]).alias("carried"))
     rows = docs.select(*columns)
     return rows.select(F.xxhash64("doc_id", "text").alias("key"), *rows.columns)
 
 
-def carried_schema(rows: DataFrame) -> str:
-    """The part of a task's output schema that `carried_columns` gives."""
-    if "carried" not in rows.columns:
-        return ""
-    return f", text string, carried {rows.schema['carried'].dataType.simpleString()}"
+def with_carried(columns: str, rows: DataFrame) -> StructType:
+    """A task's output schema: the columns, and what `carried_columns` gives beside them."""
+    schema = StructType.fromDDL(columns)
+    for field in rows.schema if "carried" in rows.columns else ():
+        if field.name in ("text", "carried"):
+            schema = schema.add(field)
+    return schema
 
 
 def carried_columns(batch: pa.RecordBatch, rows: slice) -> tuple[list[pa.Array], list[str]]:
@@ -42,7 +60,7 @@ def carried_columns(batch: pa.RecordBatch, rows: slice) -> tuple[list[pa.Array],
 def carried_back(rows: DataFrame, schema: StructType, text: str) -> DataFrame:
     """The columns of the table that `keyed` was given, in its order."""
     return rows.select(
-        *[F.col(text).alias("text") if f.name == "text" else F.col(f"carried.`{f.name}`") for f in schema]
+        *[F.col(text).alias("text") if f.name == "text" else F.col(f"carried.{quoted(f.name)}") for f in schema]
     )
 
 

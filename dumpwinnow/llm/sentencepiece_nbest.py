@@ -31,6 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .rows import by_value, quoted, value_of
 from .text import STEP, U64
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -362,7 +363,7 @@ def encode_rows(shared: Broadcast, count: int):
     """Task: texts to ids, score and further paths."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, count)
+        encoder = Encoder(value_of(shared), count)
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
@@ -397,7 +398,7 @@ def decode_rows(shared: Broadcast):
     """Task: add the text that ids spell."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = shared.value.spelled
+        spelled = value_of(shared).spelled
         for batch in batches:
             texts = []
             for row in batch["ids"]:
@@ -413,7 +414,7 @@ def decode_rows(shared: Broadcast):
 
 def shared_vocabulary(spark: SparkSession, model: str = MODEL, rule: str = "zipf") -> Broadcast:
     """Bounded by the model file: some ten thousand pieces."""
-    return spark.sparkContext.broadcast(load_vocabulary(model, rule))
+    return by_value(spark.sparkContext, load_vocabulary(model, rule))
 
 
 def encode(
@@ -432,12 +433,11 @@ def encode(
     the two named are ignored.
     """
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
+        F.col(quoted(doc_id)).alias("doc_id"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")
     )
     return rows.mapInArrow(encode_rows(vocabulary, count), ENCODED)
 
 
 def decode(encoded: DataFrame, vocabulary: Broadcast) -> DataFrame:
     """Add the text of column `ids` as `decoded`; null ids give an empty text."""
-    kinds = ", ".join(f"`{n}` {k}" for n, k in encoded.dtypes)
-    return encoded.mapInArrow(decode_rows(vocabulary), f"{kinds}, decoded string")
+    return encoded.mapInArrow(decode_rows(vocabulary), encoded.schema.add("decoded", "string"))

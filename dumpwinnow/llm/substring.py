@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import carried_columns, carried_schema, keyed
+from .rows import carried_columns, keyed, with_carried
 from .scratch import written
 from .text import (
     Rolling,
@@ -213,7 +213,8 @@ def remove_windows(
         .drop("key", "rank")
         .mapInArrow(
             cut_rows,
-            "doc_id long, n_words long, removed array<struct<low int, high int>>, kept string"
-            + carried_schema(texts),
+            with_carried(
+                "doc_id long, n_words long, removed array<struct<low int, high int>>, kept string", texts
+            ),
         )
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dumpwinnow.llm import mil, ppm, quality_rules, trees
 from dumpwinnow.llm import sentencepiece_nbest as sp
+from dumpwinnow.llm.rows import by_value
 from tests.llm.conftest import EDGE, words
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -218,7 +219,7 @@ def test_units_analysed_together_as_one_by_one(vocabulary):
 
 
 def test_encoding_edge_rows_round_trip(spark, edge, empty, vocabulary):
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = by_value(spark.sparkContext, vocabulary)
     rows = sp.decode(sp.encode(edge, shared), shared).collect()
     assert Counter((r["doc_id"], r["decoded"]) for r in rows) == Counter((i, t or "") for i, t, _ in EDGE)
     assert all(r["ids"] == [] and r["score"] == 0 and r["more"] == [] for r in rows if r["doc_id"] in (3, 4))
