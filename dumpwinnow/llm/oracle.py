@@ -102,3 +102,25 @@ kept AS (
 SELECT doc_id, coalesce(n, 0) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)"""
+
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+           CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+negatives AS (
+    SELECT anchor_id, positive_id, CAST(row_number() OVER first AS INTEGER) AS rank,
+           id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    WINDOW first AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))
+SELECT * FROM negatives WHERE rank <= 3"""

@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.once import once
 from . import (
     decontaminate,
+    hard_negatives,
     mil,
     oracle,
+    periodic_runs,
     ppm,
     quality_rules,
     sentencepiece_nbest,
     sharding,
+    simhash,
     substring,
     suffix_dedup,
     superminhash,
@@ -101,6 +105,58 @@ def op10_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil.quality_scores(docs, labels)
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one document of ten, the words from a on repeat p of them to the end.
+
+    h is the crc32 of the id as text and g = floor(h / 10); chosen are h % 10 = 0, a = g % n and
+    p = 1 + floor((n - a) / (3 + g % 8)), for n words.
+    """
+    chosen = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    chosen = chosen.select(
+        "doc_id",
+        "text",
+        F.floor(F.col("h") / 10).alias("g"),
+        once(
+            F.when(
+                F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+            )
+        ).alias("ws"),
+    )
+    chosen = chosen.withColumn("n", F.size("ws")).withColumn("a", F.expr("cast(g % n as int)"))
+    chosen = chosen.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    planted = F.expr(
+        "array_join(concat(slice(ws, 1, a), slice(flatten(array_repeat("
+        "slice(ws, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)), ' ')"
+    )
+    return chosen.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    order = "transform(runs, r -> struct(-r.length as l, r.start as start, r.period as period))"
+    lines = "transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || char(10))"
+    return rows.withColumn("top", F.array_min(F.expr(order))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        (-F.col("top.l")).alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(1000 * -F.col("top.l") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.expr(lines), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors, anchor=F.col("vec_id") % 50 == 0, label=label)
+
+
+def op13_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_sentencepiece_nbest,
@@ -113,6 +169,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_label_propagation,
         op9_substring_dedup,
         op10_attention_mil,
+        op11_periodic_runs,
+        op12_hard_negatives,
+        op13_pivot_simhash,
     )
     return {f.__name__: f for f in found}
 
@@ -123,4 +182,5 @@ def all_oracles() -> dict[str, str]:
         "op4_decontaminate": oracle.CONTAMINATION,
         "op5_warc_revisits": oracle.REVISITS,
         "op9_substring_dedup": oracle.WINDOWS,
+        "op12_hard_negatives": oracle.HARD_NEGATIVES,
     }
