@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,10 +24,11 @@ NUMERIC_ESCAPE = r"\\[0-7xX]"
 PIECES = r"(?s)\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}|\\.|[^\\]+"
 END_MARK = "\\."
 
-# Stands for an escaped backslash while the other escapes are replaced; lines that hold a NUL
-# are refused before.
-HELD_BACKSLASH = "\x00"
+# Stand for an escaped backslash while the other escapes are replaced, and for the end of a
+# field while several are decoded as one text; lines that hold a NUL are refused before.
 NUL = "\x00"
+HELD_BACKSLASH = NUL + "b"
+FIELD_END = NUL + ";"
 
 # White space round a number, its sign and digits; a cast alone would also trim control
 # characters.
@@ -109,6 +112,30 @@ def decode_checked(raw: Column) -> Column:
     )
 
 
+def join_fields(raw: Sequence[Column]) -> Column:
+    """Raw fields as one text, for :func:`decode_joined`."""
+    return F.concat_ws(FIELD_END, *raw)
+
+
+def decode_joined(joined: Column) -> Column:
+    """The decoded texts of joined raw fields, NULL where a field has to be judged by itself.
+
+    Named escapes are replaced in all fields at once, in compiled code.  Escapes that spell
+    bytes, end marks and lone backslashes are left to :func:`decode_checked`.  A null marker
+    comes out as an ordinary escape; the caller knows it by the raw field.
+    """
+    without_pairs = F.replace(joined, F.lit("\\\\"), F.lit(""))
+    odd = (
+        joined.rlike(NUMERIC_ESCAPE)
+        | F.contains(without_pairs, F.lit(END_MARK))
+        | F.contains(without_pairs, F.lit("\\" + FIELD_END))
+        | without_pairs.endswith("\\")
+    )
+    return F.when(F.instr(joined, F.lit("\\")) == 0, F.split(joined, FIELD_END, -1)).when(
+        ~odd, F.split(_named(joined), FIELD_END, -1)
+    )
+
+
 def encode_field(value: Column) -> Column:
     """Value to raw field; the inverse of :func:`decode_field`."""
     text = F.replace(value, F.lit("\\"), F.lit("\\\\"))
@@ -160,4 +187,6 @@ def try_typed(text: Column, type_name: str) -> Column:
         return try_boolean(text)
     if type_name == "uuid":
         return try_uuid(text)
-    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast(type_name))
+    number = text.try_cast(type_name)
+    plain = number.cast("string") == text  # nearly always, and cheaper than the pattern
+    return F.when(plain | text.rlike(WHOLE_NUMBER), number)

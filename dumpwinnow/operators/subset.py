@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dumpwinnow.operators.keyjoin import BROADCAST_ROWS, distinct_keys, keep_by_keys
+from dumpwinnow.plans.steps import run_steps
 
 # Stands for the root key set in a rule's key sources.
 ROOT = "<root>"
@@ -108,14 +109,16 @@ def write_subset(
 
     ``write(table, rows)`` stores the rows and returns the stored table.  Rows are counted
     while they are written; the counts bound the next key sets, which decides between a
-    broadcast and a shuffled semi-join without another pass.
+    broadcast and a shuffled semi-join without another pass.  Rules that need nothing of each
+    other run side by side.
     """
     rules = tuple(rules)
     check_rules(rules)
     kept: dict[str, DataFrame] = {ROOT: root_keys}
     counts: dict[str, int | None] = {ROOT: root_rows}
     seconds: dict[str, float] = {}
-    for rule in rules:
+
+    def keep(rule: KeepRule) -> None:
         began = time.monotonic()
         rows = tables[rule.table]
         if rule.column is not None:
@@ -128,8 +131,14 @@ def write_subset(
         kept[rule.table] = write(rule.table, counted)
         counts[rule.table] = seen.get["rows"]
         seconds[rule.table] = time.monotonic() - began
+
+    run_steps(
+        root_keys.sparkSession,
+        {rule.table: partial(keep, rule) for rule in rules},
+        {rule.table: {w.table for w in rule.wanted if w.kept} for rule in rules},
+    )
     return Subset(
         {rule.table: kept[rule.table] for rule in rules},
         {rule.table: counts[rule.table] for rule in rules},
-        seconds,
+        {rule.table: seconds[rule.table] for rule in rules},
     )

@@ -11,25 +11,33 @@ import logging
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
+from math import ceil
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dumpwinnow.functions.trigrams import DEFAULT_THRESHOLD
 from dumpwinnow.operators.fuzzy import (
+    ROWS_PER_TASK,
     NameIndex,
+    Postings,
     collect_order,
     distinct_names,
     frequent_trigrams,
+    postings,
 )
 from dumpwinnow.operators.matching import library_keys, match_entities, matched_keys
 from dumpwinnow.operators.quality import integrity_report, profile
 from dumpwinnow.operators.subset import write_subset
+from dumpwinnow.plans.lease import SECONDS, exclusive
 from dumpwinnow.plans.rules import CATALOG_RULES
+from dumpwinnow.plans.steps import run_steps
 from dumpwinnow.sources.dump import STRICT, TOLERANT, load_table
 from dumpwinnow.sources.files import list_names, path_exists
 from dumpwinnow.sources.listing import missing_files
 from dumpwinnow.sources.snapshots import Snapshot, SnapshotStore
-from dumpwinnow.sources.specs import ALL_TABLES, LOADED_TABLES
+from dumpwinnow.sources.specs import ALL_TABLES, LOADED_TABLES, TableSpec
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +51,9 @@ SCHEMA, IMPORT, FILTER, INDEXES, ANALYZE = STEPS = (
 
 LEDGER_SCHEMA = "step string, rows long, rejects long, seconds double, completed_at timestamp"
 IMPORT_SCHEMA = "table string, rows long, rejects long"
+INDEX_SCHEMA = "buckets int, threshold double, rows_per_task long"
+# Names whose postings share a bucket: some 20 postings of 60 bytes each.
+BUCKET_NAMES = 100_000
 KEPT_SCHEMA = "table string, rows long, seconds double"
 
 
@@ -135,43 +146,33 @@ def import_dump(
 ) -> dict[str, int]:
     """Load every dump file into a snapshot; rows written per table.
 
-    Kept and rejected lines are counted while the rows are written.  ``_rejects/<table>``
-    is written after the rows every time, so it is never stale, and a table counts as loaded
-    only with it, so a crash in between loses no reject.  It takes a second pass over the
-    dump only when there are rejects; in strict mode it stays empty.  ``_import`` holds both
-    counts.  Unless ``fresh``, a loaded table that has rows is left alone and counts as 0.
+    Tables are loaded side by side.  Each is parsed once: rows and rejects are counted while
+    they are written by one job, so neither is there without the other.  In strict mode rejects
+    are counted only.  ``_import`` holds both counts.  Unless ``fresh``, a loaded table that has
+    rows is left alone and counts as 0.
     """
     if not path_exists(spark, dump_dir):
         raise FileNotFoundError(f"no dump folder at {dump_dir}")
     missing = missing_files(spark, dump_dir)
     if missing:
         log.warning("missing dump files: %s", ", ".join(missing))
-    written, rejected = {}, {}
-    for spec in LOADED_TABLES:
-        rejects = f"_rejects/{spec.table}"
-        if (
-            not fresh
-            and target.has(spec.table)
-            and target.has(rejects)
-            and not target.read(spec.table).isEmpty()
-        ):
-            log.info("%s: already loaded", spec.table)
-            written[spec.table], rejected[spec.table] = 0, target.read(rejects).count()
-            continue
-        parsed = load_table(spark, spec, dump_dir, mode)
-        seen = Observation(f"import {spec.table}")
-        target.write(spec.table, parsed.rows_observed(seen))
+
+    def load(spec: TableSpec) -> tuple[int, int]:
+        table = spec.table
+        if not fresh and target.has(table) and not target.read(table).isEmpty():
+            log.info("%s: already loaded", table)
+            return 0, target.rejects(table).count()
+        seen = Observation(f"import {table}")
+        lines = load_table(spark, spec, dump_dir, mode).verdicts(seen)
+        target.write_verdicts(table, lines, spec.schema)
         counts = seen.get
-        written[spec.table] = counts["rows"]
-        rejected[spec.table] = counts["rejects"] if mode == TOLERANT else 0
-        lines = parsed.rejects
-        if not rejected[spec.table]:
-            lines = spark.createDataFrame([], lines.schema)
-        target.write(rejects, lines)
-        log.info("%s: %d rows, %d rejects", spec.table, written[spec.table], counts["rejects"])
-    counts = [(t, n, rejected[t]) for t, n in written.items()]
-    target.write("_import", spark.createDataFrame(counts, IMPORT_SCHEMA).coalesce(1))
-    return written
+        log.info("%s: %d rows, %d rejects", table, counts["rows"], counts["rejects"])
+        return counts["rows"], counts["rejects"] if mode == TOLERANT else 0
+
+    counts = run_steps(spark, {spec.table: partial(load, spec) for spec in LOADED_TABLES})
+    report = [(table, *both) for table, both in counts.items()]
+    target.write("_import", spark.createDataFrame(report, IMPORT_SCHEMA).coalesce(1))
+    return {table: rows for table, (rows, _) in counts.items()}
 
 
 def write_declared(target: Snapshot) -> int:
@@ -216,6 +217,7 @@ def build(
     resume: bool = False,
     mode: str = STRICT,
     drop_blank: bool = False,
+    lease_seconds: float = SECONDS,
 ) -> Snapshot:
     """Run all steps for the snapshot ``name`` under ``root`` and publish it.
 
@@ -223,6 +225,9 @@ def build(
     library names are skipped and counted as the filter step's rejects.  ``drop_blank``
     leaves library names out that are white space alone.
 
+    A second build under the same name is refused while one runs; the lease of one that died
+    is taken over ``lease_seconds`` after its last sign of life.
+
     The published tables are in the returned snapshot; loaded tables before filtering stay
     in its ``loaded`` folder.
     """
@@ -230,26 +235,33 @@ def build(
         raise ValueError("a library is required unless everything is kept")
     store = SnapshotStore(spark, root)
     snapshot = store.snapshot(name)
-    ledger = open_ledger(snapshot, resume)
-    loaded = Snapshot(spark, f"{snapshot.path}/loaded")
-
-    published = loaded if keep_all else snapshot
-    _run(ledger, SCHEMA, lambda: Done(write_declared(published)))
-    _run(ledger, IMPORT, lambda: import_checked(spark, dump_dir, loaded, mode))
-    if keep_all:
-        # The step counts as done so that later ones can follow it; the loaded tables are
-        # the published ones.
-        if FILTER not in ledger.completed():
-            ledger.mark(FILTER, Done(0))
-    else:
-        _run(
-            ledger,
-            FILTER,
-            lambda: filter_tables(loaded, published, library, library_column, mode, drop_blank),
-        )
-    _run(ledger, INDEXES, lambda: Done(write_indexes(published)))
-    _run(ledger, ANALYZE, lambda: Done(write_profiles(published)))
-    store.publish(name if published is snapshot else f"{name}/loaded")
+    with exclusive(snapshot, lease_seconds) as held:
+        ledger = open_ledger(snapshot, resume)
+        loaded = Snapshot(spark, f"{snapshot.path}/loaded")
+        published = loaded if keep_all else snapshot
+
+        def run(step: str, work: Callable[[], Done]) -> None:
+            held()
+            _run(ledger, step, work)
+
+        run(SCHEMA, lambda: Done(write_declared(published)))
+        run(IMPORT, lambda: import_checked(spark, dump_dir, loaded, mode))
+        if keep_all:
+            # The step counts as done so that later ones can follow it; the loaded tables are
+            # the published ones.
+            if FILTER not in ledger.completed():
+                ledger.mark(FILTER, Done(0))
+        else:
+            run(
+                FILTER,
+                lambda: filter_tables(
+                    loaded, published, library, library_column, mode, drop_blank
+                ),
+            )
+        run(INDEXES, lambda: Done(write_indexes(published)))
+        run(ANALYZE, lambda: Done(write_profiles(published)))
+        held()
+        store.publish(name if published is snapshot else f"{name}/loaded")
     return published
 
 
@@ -293,26 +305,46 @@ def _stored(target: Snapshot, table: str, rows: DataFrame) -> tuple[DataFrame, i
 
 
 def write_indexes(target: Snapshot) -> int:
-    """Tables that speed up lookups: names with their trigrams, and the trigram order."""
-    names = distinct_names(target.read("mb_artist"), "name")
-    count = _write_counted(target, "_name_grams", names)
-    target.write("_frequent_grams", frequent_trigrams(target.read("_name_grams")))
+    """Tables that speed up lookups: names with their trigrams, the trigram order, postings.
+
+    ``_postings`` is bucketed by trigram; ``_index`` tells how it was made.
+    """
+    spark = target.spark
+    count = _write_counted(target, "_name_grams", distinct_names(target.read("mb_artist"), "name"))
+    names = target.read("_name_grams")
+    target.write("_frequent_grams", frequent_trigrams(names))
+    rows = postings(names, _trigram_order(target))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(count / BUCKET_NAMES))
+    target.write_buckets("_postings", rows, "slot", buckets)
+    made = [(buckets, DEFAULT_THRESHOLD, ROWS_PER_TASK)]
+    target.write("_index", spark.createDataFrame(made, INDEX_SCHEMA).coalesce(1))
     return count
 
 
 def read_name_index(target: Snapshot) -> NameIndex:
     """The written name index, ready for ``fuzzy_lookup``."""
-    frequent = target.read("_frequent_grams").orderBy(F.desc("n"), "code")
-    return NameIndex(target.read("_name_grams"), collect_order(frequent))
+    made = target.read("_index").first()
+    rows = target.read_buckets("_postings", "slot", made["buckets"])
+    return NameIndex(
+        target.read("_name_grams"),
+        _trigram_order(target),
+        Postings(rows, made["threshold"], made["rows_per_task"]),
+    )
+
+
+def _trigram_order(target: Snapshot) -> tuple[tuple[int, int], ...]:
+    return collect_order(target.read("_frequent_grams").orderBy(F.desc("n"), "code"))
 
 
 def write_profiles(target: Snapshot) -> int:
     """Column statistics of every table, one file of a few rows per table."""
-    columns = 0
-    for spec in LOADED_TABLES:
-        columns += len(spec.columns)
+
+    def work(spec: TableSpec) -> int:
         target.write(f"_profile/{spec.table}", profile(target.read(spec.table), spec.table))
-    return columns
+        return len(spec.columns)
+
+    done = run_steps(target.spark, {spec.table: partial(work, spec) for spec in LOADED_TABLES})
+    return sum(done.values())
 
 
 def read_tables(target: Snapshot) -> dict[str, DataFrame]:

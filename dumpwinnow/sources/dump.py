@@ -9,9 +9,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dumpwinnow.functions.copytext import NUL, decode_checked, try_typed
+from dumpwinnow.functions.copytext import (
+    NUL,
+    NULL_MARKER,
+    decode_checked,
+    decode_joined,
+    join_fields,
+    try_typed,
+)
 from dumpwinnow.functions.once import once
 from dumpwinnow.sources.files import path_exists
+from dumpwinnow.sources.snapshots import LINE, REASON, REJECTS, ROWS, VERDICT
 from dumpwinnow.sources.specs import LOADED_TABLES, TableSpec
 
 log = logging.getLogger(__name__)
@@ -45,21 +53,33 @@ class ParsedTable:
             F.col("value").alias("line"), "reason"
         )
 
-    def rows_observed(self, seen: Observation) -> DataFrame:
-        """``rows``, while the lines of both kinds are counted as ``rows`` and ``rejects``."""
-        return self._rows(
-            self.lines.observe(
-                seen,
-                F.count_if(F.col("reason").isNull()).alias("rows"),
-                F.count_if(F.col("reason").isNotNull()).alias("rejects"),
-            )
+    def verdicts(self, seen: Observation) -> DataFrame:
+        """All lines in one pass: typed columns, the line and reason of rejects, the verdict.
+
+        Lines of both kinds are counted as ``rows`` and ``rejects`` on the way.  In strict mode
+        rejects are counted only.
+        """
+        lines = self.lines.observe(
+            seen,
+            F.count_if(F.col("reason").isNull()).alias("rows"),
+            F.count_if(F.col("reason").isNotNull()).alias("rejects"),
+        )
+        if self.mode == STRICT:
+            lines = lines.filter("reason IS NULL")
+        good = F.col("reason").isNull()
+        return lines.select(
+            *[F.when(good, c).alias(n) for n, c in self._fields()],
+            F.when(~good, F.col("value")).alias(LINE),
+            F.col("reason").alias(REASON),
+            F.when(good, F.lit(ROWS)).otherwise(F.lit(REJECTS)).alias(VERDICT),
         )
 
-    def _rows(self, lines: DataFrame) -> DataFrame:
+    def _fields(self) -> list[tuple[str, Column]]:
         field = _strict if self.mode == STRICT else _typed
-        return lines.filter("reason IS NULL").select(
-            *[field(self.spec, i).alias(c.name) for i, c in enumerate(self.spec.columns)]
-        )
+        return [(c.name, field(self.spec, i)) for i, c in enumerate(self.spec.columns)]
+
+    def _rows(self, lines: DataFrame) -> DataFrame:
+        return lines.filter("reason IS NULL").select(*[c.alias(n) for n, c in self._fields()])
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -91,15 +111,27 @@ def parse_lines(lines: DataFrame, spec: TableSpec, mode: str = STRICT) -> Parsed
         once(F.split(_without_carriage_return(value), "\t", -1)).alias("fields"),
     )
     short = F.size("fields") <= spec.last_position
-    # The selected fields are decoded as one array: the decoding appears once in the plan
-    # and the generated code of wide tables stays small enough to be compiled.  A generator
-    # keeps null tests inferred from joins, and the decoding with them, from moving below it.
-    selected = F.array(*[F.get("fields", F.lit(p)) for p in spec.positions])
-    decode = decode_checked if mode == TOLERANT else lambda raw: _decode_or_fail(spec, raw)
-    decoded = fields.select(
+    # The selected fields are decoded as one text wherever their escapes allow it; only lines
+    # with others take the way field by field, which is interpreted.  Generators keep null tests
+    # inferred from joins, and the decoding with them, from moving below it.
+    selected = [F.get("fields", F.lit(p)) for p in spec.positions]
+    joined = fields.select(
         "value",
+        "fields",
         short.alias("short"),
-        once(F.when(~short, F.transform(selected, decode))).alias("values"),
+        once(F.when(~short, join_fields(selected))).alias("joined"),
+    )
+    together = joined.select(
+        "value", "fields", "short", once(decode_joined(F.col("joined"))).alias("texts")
+    )
+    decode = decode_checked if mode == TOLERANT else lambda raw: _decode_or_fail(spec, raw)
+    plain = F.when(F.col("texts").isNotNull(), F.array(*[_plain(i, r) for i, r in enumerate(selected)]))
+    decoded = together.select(
+        "value",
+        "short",
+        once(
+            plain.when(~F.col("short"), F.transform(F.array(*selected), decode))
+        ).alias("values"),
     )
     reason = F.when(F.col("short"), F.lit(SHORT_ROW))
     if mode == TOLERANT:
@@ -111,6 +143,12 @@ def parse_lines(lines: DataFrame, spec: TableSpec, mode: str = STRICT) -> Parsed
     return ParsedTable(decoded.select("value", reason.alias("reason"), "values"), spec, mode)
 
 
+def _plain(i: int, raw: Column) -> Column:
+    """A field that was decoded with the others of its line."""
+    text = F.when(raw != NULL_MARKER, F.get("texts", F.lit(i)))
+    return F.struct(text.alias("text"), F.lit(None).cast("string").alias("problem"))
+
+
 def _text(i: int) -> Column:
     return F.get("values", F.lit(i))["text"]
 
@@ -130,7 +168,7 @@ def _decode_or_fail(spec: TableSpec, raw: Column) -> Column:
     def checked(field: Column) -> Column:
         bad = _fail(spec, "bad field", F.concat(field["problem"], F.lit(": "), raw))
         text = F.when(field["problem"].isNull(), field["text"]).otherwise(bad.cast("string"))
-        return F.struct(text.alias("text"))
+        return F.struct(text.alias("text"), field["problem"].alias("problem"))
 
     return F.get(F.transform(F.array(decode_checked(raw)), checked), F.lit(0))
 

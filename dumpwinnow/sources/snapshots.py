@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from dumpwinnow.sources.files import path_exists, read_pointer, write_pointer
+from dumpwinnow.sources.files import list_names, path_exists, read_pointer, write_pointer
 from dumpwinnow.sources.specs import ALL_TABLES, TABLE_PREFIX, TableSpec
 
 POINTER = "CURRENT"
 
+# Columns beside a table's own where rows and rejects were written in one pass.
+VERDICT, LINE, REASON = "_verdict", "_line", "_reason"
+ROWS, REJECTS = "rows", "rejects"
+
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -33,8 +40,59 @@ class Snapshot:
         rows.write.mode("overwrite").parquet(self.table_path(table))
         return self.spark.read.schema(rows.schema).parquet(self.table_path(table))
 
+    def write_verdicts(self, table: str, lines: DataFrame, columns: StructType) -> None:
+        """Store rows and rejects of one pass over a dump, a folder for each verdict.
+
+        Both are there or neither, as they are one job's output.  A table without any line is
+        written as an empty one.
+        """
+        path = self.table_path(table)
+        lines.write.partitionBy(VERDICT).mode("overwrite").parquet(path)
+        if not any(n.startswith(VERDICT) for n in list_names(self.spark, path)):
+            self.write(table, self.spark.createDataFrame([], columns))
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.table_path(table))
+        rows = self.spark.read.parquet(self.table_path(table))
+        if VERDICT not in rows.columns:
+            return rows
+        return rows.where(F.col(VERDICT) == ROWS).drop(VERDICT, LINE, REASON)
+
+    def rejects(self, table: str) -> DataFrame:
+        """(line, reason) of the lines that were set aside when the table was loaded."""
+        rows = self.spark.read.parquet(self.table_path(table))
+        if VERDICT not in rows.columns:
+            return self.spark.createDataFrame([], "line string, reason string")
+        rejected = rows.where(F.col(VERDICT) == REJECTS)
+        return rejected.select(F.col(LINE).alias("line"), F.col(REASON).alias("reason"))
+
+
+    def write_buckets(self, table: str, rows: DataFrame, key: str, buckets: int) -> DataFrame:
+        """Store rows in buckets of a key, sorted by it, so that joins on it need no shuffle."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed_name(table)}")
+        (
+            rows.repartition(buckets, key)
+            .write.mode("overwrite")
+            .format("parquet")
+            .bucketBy(buckets, key)
+            .sortBy(key)
+            .option("path", self.table_path(table))
+            .saveAsTable(self._bucketed_name(table))
+        )
+        return self.spark.table(self._bucketed_name(table))
+
+    def read_buckets(self, table: str, key: str, buckets: int) -> DataFrame:
+        """A table of :meth:`write_buckets`, made known to this session's catalog."""
+        name, path = self._bucketed_name(table), self.table_path(table)
+        columns = self.spark.read.parquet(path).schema.toDDL()
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        return self.spark.table(name)
+
+    def _bucketed_name(self, table: str) -> str:
+        """A catalog name that belongs to this folder alone."""
+        return f"{TABLE_PREFIX}b{hashlib.sha256(self.table_path(table).encode()).hexdigest()[:24]}"
 
 
 @dataclass(frozen=True)
@@ -54,8 +112,12 @@ class SnapshotStore:
     def publish(self, name: str) -> None:
         write_pointer(self.spark, f"{self.root}/{POINTER}", name)
 
+    def current_name(self) -> str | None:
+        """Name of the published snapshot, None before the first one."""
+        return read_pointer(self.spark, f"{self.root}/{POINTER}")
+
     def current(self) -> Snapshot | None:
-        name = read_pointer(self.spark, f"{self.root}/{POINTER}")
+        name = self.current_name()
         return None if name is None else self.snapshot(name)
 
 

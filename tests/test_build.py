@@ -1,6 +1,10 @@
 import logging
+import os
+import threading
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from dumpwinnow.operators.fuzzy import fuzzy_lookup
 from dumpwinnow.plans import build as plan
@@ -15,6 +19,10 @@ from dumpwinnow.plans.build import (
     read_name_index,
     read_tables,
 )
+from dumpwinnow.plans.lease import LeaseHeld, exclusive
+from dumpwinnow.plans.steps import run_steps
+from dumpwinnow.sources import dump as dump_source
+from dumpwinnow.sources.files import create_new, path_exists, read_pointer, write_pointer
 from dumpwinnow.sources.snapshots import (
     Snapshot,
     SnapshotStore,
@@ -111,6 +119,53 @@ def test_resume_runs_only_what_is_left(spark, tmp_path, monkeypatch, caplog):
     assert "nothing to resume" in caplog.text
 
 
+def test_one_build_at_a_time_under_a_name(spark, tmp_path, monkeypatch):
+    """A second start is refused while the first runs, and takes over after it died."""
+    root, dump = str(tmp_path / "out"), write_dump(tmp_path / "dump", FIRST)
+    library = names(spark, FIRST_LIBRARY)
+    snapshot = SnapshotStore(spark, root).snapshot("s")
+    inside, refused = threading.Event(), []
+    work = plan.write_profiles
+
+    def slow(target):
+        inside.set()
+        with pytest.raises(LeaseHeld, match="running build"):
+            build(spark, dump, root, "s", library, resume=True)
+        refused.append(True)
+        return work(target)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(plan, "write_profiles", slow)
+        build(spark, dump, root, "s", library)
+    assert refused and not path_exists(spark, f"{snapshot.path}/_lease")
+
+    # a holder without a heartbeat: refused at first, taken over later
+    assert create_new(spark, f"{snapshot.path}/_lease", "dead")
+    assert not create_new(spark, f"{snapshot.path}/_lease", "late")
+    assert not any("late" in p for p in os.listdir(snapshot.path))
+    with pytest.raises(LeaseHeld):
+        build(spark, dump, root, "s", library, resume=True)
+    time.sleep(0.3)
+    build(spark, dump, root, "s", library, resume=True, lease_seconds=0.2)
+
+    # who lost the lease stops before its next step
+    with pytest.raises(LeaseHeld, match="taken over"), exclusive(snapshot) as held:
+        write_pointer(spark, f"{snapshot.path}/_lease", "other")
+        held()
+    assert read_pointer(spark, f"{snapshot.path}/_lease") == "other"
+
+
+def test_a_live_build_keeps_its_lease(spark, tmp_path):
+    snapshot = Snapshot(spark, str(tmp_path))
+    with exclusive(snapshot, seconds=1.0) as held:
+        time.sleep(1.6)
+        held()
+        with pytest.raises(LeaseHeld), exclusive(snapshot, seconds=1.0):
+            pass
+    with exclusive(snapshot):
+        pass
+
+
 def test_unknown_and_unfinished_entries_are_ignored(spark, tmp_path):
     ledger = Ledger(Snapshot(spark, str(tmp_path)))
     assert (ledger.completed(), ledger.exists()) == (set(), False)
@@ -148,9 +203,10 @@ def test_import_missing_file_and_rejects(spark, tmp_path):
     target = Snapshot(spark, str(tmp_path / "out"))
     rows = import_dump(spark, dump, target, mode="tolerant")
     assert (rows["mb_tag"], rows["mb_gender"]) == (0, 3)
-    rejects = {tuple(r) for r in target.read("_rejects/mb_gender").collect()}
+    rejects = {tuple(r) for r in target.rejects("mb_gender").collect()}
     assert rejects == {("x\tbad", "bad value: id"), ("short", "short row")}
-    assert target.read("_rejects/mb_artist").isEmpty()
+    assert target.rejects("mb_artist").isEmpty() and target.rejects("mb_tag").isEmpty()
+    assert target.read("mb_tag").columns == ["id", "name"] and target.read("mb_tag").isEmpty()
     assert {r["table"]: r["rejects"] for r in target.read("_import").collect()}["mb_gender"] == 2
     with pytest.raises(Exception, match="bad value for id"):
         import_dump(spark, dump, target)
@@ -163,22 +219,79 @@ def test_rejects_survive_a_crash_and_are_never_stale(spark, tmp_path, monkeypatc
     with open(f"{dump}/gender", "a", encoding="utf-8") as out:
         out.write("x\tbad\n")
     target = Snapshot(spark, str(tmp_path / "out"))
-    store = Snapshot.write
+    store = Snapshot.write_verdicts
 
-    def dies(self, table, rows):
-        if table == "_rejects/mb_gender":
+    def dies(self, table, lines, columns):
+        if table == "mb_gender":
             raise RuntimeError("lost")
-        return store(self, table, rows)
+        return store(self, table, lines, columns)
 
     with monkeypatch.context() as patch:
-        patch.setattr(Snapshot, "write", dies)
+        patch.setattr(Snapshot, "write_verdicts", dies)
         with pytest.raises(RuntimeError, match="lost"):
             import_dump(spark, dump, target, mode="tolerant")
-    assert target.has("mb_gender")
+    assert not target.has("mb_gender")
     import_dump(spark, dump, target, mode="tolerant", fresh=False)
-    assert target.read("_rejects/mb_gender").count() == 1
+    assert target.rejects("mb_gender").count() == 1
+    assert target.read("mb_gender").count() == FIRST_LOADED["mb_gender"]
+    assert import_dump(spark, dump, target, mode="tolerant", fresh=False)["mb_gender"] == 0
+    assert {r["table"]: r["rejects"] for r in target.read("_import").collect()}["mb_gender"] == 1
     import_dump(spark, write_dump(tmp_path / "clean", FIRST), target, mode="tolerant")
-    assert target.read("_rejects/mb_gender").isEmpty()
+    assert target.rejects("mb_gender").isEmpty()
+
+
+def test_a_dirty_dump_is_parsed_once(spark, tmp_path):
+    """Rows and rejects come from the same evaluation of every line."""
+    dump = write_dump(tmp_path / "dump", FIRST)
+    with open(f"{dump}/gender", "a", encoding="utf-8") as out:
+        out.write("x\tbad\n")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(line):
+        seen.add(1)
+        return line
+
+    read_lines = dump_source.read_lines
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(
+            dump_source, "read_lines", lambda s, p: read_lines(s, p).select(counted("value").alias("value"))
+        )
+        target = Snapshot(spark, str(tmp_path / "out"))
+        import_dump(spark, dump, target, mode="tolerant")
+    assert seen.value == sum(FIRST_LOADED.values()) + 1
+    assert target.rejects("mb_gender").count() == 1
+
+
+def test_steps_run_after_what_they_need(spark):
+    order, at_once, most = [], [], []
+    lock = threading.Lock()
+
+    def piece(name, fails=False):
+        def run():
+            with lock:
+                at_once.append(name)
+                most.append(len(at_once))
+            time.sleep(0.05)
+            with lock:
+                at_once.remove(name)
+                order.append(name)
+            if fails:
+                raise RuntimeError(name)
+            return name.upper()
+
+        return run
+
+    needs = {"c": ("a", "b"), "d": ("c", "elsewhere"), "e": ("a",)}
+    found = run_steps(spark, {n: piece(n) for n in "dceab"}, needs, at_once=3)
+    assert found == {n: n.upper() for n in "dceab"} and max(most) > 1
+    assert all(order.index(n) < order.index(m) for m, ns in needs.items() for n in ns if n in order)
+    order.clear()
+    with pytest.raises(RuntimeError, match="a"):
+        run_steps(spark, {n: piece(n, n == "a") for n in "abcde"}, needs, at_once=2)
+    assert not {"c", "d", "e"} & set(order)
+    with pytest.raises(ValueError, match="need each other"):
+        run_steps(spark, {"a": piece("a"), "b": piece("b")}, {"a": ("b",), "b": ("a",)})
 
 
 def test_tolerant_build(spark, tmp_path):
