@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,8 +33,12 @@ def duplicate_keys(table: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows that refer to no parent row; a NULL reference is no violation."""
-    return drop_by_keys(child.filter(F.col(column).isNotNull()), column, distinct_keys(parent, key))
+    """Child rows that refer to no parent row; a NULL reference is no violation.
+
+    Whole rows are shuffled here, so the rows of a parent that many refer to are spread.
+    """
+    referring = child.filter(F.col(column).isNotNull())
+    return drop_by_keys(referring, column, distinct_keys(parent, key), spread=True)
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
@@ -66,86 +71,118 @@ def integrity_report(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec]
 
     Broken references are findings, not failures: a subset may keep a track whose own
     credit was not kept.  Every table is read twice: once for all its NULL counts, once for
-    the values of all its keys and references.  These are counted per value before a value
-    meets its referrers, so a value that many rows share is one row per task by then.
+    the values of all its keys and references.  A value is shuffled with a number that stands
+    for its key and one for the constraint, as numbers where the key is numeric, and counted
+    in its own task before that; so a value that many rows share is one row per task by then.
     """
-    nulls, values, checks = [], [], []
-    for spec in specs:
-        if spec.table not in tables:
-            continue
-        table = tables[spec.table]
-        if spec.required_columns:
-            nulls.append(null_violations(table, spec.required_columns, spec.table))
-        entries = []
-        if spec.primary_key:
-            checks.append((PRIMARY, spec.table, ", ".join(spec.primary_key)))
-            columns = ", ".join(spec.primary_key)
-            key = [F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in spec.primary_key]
-            value = F.concat_ws("\x1f", *key)
-            entries.append(
-                _entry(f"{spec.table}.{columns}", value, PRIMARY, spec.table, columns)
-            )
-        for column, parent, key in spec.foreign_keys:
-            if parent in tables:
-                checks.append((FOREIGN, spec.table, column))
-                value = F.col(column).cast("string")
-                entries.append(_entry(f"{parent}.{key}", value, FOREIGN, spec.table, column))
-        if entries:
-            values.append(table.select(F.inline(F.array(*entries))).filter("value IS NOT NULL"))
-    found = _union(
+    specs = [spec for spec in specs if spec.table in tables]
+    nulls = [
+        null_violations(tables[spec.table], spec.required_columns, spec.table)
+        for spec in specs
+        if spec.required_columns
+    ]
+    found = [
         n.select(
-            F.lit("not null").alias("check"),
-            "table",
-            F.col("column").alias("columns"),
-            "violations",
+            F.lit("not null").alias("check"), "table", F.col("column").alias("columns"), "violations"
         )
         for n in nulls
-    )
-    if not checks:
-        return found
-    return found.unionAll(_key_findings(_union(values), checks))
+    ]
+    domains = _domains(tables, specs)
+    for numeric in (True, False):
+        own = [d for d in domains if d.numeric == numeric]
+        if own:
+            found.append(_key_findings(tables, own))
+    return _union(found)
 
 
 PRIMARY, FOREIGN = "primary key", "foreign key"
-NO_VALUE = "\x00"
+NUMBERS = ("tinyint", "smallint", "int", "bigint")
+# Columns of a numeric key that travel as numbers; longer keys go as text.
+KEY_COLUMNS = 2
 
 
-def _entry(domain: str, value: Column, check: str, table: str, columns: str) -> Column:
-    """One value of a key or reference; `domain` names the key that it belongs to."""
-    return F.struct(
-        F.lit(domain).alias("domain"),
-        value.alias("value"),
-        F.lit(check).alias("check"),
-        F.lit(table).alias("table"),
-        F.lit(columns).alias("columns"),
-    )
+@dataclass
+class _Domain:
+    """Values that one key defines: the key itself and its references."""
 
+    number: int
+    table: str
+    columns: tuple[str, ...]
+    numeric: bool
+    declared: bool = False  # as a primary key, so that duplicates are violations
+    references: list[tuple[str, str]] = field(default_factory=list)  # table, column
 
-def _key_findings(values: DataFrame, checks: list[tuple[str, str, str]]) -> DataFrame:
-    """Duplicate keys and references without a key, with zeros for checks without findings."""
-    counted = values.groupBy("domain", "value", "check", "table", "columns").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    # a value's entries: its key and one for each reference column that may name it
-    met = counted.groupBy("domain", "value").agg(
-        F.bool_or(F.col("check") == PRIMARY).alias("present"),
-        F.collect_list(F.struct("check", "table", "columns", "n")).alias("entries"),
-    )
-    wrong = F.when(F.col("check") == PRIMARY, (F.col("n") > 1).cast("long")).when(
-        ~F.col("present"), F.col("n")
+    def checks(self) -> list[tuple[int, str, str, str]]:
+        """(slot, check, table, columns): slot 0 is the key, the others are references."""
+        found = [(0, PRIMARY, self.table, ", ".join(self.columns))] if self.declared else []
+        return found + [(k, FOREIGN, t, c) for k, (t, c) in enumerate(self.references, 1)]
+
+
+def _domains(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> list[_Domain]:
+    types = {spec.table: dict(tables[spec.table].dtypes) for spec in specs}
+    found: dict[tuple[str, tuple[str, ...]], _Domain] = {}
+
+    def domain(table: str, columns: tuple[str, ...]) -> _Domain:
+        numeric = len(columns) <= KEY_COLUMNS and all(types[table][c] in NUMBERS for c in columns)
+        return found.setdefault((table, columns), _Domain(len(found), table, columns, numeric))
+
+    for spec in specs:
+        if spec.primary_key:
+            domain(spec.table, spec.primary_key).declared = True
+    for spec in specs:
+        for column, parent, key in spec.foreign_keys:
+            if parent in tables:
+                own = domain(parent, (key,))
+                own.numeric &= types[spec.table][column] in NUMBERS
+                own.references.append((spec.table, column))
+    return list(found.values())
+
+
+def _key_findings(tables: Mapping[str, DataFrame], domains: Sequence[_Domain]) -> DataFrame:
+    """Duplicate keys and references without a key, zero where there is none.
+
+    The entries of one value, its key's and its references', meet in one shuffle and are
+    counted by slot in plain sums.
+    """
+    numeric = domains[0].numeric
+    no_value = F.lit(None).cast("bigint" if numeric else "string")
+
+    def entry(number: int, slot: int, columns: Sequence[str]) -> Column:
+        if numeric:
+            parts = [F.col(c).cast("bigint") for c in columns]
+        elif len(columns) == 1:
+            parts = [F.col(columns[0]).cast("string")]
+        else:
+            texts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]
+            parts = [F.concat_ws("\x1f", *texts)]
+        parts += [no_value] * (KEY_COLUMNS - len(parts))
+        names = [part.alias(f"v{k}") for k, part in enumerate(parts)]
+        return F.struct(F.lit(number).alias("domain"), F.lit(slot).alias("slot"), *names)
+
+    entries: dict[str, list[Column]] = {}
+    for d in domains:
+        entries.setdefault(d.table, []).append(entry(d.number, 0, d.columns))
+        for slot, (table, column) in enumerate(d.references, 1):
+            entries.setdefault(table, []).append(entry(d.number, slot, [column]))
+    values = _union(
+        tables[table].select(F.inline(F.array(*own))) for table, own in entries.items()
+    ).filter("slot = 0 OR v0 IS NOT NULL")
+    slots = range(max(len(d.references) for d in domains) + 1)
+    counted = values.groupBy("domain", "v0", "v1").agg(
+        *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in slots]
     )
-    totals = (
-        met.select("present", F.inline("entries"))
-        .groupBy("check", "table", "columns")
-        .agg(F.sum(F.coalesce(wrong, F.lit(0))).alias("violations"))
+    wrong = [F.sum((F.col("n0") > 1).cast("long")).alias("w0")]
+    wrong += [F.sum(F.when(F.col("n0") == 0, F.col(f"n{k}"))).alias(f"w{k}") for k in slots if k]
+    totals = counted.groupBy("domain").agg(F.array(*wrong).alias("wrong"))
+    checks = [(d.number, *check) for d in domains for check in d.checks()]
+    declared = tables[next(iter(entries))].sparkSession.createDataFrame(
+        checks, "domain int, slot int, check string, table string, columns string"
     )
-    spark = values.sparkSession
-    declared = spark.createDataFrame(checks, "check string, table string, columns string")
-    return declared.join(totals, ["check", "table", "columns"], "left").select(
+    return declared.join(totals, "domain", "left").select(
         "check",
         "table",
         "columns",
-        F.coalesce("violations", F.lit(0)).cast("long").alias("violations"),
+        F.coalesce(F.get("wrong", F.col("slot")), F.lit(0)).cast("long").alias("violations"),
     )
 
 
