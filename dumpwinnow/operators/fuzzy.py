@@ -7,10 +7,13 @@ trigrams are joined on; with rare trigrams first in the order, the frequent ones
 would pair nearly everything with everything, are mostly never joined on at all.
 
 * Copies of a name are folded into one before anything is shuffled.
-* A pair is looked at under every leading trigram it shares and passes only under the first
-  trigram it has in common, so no pair is emitted twice and no deduplication follows.
-* Trigrams that stay frequent are salted: their names are spread over several tasks and the
+* A leading trigram's row, a posting, has a name's number, its size, the trigram's place and a
+  bitmap of the set.  These bound what a pair can share; the sets themselves are joined back
+  only to pairs that pass, each once, and intersected.
+* Trigrams that stay frequent are salted: their postings are spread over several tasks and the
   requests copied to each.
+* Postings can be stored in buckets of their trigrams; lookups then read them in place and
+  shuffle the requests alone.
 
 Order and salts steer the work only; any choice of either gives the same pairs.
 """
@@ -23,7 +26,9 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dumpwinnow.functions.trigrams import DEFAULT_THRESHOLD, similarity, trigram_codes
+from dumpwinnow.functions.once import once
+from dumpwinnow.functions.trigrams import DEFAULT_THRESHOLD, trigram_codes
+from dumpwinnow.sources.snapshots import scratch_snapshot
 
 # The most frequent trigrams are put last in the order; all others tie as rare.
 RANKED_TRIGRAMS = 1024
@@ -40,15 +45,29 @@ SIGNATURE_WORDS = 4
 SLACK = 1e-9
 
 
+@dataclass(frozen=True)
+class Postings:
+    """Stored postings (slot, id, place, size, bitmap) of all names.
+
+    They serve lookups at ``threshold`` or above; ``rows_per_task`` fixed their salts.
+    """
+
+    rows: DataFrame
+    threshold: float = DEFAULT_THRESHOLD
+    rows_per_task: int = ROWS_PER_TASK
+
+
 @dataclass(frozen=True)
 class NameIndex:
     """Distinct lower-cased names with their trigram codes, and the trigram order.
 
-    ``names`` is (name_key, grams); ``frequent`` is (code, n), most frequent first.
+    ``names`` is (name_key, grams); ``frequent`` is (code, n), most frequent first.  Without
+    stored postings each lookup makes its own.
     """
 
     names: DataFrame
     frequent: tuple[tuple[int, int], ...]
+    postings: Postings | None = None
 
 
 def distinct_names(table: DataFrame, name: str) -> DataFrame:
@@ -82,8 +101,8 @@ def frequent_trigrams(names: DataFrame, limit: int = RANKED_TRIGRAMS) -> DataFra
 
 
 def index_names(table: DataFrame, name: str = "name") -> NameIndex:
-    """Index of a table's names; runs one job for the trigram order."""
-    names = distinct_names(table, name)
+    """Index of a table's names, written to the session's shared folder for this lookup."""
+    names = scratch_snapshot(table.sparkSession).write("names", distinct_names(table, name))
     return NameIndex(names, collect_order(frequent_trigrams(names)))
 
 
@@ -134,32 +153,59 @@ def _signature(word: int) -> Column:
     )
 
 
-def _leading(names: DataFrame, order: Column, threshold: float, salts: str) -> DataFrame:
-    """One row per leading trigram of a name, with what the join condition needs.
+def _lead(size: Column, threshold: float) -> Column:
+    """How many leading trigrams of a set can decide about a pair."""
+    return size - F.ceil(size * threshold - SLACK).cast("int") + 1
+
+
+def _leading(
+    names: DataFrame, frequent: tuple[tuple[int, int], ...], threshold: float, rows_per_task: int
+) -> DataFrame:
+    """One row per leading trigram ``g`` of a name, with what the join condition needs.
 
     Every column is declared non-null and the generator is the outer one, since the optimizer
     would otherwise push null and emptiness tests, and with them the building of the trigram
     arrays, below the deduplication of the names.
     """
-    size = F.col("size")
-    lead = size - F.ceil(size * threshold - SLACK).cast("int") + 1
     words = [
         F.coalesce(_signature(word), F.lit(0).cast("long")).alias(f"bits{word}")
         for word in range(SIGNATURE_WORDS)
     ]
     no_grams = F.array().cast("array<bigint>")
+    sets = names.select(
+        F.xxhash64("name_key").alias("id"),
+        F.coalesce(_in_order(frequent), no_grams).alias("grams"),
+        F.coalesce(F.size("grams"), F.lit(0)).alias("size"),
+        *words,
+    )
+    leading = F.posexplode_outer(F.slice("grams", 1, _lead(F.col("size"), threshold)))
     return (
-        names.select(
-            "name_key",
-            F.coalesce(order, no_grams).alias("grams"),
-            F.coalesce(F.size("grams"), F.lit(0)).alias("size"),
-            *words,
-        )
-        .select("*", F.posexplode_outer(F.slice("grams", 1, lead)).alias("place", "g"))
-        .select("*", F.expr(salts).alias("salts"))
+        sets.select("*", leading.alias("place", "g"))
+        .drop("grams")
+        .select("*", F.expr(_salts(frequent, rows_per_task)).alias("salts"))
     )
 
 
+def _slot(salt: Column) -> Column:
+    """What postings and requests are joined on: the trigram, or one salt of a frequent one."""
+    return F.when(F.col("salts") == 1, F.col("g")).otherwise(F.xxhash64("g", salt))
+
+
+POSTING = ("slot", "id", "place", "size", *[f"bits{word}" for word in range(SIGNATURE_WORDS)])
+
+
+def postings(
+    names: DataFrame,
+    frequent: tuple[tuple[int, int], ...],
+    threshold: float = DEFAULT_THRESHOLD,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """The inverted list of names: a row for each leading trigram of each name."""
+    rows = _leading(names, frequent, threshold, rows_per_task)
+    salt = F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")
+    return rows.filter(F.col("g").isNotNull()).withColumn("slot", _slot(salt)).select(*POSTING)
+
+
 def similar_names(
     requests: DataFrame,
     index: NameIndex,
@@ -168,20 +214,22 @@ def similar_names(
 ) -> DataFrame:
     """(request_key, name_key, similarity) of all pairs at or above the threshold.
 
-    ``requests`` is a :func:`distinct_names` result.
+    ``requests`` is a :func:`distinct_names` result.  ``rows_per_task`` counts only where no
+    stored postings serve the threshold.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
-    order = _in_order(index.frequent)
-    salts = _salts(index.frequent, rows_per_task)
-    held = _leading(index.names, order, threshold, salts).withColumn(
-        "salt", F.pmod(F.xxhash64("name_key"), F.col("salts")).cast("int")
-    )
-    asked = _leading(requests, order, threshold, salts)
-    asked = asked.select(*[F.col(c).alias(f"r_{c}") for c in asked.columns]).withColumn(
-        "r_salt", F.explode(F.sequence(F.lit(0), F.col("r_salts") - 1))
-    )
-    # Cheap bounds come first; the sets are intersected for pairs that pass them all.
+    stored = index.postings
+    if stored is not None and threshold >= stored.threshold:
+        held, rows_per_task = stored.rows, stored.rows_per_task
+        if threshold > stored.threshold:
+            held = held.filter(F.col("place") < _lead(F.col("size"), threshold))
+    else:
+        held = postings(index.names, index.frequent, threshold, rows_per_task)
+    asked = _leading(requests, index.frequent, threshold, rows_per_task)
+    asked = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    asked = asked.withColumn("slot", _slot(F.col("salt")))
+    asked = asked.select(*[F.col(c).alias(f"r_{c}") for c in POSTING])
     sizes = F.col("r_size") + F.col("size")
     needed = F.ceil(sizes * (threshold / (1 + threshold)) - SLACK)
     still_ahead = F.least(F.col("r_size") - F.col("r_place"), F.col("size") - F.col("place"))
@@ -189,29 +237,33 @@ def similar_names(
         F.bit_count(F.col(f"r_bits{word}").bitwiseXOR(F.col(f"bits{word}")))
         for word in range(SIGNATURE_WORDS)
     )
-    pairs = asked.join(
-        held,
-        (F.col("r_g") == F.col("g"))
-        & (F.col("r_salt") == F.col("salt"))
-        & (still_ahead >= needed)
-        & (sizes - differing >= 2 * needed)
-        & (_similarity_at_first_shared(sizes) >= threshold),
+    pairs = (
+        asked.join(
+            held,
+            (F.col("r_slot") == F.col("slot"))
+            & (still_ahead >= needed)
+            & (sizes - differing >= 2 * needed),
+        )
+        .select("r_id", "id")
+        .distinct()
     )
-    return pairs.select(
-        F.col("r_name_key").alias("request_key"),
-        "name_key",
-        similarity(F.col("r_grams"), F.col("grams")).alias("similarity"),
+    # names that share a number, if any do, are all judged by their sets
+    one = requests.select(
+        F.xxhash64("name_key").alias("r_id"),
+        F.col("name_key").alias("request_key"),
+        F.col("grams").alias("r_grams"),
+    )
+    two = index.names.select(F.xxhash64("name_key").alias("id"), "name_key", "grams")
+    both = (F.size("r_grams") + F.size("grams")).alias("both")
+    shared = once(F.size(F.array_intersect("r_grams", "grams"))).alias("shared")
+    score = (F.col("shared") / (F.col("both") - F.col("shared"))).alias("similarity")
+    return (
+        pairs.join(two, "id")
+        .join(one, "r_id")
+        .select("request_key", "name_key", both, shared)
+        .select("request_key", "name_key", score)
+        .filter(F.col("similarity") >= threshold)
     )
-
-
-def _similarity_at_first_shared(sizes: Column) -> Column:
-    """Similarity when the joined trigram is the first one both share, else NULL."""
-
-    def measure(shared: Column) -> Column:
-        n = F.size(shared)
-        return F.when(F.get(shared, F.lit(0)) == F.col("g"), n / (sizes - n))
-
-    return F.get(F.transform(F.array(F.array_intersect("r_grams", "grams")), measure), F.lit(0))
 
 
 def fuzzy_lookup(
@@ -230,7 +282,9 @@ def fuzzy_lookup(
     """
     index = index or index_names(catalog, name)
     asked = requests.select(F.col(request).alias("request")).distinct()
-    pairs = similar_names(distinct_names(asked, "request"), index, threshold, rows_per_task)
+    # written, as the requests are read once for their trigrams and once for their sets
+    names = scratch_snapshot(requests.sparkSession).write("names", distinct_names(asked, "request"))
+    pairs = similar_names(names, index, threshold, rows_per_task)
     rows = catalog.select(F.col(entity).alias("id"), F.col(name).alias("name"))
     return (
         pairs.join(asked, F.lower("request") == F.col("request_key"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dumpwinnow.operators.keyjoin import frequent_keys, spread_join
+
 BY_NAME = "name"
 BY_ALIAS = "alias"
 
@@ -62,63 +64,63 @@ def lookup_key(requests: DataFrame, column: str, table: DataFrame, key: str) ->
 
 
 # -- navigation along the catalog's references -----------------------------------------
+#
+# A credit, a medium or a tag may be what a large share of the rows refer to, so these joins
+# spread the rows of frequent keys.
 
 
 def credits_of_artists(credit_names: DataFrame, credits: DataFrame) -> DataFrame:
     """(artist, artist_credit, position, credit_name) of every artist's credits."""
-    return credit_names.join(credits, credit_names["artist_credit"] == credits["id"]).select(
-        credit_names["artist"],
-        credits["id"].alias("artist_credit"),
-        credit_names["position"],
-        credits["name"].alias("credit_name"),
+    named = credits.select(F.col("id").alias("artist_credit"), F.col("name").alias("credit_name"))
+    members = credit_names.select("artist", F.col("artist_credit").alias("credit"), "position")
+    return spread_join(members, named, "credit", "artist_credit", right_unique=True).select(
+        "artist", "artist_credit", "position", "credit_name"
     )
 
 
 def release_groups_of_artists(credit_names: DataFrame, release_groups: DataFrame) -> DataFrame:
     """(artist, release_group, name, type); joined on the credit both carry."""
-    return credit_names.join(
-        release_groups, credit_names["artist_credit"] == release_groups["artist_credit"]
-    ).select(
-        credit_names["artist"],
-        release_groups["id"].alias("release_group"),
-        release_groups["name"],
-        release_groups["type"],
+    members = credit_names.select("artist", F.col("artist_credit").alias("credit"))
+    groups = release_groups.select(
+        "artist_credit", F.col("id").alias("release_group"), "name", "type"
+    )
+    return spread_join(members, groups, "credit", "artist_credit").select(
+        "artist", "release_group", "name", "type"
     )
 
 
 def recordings_of_artists(credit_names: DataFrame, recordings: DataFrame) -> DataFrame:
     """(artist, recording, gid, name, length); joined on the credit both carry."""
-    return credit_names.join(
-        recordings, credit_names["artist_credit"] == recordings["artist_credit"]
-    ).select(
-        credit_names["artist"],
-        recordings["id"].alias("recording"),
-        recordings["gid"],
-        recordings["name"],
-        recordings["length"],
+    members = credit_names.select("artist", F.col("artist_credit").alias("credit"))
+    made = recordings.select(
+        "artist_credit", F.col("id").alias("recording"), "gid", "name", "length"
+    )
+    return spread_join(members, made, "credit", "artist_credit").select(
+        "artist", "recording", "gid", "name", "length"
     )
 
 
 def tracks_of_recordings(tracks: DataFrame, recordings: DataFrame, media: DataFrame) -> DataFrame:
     """(recording, recording_name, track, position, medium, format) along track's references."""
-    return (
-        tracks.join(recordings, tracks["recording"] == recordings["id"])
-        .join(media, tracks["medium"] == media["id"])
-        .select(
-            recordings["id"].alias("recording"),
-            recordings["name"].alias("recording_name"),
-            tracks["id"].alias("track"),
-            tracks["position"],
-            media["id"].alias("medium"),
-            media["format"],
-        )
+    placed = tracks.select(
+        F.col("id").alias("track"), "position", F.col("recording").alias("of"), F.col("medium").alias("on")
+    )
+    named = recordings.select(F.col("id").alias("recording"), F.col("name").alias("recording_name"))
+    carriers = media.select(F.col("id").alias("medium"), "format")
+    found = spread_join(placed, named, "of", "recording", right_unique=True)
+    # the same tracks by their medium: looked for in the table, not in the join's result
+    hot = frequent_keys(placed, "on")
+    return spread_join(found, carriers, "on", "medium", right_unique=True, hot_left=hot).select(
+        "recording", "recording_name", "track", "position", "medium", "format"
     )
 
 
 def tags_of_artists(artist_tags: DataFrame, tags: DataFrame) -> DataFrame:
     """(artist, tag, name, count) of every artist's tags."""
-    return artist_tags.join(tags, artist_tags["tag"] == tags["id"]).select(
-        artist_tags["artist"], artist_tags["tag"], tags["name"], artist_tags["count"]
+    named = tags.select(F.col("id").alias("tag"), "name")
+    given = artist_tags.select("artist", F.col("tag").alias("given"), "count")
+    return spread_join(given, named, "given", "tag", right_unique=True).select(
+        "artist", "tag", "name", "count"
     )
 
 

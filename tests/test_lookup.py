@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from dumpwinnow.operators.fuzzy import (
     index_names,
     similar_names,
 )
+from dumpwinnow.operators.keyjoin import frequent_keys, spread_join
+from dumpwinnow.plans.build import read_name_index, write_indexes
+from dumpwinnow.sources.snapshots import Snapshot
 from tests.fixture_rows import FIRST
 from tests.test_names import grams_of
 from tests.test_subset import frames
@@ -41,6 +45,71 @@ def test_key_lookup_and_tags(spark):
     assert of == {100: ["electronic", "experimental"], 200: ["experimental", "rock"]}
 
 
+def largest_share(rows):
+    """Share of the rows in the fullest partition."""
+    held = rows.groupBy(F.spark_partition_id().alias("p")).count()
+    return held.agg(F.max("count") / F.sum("count")).first()[0]
+
+
+@pytest.mark.parametrize("side", ["left", "right", "both"])
+def test_one_credit_with_half_the_rows(spark, side):
+    """Navigation along a credit that half of the members, recordings or both have."""
+    members = [(k, 7 if side != "right" and k % 2 else 1000 + k) for k in range(400)]
+    works = [(k, 7 if side != "left" and k % 2 else 1000 + k) for k in range(400)]
+    credit_names = spark.createDataFrame(members, "artist int, artist_credit int").repartition(3)
+    recordings = spark.createDataFrame(
+        [(k, f"g{k}", f"n{k}", c, None if k % 3 else k) for k, c in [*works, (998, 7), (999, None)]],
+        "id int, gid string, name string, artist_credit int, length int",
+    ).repartition(3)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = lookup.recordings_of_artists(credit_names, recordings)
+        got = Counter((r["artist"], r["recording"], r["length"]) for r in found.collect())
+        assert largest_share(found) < 0.3
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    rows = [r for r in recordings.collect()]
+    want = Counter((a, r["id"], r["length"]) for a, c in members for r in rows if r["artist_credit"] == c)
+    assert got == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot", [0, 5])
+def test_spread_joins_equal_plain_ones(spark, how, hot):
+    draw = random.Random(hot)
+    def keys(n, share):
+        return [(None if draw.random() < 0.1 else hot if draw.random() < share else draw.randrange(700), k) for k in range(n)]
+    left = spark.createDataFrame(keys(2000, 0.4 if hot else 0), "x int, n int")
+    right = spark.createDataFrame(keys(300, 0.2 if hot else 0), "y int, m int")
+    for one, two in ((left, right), (left, right.filter("y <> 5")), (left.limit(0), right), (left, right.limit(0))):
+        got = spread_join(one, two, "x", "y", how)
+        want = one.join(two, one["x"] == two["y"], how)
+        assert got.columns == want.columns
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    with pytest.raises(ValueError, match="spread"):
+        spread_join(left, right, "x", "y", "full")
+
+
+def test_frequent_keys_are_all_found(spark):
+    """A value is frequent above 1/256 of the rows, among very many rare ones."""
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 100 == 0, F.lit("a")).when(F.col("id") % 100 == 1, F.lit("b"))
+        .when(F.col("id") % 1000 == 2, F.lit("c")).otherwise(F.concat(F.lit("x"), "id")).alias("k")
+    )
+    assert sorted(frequent_keys(rows, "k")) == ["a", "b"]
+    assert frequent_keys(rows.limit(0), "k") == []
+    numbers = spark.range(5000).select((F.col("id") % 2).cast("int").alias("k"))
+    assert sorted(frequent_keys(numbers, "k")) == [0, 1]
+
+
 def test_navigation(spark):
     t = frames(spark, FIRST)
     recordings = lookup.recordings_of_artists(t["mb_artist_credit_name"], t["mb_recording"])
@@ -111,6 +180,32 @@ def test_fuzzy_lookup_returns_every_row(spark):
     assert rows.filter(F.col("similarity") < 0.3).isEmpty()
 
 
+def test_stored_postings_are_not_shuffled(spark, tmp_path):
+    """815 requests against a written index: its postings meet them bucket by bucket."""
+    names, requests = random_names(3000, 5), random_names(815, 6)
+    target = Snapshot(spark, str(tmp_path))
+    target.write("mb_artist", spark.createDataFrame(list(enumerate(names)), "id int, name string"))
+    write_indexes(target)
+    spark.sql(f"DROP TABLE {target._bucketed_name('_postings')}")  # as in another session
+    index = read_name_index(target)
+    asked_names = distinct_names(asked(spark, *requests), "request")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for threshold in (0.3, 0.6):
+            pairs = similar_names(asked_names, index, threshold)
+            got = {(r[0], r[1]): round(r[2], 9) for r in pairs.collect()}
+            assert got == brute(requests, names, threshold)
+            plan = pairs._jdf.queryExecution().executedPlan().toString()
+            assert "Bucketed: true" in plan
+            moved = [x for x in plan.splitlines() if "Exchange" in x and "slot#" in x]
+            assert moved and all("r_slot#" in x for x in moved)  # the requests' side alone
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lower = similar_names(asked_names, index, 0.2).collect()  # below what is stored
+    assert {(r[0], r[1]): round(r[2], 9) for r in lower} == brute(requests, names, 0.2)
+
+
 def test_threshold_is_checked(spark):
     with pytest.raises(ValueError, match="threshold"):
         similar_names(None, NameIndex(None, ()), 0)
