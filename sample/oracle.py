@@ -140,6 +140,36 @@ def _build() -> str:
         UNION ALL SELECT 'ledger', 'analyze', {columns}"""
 
 
+def _restarted() -> str:
+    """Tables of missing dump files are empty; nothing but themselves depends on them."""
+
+    def sizes(prefix: str) -> str:
+        return f"""SELECT "table", CASE WHEN "table" IN ('mb_gender', 'mb_tag') THEN 0 ELSE rows END
+                   AS rows FROM ({_sizes(prefix)})"""
+
+    return f"""
+        SELECT 'kept' AS part, "table" AS name, rows FROM ({sizes("kept_")})
+        UNION ALL SELECT 'published', "table", rows FROM ({sizes("")})
+        UNION ALL SELECT 'published first', 'one', 1
+        UNION ALL SELECT 'refused', 'one', 1
+        UNION ALL SELECT 'published last', 'two/loaded', 1"""
+
+
+def _reloaded() -> str:
+    def loaded(tables: str) -> str:
+        return f"""SELECT "table", CASE WHEN "table" IN ({tables}) THEN rows ELSE 0 END AS rows
+                   FROM ({_sizes("")})"""
+
+    both, area = loaded("'mb_area', 'mb_artist'"), loaded("'mb_area'")
+    return f"""
+        SELECT 'first' AS part, "table" AS name, rows FROM ({both})
+        UNION ALL SELECT 'again', "table", 0 FROM ({both})
+        UNION ALL SELECT 'fresh', "table", rows FROM ({area})
+        UNION ALL SELECT 'held', "table", rows FROM ({area})
+        UNION ALL SELECT 'rejects', 'mb_area', count(*) FROM region
+        UNION ALL SELECT 'rejects', 'mb_artist', 0"""
+
+
 def _profile(table: str, columns: tuple[str, ...]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*) AS rows, "
@@ -282,6 +312,8 @@ def all_oracles() -> dict[str, str]:
                    CASE doc_id % 4 WHEN 2 THEN length(text) + 1 END AS length
             FROM documents""",
         "build_from_files": _kept(_build()),
+        "build_restarted": _kept(_restarted()),
+        "reload_tables": _catalog(_reloaded()),
         "integrity_loaded": _catalog(_integrity("")),
         "integrity_kept": _kept(_integrity("kept_")),
         "column_profile": _catalog(_profile("mb_artist", ARTIST_COLUMNS)),
@@ -314,6 +346,12 @@ def all_oracles() -> dict[str, str]:
             texts AS (SELECT name AS k FROM titles),{SIMILAR_CTES}
             SELECT s.request, t.id, t.name, round(similarity, 6) AS similarity
             FROM scored s JOIN titles t ON t.name = s.name WHERE similarity >= 0.3""",
+        "fuzzy_index_lookup": f"""
+            WITH requests AS (SELECT DISTINCT p_name || ' ' || p_brand AS k FROM part),
+            texts AS (SELECT p_name AS k FROM part UNION ALL SELECT k FROM requests),{SIMILAR_CTES}
+            SELECT request, p_partkey AS id, p_name AS name, round(similarity, 6) AS similarity
+            FROM scored JOIN requests ON request = requests.k JOIN part ON p_name = name
+            WHERE similarity >= 0.5""",
         "key_lookup": _catalog("SELECT * FROM mb_recording WHERE length > 400000"),
         "navigate_credits": _catalog(
             "SELECT n.artist, c.id AS artist_credit, n.position, c.name AS credit_name "

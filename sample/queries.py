@@ -14,7 +14,15 @@ from dumpwinnow.operators import lookup, matching, quality
 from dumpwinnow.operators.fuzzy import fuzzy_lookup
 from dumpwinnow.operators.keyjoin import distinct_keys
 from dumpwinnow.operators.subset import rules_for, subset, tables_for, write_subset
-from dumpwinnow.plans.build import Ledger, build, import_checked, read_tables
+from dumpwinnow.plans.build import (
+    Ledger,
+    build,
+    import_checked,
+    import_dump,
+    read_name_index,
+    read_tables,
+    write_indexes,
+)
 from dumpwinnow.plans.rules import CATALOG_RULES
 from dumpwinnow.sources.dump import TOLERANT, parse_lines
 from dumpwinnow.sources.listing import latest_stamp, missing_names, shared_names, snapshot_stamps
@@ -387,8 +395,7 @@ def build_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rows as (part, name, rows): lines imported and rows kept of each table, and the ledger.
     """
     folder = scratch_snapshot(spark).path
-    for spec in LOADED_TABLES:
-        dump_lines(spark, sf_dir, spec.table).write.text(f"{folder}/dump/{spec.dump_file}")
+    _write_dump(spark, sf_dir, f"{folder}/dump")
     names = library(spark, sf_dir)
     store = SnapshotStore(spark, f"{folder}/out")
     started = store.snapshot("one")
@@ -408,6 +415,72 @@ def build_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imported.unionAll(kept).unionAll(steps)
 
 
+def _write_dump(spark: SparkSession, sf_dir: str, folder: str, but: tuple[str, ...] = ()) -> str:
+    for spec in LOADED_TABLES:
+        if spec.table not in but:
+            dump_lines(spark, sf_dir, spec.table).write.text(f"{folder}/{spec.dump_file}")
+    return folder
+
+
+def _report(rows: DataFrame, part: str, name: str = "table") -> DataFrame:
+    return rows.select(F.lit(part).alias("part"), F.col(name).alias("name"), "rows")
+
+
+def build_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build of a library, a second start under its name, and a build that keeps everything.
+
+    Two dump files are missing.  Rows as (part, name, rows): what the first build says it kept,
+    the refused start, the name that is published in the end, and the tables read through it.
+    """
+    folder = scratch_snapshot(spark).path
+    dump = _write_dump(spark, sf_dir, f"{folder}/dump", ("mb_gender", "mb_tag"))
+    store = SnapshotStore(spark, f"{folder}/out")
+    names = library(spark, sf_dir)
+    first = build(spark, dump, store.root, "one", names, mode=TOLERANT)
+    facts = [("published first", store.current_name(), 1)]
+    try:
+        build(spark, dump, store.root, "one", names, mode=TOLERANT)
+    except FileExistsError:
+        facts.append(("refused", "one", 1))
+    build(spark, dump, store.root, "two", None, keep_all=True, mode=TOLERANT)
+    facts.append(("published last", store.current_name(), 1))
+    published = quality.table_sizes(read_tables(store.current()))
+    return (
+        _report(first.read("_kept"), "kept")
+        .unionAll(_report(published, "published"))
+        .unionAll(spark.createDataFrame(facts, "part string, name string, rows long"))
+    )
+
+
+def reload_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load, the same load again, and a fresh load of a dump with other and bad lines.
+
+    Rows as (part, name, rows): lines loaded each time, rows and rejects held in the end.
+    """
+    folder = scratch_snapshot(spark).path
+    others = tuple(s.table for s in LOADED_TABLES if s.table not in ("mb_artist", "mb_area"))
+    first = _write_dump(spark, sf_dir, f"{folder}/first", others)
+    bad = read(spark, sf_dir, "region").select(F.concat(F.lit("x\t"), "r_name").alias("value"))
+    area = dump_lines(spark, sf_dir, "mb_area")
+    area.unionAll(bad).write.text(f"{folder}/second/{spec_for('mb_area').dump_file}")
+    loaded = Snapshot(spark, f"{folder}/loaded")
+    counts = [
+        (part, table, rows)
+        for part, dump, fresh in (
+            ("first", first, True),
+            ("again", first, False),
+            ("fresh", f"{folder}/second", True),
+        )
+        for table, rows in import_dump(spark, dump, loaded, TOLERANT, fresh).items()
+    ]
+    rejects = quality.table_sizes({t: loaded.rejects(t) for t in ("mb_area", "mb_artist")})
+    return (
+        spark.createDataFrame(counts, "part string, name string, rows long")
+        .unionAll(_report(quality.table_sizes(read_tables(loaded)), "held"))
+        .unionAll(_report(rejects, "rejects"))
+    )
+
+
 def integrity_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.integrity_report(catalog(spark, sf_dir), LOADED_TABLES)
 
@@ -498,6 +571,22 @@ def fuzzy_title_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.withColumn("similarity", F.round("similarity", 6))
 
 
+def fuzzy_index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names with their brand, asked against an index of part names that was stored."""
+    part = read(spark, sf_dir, "part")
+    stored = scratch_snapshot(spark)
+    names = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    named = stored.write("mb_artist", names)
+    write_indexes(stored)
+    hits = fuzzy_lookup(
+        part.select(F.concat_ws(" ", "p_name", "p_brand").alias("request")),
+        named,
+        read_name_index(stored),
+        threshold=0.5,
+    )
+    return hits.withColumn("similarity", F.round("similarity", 6))
+
+
 def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recordings by the UUIDs of the long ones."""
     recordings = catalog_table(spark, sf_dir, "mb_recording")
@@ -594,6 +683,8 @@ PLAIN: tuple[Query, ...] = (
     uuid_malformed,
     decoded_text_rejects,
     build_from_files,
+    build_restarted,
+    reload_tables,
     integrity_loaded,
     integrity_kept,
     column_profile,
@@ -605,6 +696,7 @@ PLAIN: tuple[Query, ...] = (
     trigram_similarity,
     fuzzy_name_lookup,
     fuzzy_title_lookup,
+    fuzzy_index_lookup,
     key_lookup,
     navigate_credits,
     navigate_release_groups,
