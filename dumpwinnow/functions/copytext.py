@@ -24,11 +24,11 @@ NUMERIC_ESCAPE = r"\\[0-7xX]"
 PIECES = r"(?s)\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}|\\.|[^\\]+"
 END_MARK = "\\."
 
-# Stand for an escaped backslash while the other escapes are replaced, and for the end of a
-# field while several are decoded as one text; lines that hold a NUL are refused before.
+# Stand for an escaped backslash and an escaped tab while the other escapes are replaced; lines
+# that hold a NUL are refused before.
 NUL = "\x00"
 HELD_BACKSLASH = NUL + "b"
-FIELD_END = NUL + ";"
+HELD_TAB = NUL + "t"
 
 # White space round a number, its sign and digits; a cast alone would also trim control
 # characters.
@@ -47,12 +47,21 @@ def _bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _named(raw: Column) -> Column:
+def _held(raw: Column) -> Column:
+    """Named escapes replaced; backslashes and tabs that they spell are still held back."""
     text = F.replace(raw, F.lit("\\\\"), F.lit(HELD_BACKSLASH))
     for escape, char in NAMED_ESCAPES:
-        text = F.replace(text, F.lit(escape), F.lit(char))
-    text = F.replace(text, F.lit("\\"), F.lit(""))
-    return F.replace(text, F.lit(HELD_BACKSLASH), F.lit("\\"))
+        text = F.replace(text, F.lit(escape), F.lit(HELD_TAB if char == "\t" else char))
+    return F.replace(text, F.lit("\\"), F.lit(""))
+
+
+def _released(text: Column) -> Column:
+    tabs = F.replace(text, F.lit(HELD_TAB), F.lit("\t"))
+    return F.replace(tabs, F.lit(HELD_BACKSLASH), F.lit("\\"))
+
+
+def _named(raw: Column) -> Column:
+    return _released(_held(raw))
 
 
 def _numeric(raw: Column) -> Column:
@@ -112,27 +121,38 @@ def decode_checked(raw: Column) -> Column:
     )
 
 
-def join_fields(raw: Sequence[Column]) -> Column:
-    """Raw fields as one text, for :func:`decode_joined`."""
-    return F.concat_ws(FIELD_END, *raw)
+def has_escapes(raw: Column) -> Column:
+    """Whether a raw field is anything but plain text or the null marker."""
+    return (F.instr(raw, F.lit("\\")) > 0) & (raw != NULL_MARKER)
 
 
-def decode_joined(joined: Column) -> Column:
-    """The decoded texts of joined raw fields, NULL where a field has to be judged by itself.
+def escaped_fields(raw: Sequence[Column]) -> Column:
+    """Raw fields that hold escapes as one text with a tab between fields; others are empty."""
+    return F.concat_ws("\t", *[F.when(has_escapes(r), r).otherwise("") for r in raw])
+
+
+def decode_together(escaped: Column) -> Column:
+    """For :func:`text_of`: the texts of escaped fields, NULL where each has to be judged alone.
 
     Named escapes are replaced in all fields at once, in compiled code.  Escapes that spell
-    bytes, end marks and lone backslashes are left to :func:`decode_checked`.  A null marker
-    comes out as an ordinary escape; the caller knows it by the raw field.
+    bytes, end marks and lone backslashes are left to :func:`decode_checked`.
     """
-    without_pairs = F.replace(joined, F.lit("\\\\"), F.lit(""))
+    without_pairs = F.replace(escaped, F.lit("\\\\"), F.lit(""))
     odd = (
-        joined.rlike(NUMERIC_ESCAPE)
-        | F.contains(without_pairs, F.lit(END_MARK))
-        | F.contains(without_pairs, F.lit("\\" + FIELD_END))
+        F.contains(without_pairs, F.lit(END_MARK))
+        | F.contains(without_pairs, F.lit("\\\t"))
         | without_pairs.endswith("\\")
+        | escaped.rlike(NUMERIC_ESCAPE)
+    )
+    return F.when(F.instr(escaped, F.lit("\\")) == 0, F.array().cast("array<string>")).when(
+        ~odd, F.split(_held(escaped), "\t", -1)
     )
-    return F.when(F.instr(joined, F.lit("\\")) == 0, F.split(joined, FIELD_END, -1)).when(
-        ~odd, F.split(_named(joined), FIELD_END, -1)
+
+
+def text_of(raw: Column, together: Column, i: int) -> Column:
+    """Value of a line's field ``i`` out of what :func:`decode_together` gives for the line."""
+    return F.when(F.instr(raw, F.lit("\\")) == 0, raw).when(
+        raw != NULL_MARKER, _released(F.get(together, F.lit(i)))
     )
 
 

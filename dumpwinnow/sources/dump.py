@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from dumpwinnow.functions.copytext import (
     NUL,
-    NULL_MARKER,
     decode_checked,
-    decode_joined,
-    join_fields,
+    decode_together,
+    escaped_fields,
+    text_of,
     try_typed,
 )
 from dumpwinnow.functions.once import once
@@ -32,9 +32,9 @@ SHORT_ROW = "short row"
 
 @dataclass(frozen=True)
 class ParsedTable:
-    """Lines of a dump as (value, reason, values), and the table they make.
+    """Lines of a dump as (value, reason, typed), and the table they make.
 
-    ``reason`` is NULL where a line can be loaded.
+    ``reason`` is NULL where a line can be loaded; ``typed`` is a struct of the spec's columns.
     """
 
     lines: DataFrame
@@ -68,18 +68,16 @@ class ParsedTable:
             lines = lines.filter("reason IS NULL")
         good = F.col("reason").isNull()
         return lines.select(
-            *[F.when(good, c).alias(n) for n, c in self._fields()],
+            *[F.when(good, F.col("typed")[c.name]).alias(c.name) for c in self.spec.columns],
             F.when(~good, F.col("value")).alias(LINE),
             F.col("reason").alias(REASON),
             F.when(good, F.lit(ROWS)).otherwise(F.lit(REJECTS)).alias(VERDICT),
         )
 
-    def _fields(self) -> list[tuple[str, Column]]:
-        field = _strict if self.mode == STRICT else _typed
-        return [(c.name, field(self.spec, i)) for i, c in enumerate(self.spec.columns)]
-
     def _rows(self, lines: DataFrame) -> DataFrame:
-        return lines.filter("reason IS NULL").select(*[c.alias(n) for n, c in self._fields()])
+        return lines.filter("reason IS NULL").select(
+            *[F.col("typed")[c.name].alias(c.name) for c in self.spec.columns]
+        )
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -111,27 +109,38 @@ def parse_lines(lines: DataFrame, spec: TableSpec, mode: str = STRICT) -> Parsed
         once(F.split(_without_carriage_return(value), "\t", -1)).alias("fields"),
     )
     short = F.size("fields") <= spec.last_position
-    # The selected fields are decoded as one text wherever their escapes allow it; only lines
-    # with others take the way field by field, which is interpreted.  Generators keep null tests
-    # inferred from joins, and the decoding with them, from moving below it.
+    # Fields with escapes are decoded as one text wherever these allow it; only lines with others
+    # take the way field by field, which is interpreted and has a step of its own, so that the
+    # others stay compiled.  Generators keep null tests inferred from joins, and the decoding
+    # with them, from moving below it.
     selected = [F.get("fields", F.lit(p)) for p in spec.positions]
-    joined = fields.select(
+    escaped = fields.select(
         "value",
         "fields",
         short.alias("short"),
-        once(F.when(~short, join_fields(selected))).alias("joined"),
+        once(F.when(~short, escaped_fields(selected))).alias("escaped"),
     )
-    together = joined.select(
-        "value", "fields", "short", once(decode_joined(F.col("joined"))).alias("texts")
+    together = escaped.select(
+        "value", "fields", "short", once(decode_together(F.col("escaped"))).alias("texts")
     )
     decode = decode_checked if mode == TOLERANT else lambda raw: _decode_or_fail(spec, raw)
-    plain = F.when(F.col("texts").isNotNull(), F.array(*[_plain(i, r) for i, r in enumerate(selected)]))
-    decoded = together.select(
-        "value",
-        "short",
-        once(
-            plain.when(~F.col("short"), F.transform(F.array(*selected), decode))
-        ).alias("values"),
+    odd = ~F.col("short") & F.col("texts").isNull()
+    alone = together.select(
+        "*", once(F.when(odd, F.transform(F.array(*selected), decode))).alias("alone")
+    )
+    texts = [
+        F.when(F.col("texts").isNotNull(), text_of(raw, F.col("texts"), i)).otherwise(
+            F.get("alone", F.lit(i))["text"]
+        )
+        for i, raw in enumerate(selected)
+    ]
+    decoded = alone.select(
+        "value", "short", "alone", once(F.when(~F.col("short"), F.array(*texts))).alias("values")
+    )
+    field = _strict if mode == STRICT else _typed
+    typed = F.struct(*[field(spec, i).alias(c.name) for i, c in enumerate(spec.columns)])
+    decoded = decoded.select(
+        "value", "short", "alone", "values", once(F.when(~F.col("short"), typed)).alias("typed")
     )
     reason = F.when(F.col("short"), F.lit(SHORT_ROW))
     if mode == TOLERANT:
@@ -140,17 +149,11 @@ def parse_lines(lines: DataFrame, spec: TableSpec, mode: str = STRICT) -> Parsed
             .when(F.contains("value", F.lit(NUL)), F.lit("zero byte"))
             .otherwise(F.coalesce(*[_problem(spec, i) for i in range(len(spec.columns))]))
         )
-    return ParsedTable(decoded.select("value", reason.alias("reason"), "values"), spec, mode)
-
-
-def _plain(i: int, raw: Column) -> Column:
-    """A field that was decoded with the others of its line."""
-    text = F.when(raw != NULL_MARKER, F.get("texts", F.lit(i)))
-    return F.struct(text.alias("text"), F.lit(None).cast("string").alias("problem"))
+    return ParsedTable(decoded.select("value", reason.alias("reason"), "typed"), spec, mode)
 
 
 def _text(i: int) -> Column:
-    return F.get("values", F.lit(i))["text"]
+    return F.get("values", F.lit(i))
 
 
 def _typed(spec: TableSpec, i: int) -> Column:
@@ -191,13 +194,14 @@ def _problem(spec: TableSpec, i: int) -> Column:
     """Reason text when the field cannot be loaded, else NULL."""
     column = spec.columns[i]
     text = _text(i)
-    found = F.get("values", F.lit(i))["problem"]
+    found = F.get("alone", F.lit(i))["problem"]
     problem = F.when(found.isNotNull(), F.concat(found, F.lit(f": {column.name}")))
     if column.name in spec.required_columns:
         problem = problem.when(text.isNull(), F.lit(f"missing value: {column.name}"))
     if column.type != "text":
         problem = problem.when(
-            text.isNotNull() & _typed(spec, i).isNull(), F.lit(f"bad value: {column.name}")
+            text.isNotNull() & F.col("typed")[column.name].isNull(),
+            F.lit(f"bad value: {column.name}"),
         )
     return problem
 
