@@ -7,7 +7,8 @@ the node it has come to.  As that heuristic is exact, complete paths leave the a
 of score, and no path outside the N best is ever finished.
 
 No piece of the usual models crosses from a character to a following space mark, so the
-lattice falls into units, each a word with the space marks before it.  The best path of a text
+lattice falls into units, each a word with the space marks before it, or a line break that no
+longer piece holds.  The best path of a text
 is that of its units.  Only the N - 1 units with the smallest loss between their best and
 second path can differ in the N best of the text; their N best paths become the edges of a
 small lattice for the same search.  A model with other pieces is searched text by text.
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .rows import by_value, quoted, value_of
 from .text import STEP, U64
@@ -37,9 +39,10 @@ from .text import STEP, U64
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 #: Units whose result a task remembers; beyond it the memory starts anew.
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 SPACE = "▁"
-UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: White space that ends a unit and is one itself, where no longer piece holds it.
+BREAKS = "\t\n\x0b\f\r"
 MILLION = 1_000_000
 #: Loss of a unit that has one path only.
 NONE = 1 << 62
@@ -55,6 +58,46 @@ def text_digest(text: str) -> int:
     return digest
 
 
+class PrefixTable:
+    """All beginnings of pieces by digest, in a table of slots that its mixed high bits name.
+
+    Nearly every lookup takes one step; only where beginnings share a slot is a digest searched.
+    """
+
+    SLOT_BITS = 20
+
+    def __init__(self, pieces: dict[str, tuple[int, int]]):
+        heads = sorted({p[:k] for p in pieces for k in range(1, len(p) + 1)})
+        digests = np.array([text_digest(h) for h in heads], U64) * U64(STEP)
+        order = np.argsort(digests)
+        none = (-1, 0)
+        found = [pieces.get(h, none) for h in heads]
+        # one more, for what is absent
+        self.digests = np.append(digests[order], U64(0))
+        self.ids = np.append(np.array([i for i, _ in found], np.int32)[order], np.int32(-1))
+        self.scores = np.append(np.array([s for _, s in found], np.int64)[order], 0)
+        self.absent = len(heads)
+        slot = self.slot(digests[order])
+        self.slots = np.full(1 << self.SLOT_BITS, self.absent, np.int32)
+        self.slots[slot] = np.arange(len(heads))
+        again = slot[1:][slot[1:] == slot[:-1]]
+        self.slots[again] = -1  # digests are sorted by slot
+
+    def slot(self, digests: np.ndarray) -> np.ndarray:
+        return (digests >> U64(64 - self.SLOT_BITS)).astype(np.int64)
+
+    def look_up(self, digests: np.ndarray) -> np.ndarray:
+        """Place of each digest, `absent` for those that begin no piece."""
+        digests = digests * U64(STEP)
+        place = self.slots[self.slot(digests)]
+        crowded = np.flatnonzero(place < 0)
+        if len(crowded):
+            near = np.searchsorted(self.digests[:-1], digests[crowded])
+            place[crowded] = np.minimum(near, self.absent)
+        place[self.digests[place] != digests] = self.absent
+        return place
+
+
 class Vocabulary:
     """Pieces with integer scores; bounded by the model's size."""
 
@@ -66,13 +109,12 @@ class Vocabulary:
         self.spelled = spelled
         self.unknown = min((s for _, s in pieces.values()), default=0) - 10 * MILLION
         self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
+        longer = set().union(*[p for p in pieces if len(p) > 1])
+        lone = "".join(c for c in BREAKS if c not in longer)
+        breaks = f"|[{lone}]" if lone else ""
+        self.unit = re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+{breaks}")
         self.longest = max(map(len, pieces), default=1)
-        names = list(pieces)
-        digests = np.array([text_digest(p) for p in names], np.uint64)
-        order = np.argsort(digests)
-        self.digests = digests[order]
-        self.piece_ids = np.array([pieces[p][0] for p in names], np.int32)[order]
-        self.piece_scores = np.array([pieces[p][1] for p in names], np.int64)[order]
+        self.table = PrefixTable(pieces)
 
     def spell(self, char: str) -> bytes:
         """Byte pieces of a character that is no piece."""
@@ -197,53 +239,80 @@ def analysed_together(vocabulary: Vocabulary, units: list[str]) -> list[tuple[by
     """`analysed` for many units of one length at once; None where a character is no piece."""
     count, n = len(units), len(units[0])
     width = min(n, vocabulary.longest)
-    codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(count, n).astype(U64)
+    codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(count, n).T.astype(U64)
     worst = -(1 << 60)
-    scores = np.full((count, n, width), worst, np.int64)
-    ids = np.full((count, n, width), -1, np.int32)
-    known = vocabulary.digests
+    rows = np.arange(count)
+    # by begin and length: the units that have such a piece (None: taken as all), its scores
+    scores: list[list[tuple[np.ndarray | None, np.ndarray] | None]] = [[None] * width for _ in range(n)]
+    ids = np.full((n, width, count), -1, np.int32)
+    table = vocabulary.table
     for i in range(n):
-        digest = np.zeros(count, U64)
+        live, digest = rows, np.zeros(count, U64)
         for k in range(min(width, n - i)):
-            digest = digest * U64(STEP) + (codes[:, i + k] + U64(1))
-            place = np.minimum(np.searchsorted(known, digest), len(known) - 1)
-            found = known[place] == digest
-            scores[found, i, k] = vocabulary.piece_scores[place[found]]
-            ids[found, i, k] = vocabulary.piece_ids[place[found]]
-        unknown = ids[:, i, 0] < 0
-        scores[unknown, i, 0] = vocabulary.unknown
-        unknown &= codes[:, i] < U64(128)  # one byte, one id
-        ids[unknown, i, 0] = vocabulary.byte_pieces[codes[unknown, i].astype(np.int64)]
-    rows = np.arange(count)
+            digest = digest * U64(STEP) + (codes[i + k, live] + U64(1))
+            place = table.look_up(digest)
+            ids[i, k, live] = table.ids[place]
+            whole = np.flatnonzero(table.ids[place] >= 0)
+            having, own = live[whole], table.scores[place[whole]]
+            if k == 0 or len(whole) * 4 > count:
+                dense = np.full(count, worst, np.int64)
+                dense[having] = own
+                having, own = None, dense
+            if having is None or len(having):
+                scores[i][k] = (having, own)
+            if k == 0:
+                unknown = ids[i, 0] < 0
+                own[unknown] = vocabulary.unknown
+                unknown &= codes[i] < U64(128)  # one byte, one id
+                ids[i, 0, unknown] = vocabulary.byte_pieces[codes[i, unknown].astype(np.int64)]
+            stay = place < table.absent
+            live, digest = live[stay], digest[stay]
+            if not len(live):
+                break
     best, last = np.full((n + 1, count), worst, np.int64), np.zeros((n + 1, count), np.int64)
     best[0] = 0
     for j in range(1, n + 1):
         for i in range(max(0, j - width), j):
-            reached = best[i] + scores[:, i, j - i - 1]
-            better = reached > best[j]
-            best[j][better] = reached[better]
-            last[j][better] = i
-    ends = np.zeros((count, n), np.int64)  # where the best path's piece from i ends, or 0
-    chosen = np.full((count, n), -1, np.int32)
+            if scores[i][j - i - 1] is None:
+                continue
+            having, own = scores[i][j - i - 1]
+            if having is None:
+                reached = best[i] + own
+                better = reached > best[j]
+                np.copyto(best[j], reached, where=better)
+                np.copyto(last[j], i, where=better)
+            else:
+                reached = best[i, having] + own
+                better = reached > best[j, having]
+                having = having[better]
+                best[j, having] = reached[better]
+                last[j, having] = i
+    ends = np.zeros((n, count), np.int64)  # where the best path's piece from i ends, or 0
+    chosen = np.full((n, count), -1, np.int32)
     node = np.full(count, n)
     while node.any():
         live = rows[node > 0]
         begin = last[node[live], live]
-        ends[live, begin] = node[live]
-        chosen[live, begin] = ids[live, begin, node[live] - begin - 1]
+        ends[begin, live] = node[live]
+        chosen[begin, live] = ids[begin, node[live] - begin - 1, live]
         node[live] = begin
     ahead, second = np.full((n + 1, count), worst, np.int64), np.full(count, 2 * worst)
     ahead[n] = 0
     for i in range(n - 1, -1, -1):
         for k in range(min(width, n - i)):
-            rest = scores[:, i, k] + ahead[i + k + 1]
-            np.maximum(ahead[i], rest, out=ahead[i])
-            through = np.where(ends[:, i] == i + k + 1, 2 * worst, best[i] + rest)
-            np.maximum(second, through, out=second)
-    on_path = ends > 0
-    flat_ids = chosen[on_path].tobytes()
+            if scores[i][k] is None:
+                continue
+            having, own = scores[i][k]
+            some = slice(None) if having is None else having
+            rest = own + ahead[i + k + 1, some]
+            ahead[i, some] = np.maximum(ahead[i, some], rest)
+            rest += best[i, some]
+            rest[ends[i, some] == i + k + 1] = 2 * worst
+            second[some] = np.maximum(second[some], rest)
+    on_path = (ends > 0).T
+    flat_ids = chosen.T[on_path].tobytes()
     cuts = np.concatenate([[0], np.cumsum(on_path.sum(axis=1) * 4)]).tolist()
-    spelled = (on_path & (chosen < 0)).any(axis=1).tolist()
+    spelled = (on_path & (chosen.T < 0)).any(axis=1).tolist()
     loss = np.where(second > worst // 2, best[n] - second, NONE).tolist()
     total = best[n].tolist()
     return [
@@ -261,31 +330,54 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, count: int):
         self.vocabulary, self.count = vocabulary, count
-        self.known: dict[str, tuple[bytes, int, int]] = {}
-
-    def look_up(self, unit: str) -> tuple[bytes, int, int]:
-        found = self.known.get(unit)
+        self.paths_of: dict[str, list[tuple[int, bytes]]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}  # number of each unit
+        self.ids: list[bytes] = []
+        self.values = np.zeros((3, 1024), np.int64)  # score, loss and pieces by number
+
+    def remember(self, units: list[str], found: list[tuple[bytes, int, int]]) -> None:
+        low, high = len(self.ids), len(self.ids) + len(units)
+        while high > self.values.shape[1]:
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)], axis=1)
+        self.known.update(zip(units, range(low, high), strict=True))
+        self.ids.extend([f[0] for f in found])
+        self.values[0, low:high] = [f[1] for f in found]
+        self.values[1, low:high] = [f[2] for f in found]
+        self.values[2, low:high] = [len(f[0]) // 4 for f in found]
+
+    def n_best(self, unit: str) -> list[tuple[int, bytes]]:
+        """Score and ids of the unit's best paths."""
+        found = self.paths_of.get(unit)
         if found is None:
-            found = self.known[unit] = analysed(self.vocabulary, unit)
+            if len(self.paths_of) >= REMEMBERED:
+                self.paths_of.clear()
+            paths = best_paths(self.vocabulary.edges(unit), self.count)
+            found = self.paths_of[unit] = [(s, b"".join([e[2] for e in steps])) for s, steps in paths]
         return found
 
     def learn(self, texts: list[str]) -> list[list[str]]:
         """Units of some texts, of which new ones are analysed together."""
         units_of = [self.units(text) for text in texts]
-        if not self.vocabulary.splits:
-            return units_of
         if len(self.known) >= REMEMBERED:
-            self.known.clear()
+            self.forget()
         new: dict[int, list[str]] = {}
+        alone = []
         for unit in set().union(*units_of).difference(self.known):
-            if len(unit) <= LONG_UNIT:
+            if len(unit) <= LONG_UNIT and self.vocabulary.splits:
                 new.setdefault(len(unit), []).append(unit)
+            else:
+                alone.append(unit)
         for same in new.values():
             for low in range(0, len(same), TOGETHER):
                 part = same[low : low + TOGETHER]
-                for unit, found in zip(part, analysed_together(self.vocabulary, part), strict=True):
-                    if found is not None:
-                        self.known[unit] = found
+                found = analysed_together(self.vocabulary, part)
+                alone += [unit for unit, f in zip(part, found, strict=True) if f is None]
+                good = [k for k, f in enumerate(found) if f is not None]
+                self.remember([part[k] for k in good], [found[k] for k in good])
+        self.remember(alone, [analysed(self.vocabulary, unit) for unit in alone])
         return units_of
 
     def units(self, text: str) -> list[str]:
@@ -293,49 +385,56 @@ class Encoder:
         if not text:
             return []
         marked = SPACE + text.replace(" ", SPACE)
-        return UNIT.findall(marked) if self.vocabulary.splits else [marked]
+        return self.vocabulary.unit.findall(marked) if self.vocabulary.splits else [marked]
 
     def encode(self, text: str) -> tuple[bytes, int, list[tuple[int, list[tuple[int, int, bytes]]]]]:
         """Ids and score of the best path; further paths as score and edits of the ids."""
-        return self.paths(self.units(text))
+        return self.paths(self.learn([text])[0])
 
     def paths(self, units: list[str]) -> tuple[bytes, int, list[tuple[int, list[tuple[int, int, bytes]]]]]:
-        """The same for the units of a text.
+        """The same for the units of a text, all of them learned.
 
         An edit (begin, end, ids) puts ids in place of those from begin to end.
         """
         if not units:
             return b"", 0, []
-        parts = list(map(self.known.get, units))
-        if None in parts:
-            parts = [self.look_up(unit) for unit in units]
-        ids = b"".join([p[0] for p in parts])
-        score = sum([p[1] for p in parts])
-        losses = [p[2] for p in parts]
-        close = heapq.nsmallest(self.count - 1, range(len(parts)), key=losses.__getitem__)
-        chosen = sorted(k for k in close if parts[k][2] < NONE)
-        lattice: list[list[Edge]] = [[]]
-        for place, k in enumerate(chosen):
-            paths = best_paths(self.vocabulary.edges(units[k]), self.count)
-            lattice.append([(place, s, b"".join(e[2] for e in steps)) for s, steps in paths])
-        if len(lattice) == 1:
+        numbers = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        ids = b"".join(map(self.ids.__getitem__, numbers.tolist()))
+        scores, losses, pieces = self.values[:, numbers]
+        score = int(scores.sum())
+        chosen = smallest(losses, self.count - 1)
+        if not len(chosen):
             return ids, score, []
-        places, at, k = [], 0, 0
-        for end in chosen:
-            at += sum([len(p[0]) for p in parts[k:end]])
-            places.append(at // 4)
-            k = end
-        base = sum(parts[k][1] for k in chosen)
+        places = (np.cumsum(pieces) - pieces)[chosen].tolist()
+        base = int(scores[chosen].sum())
+        own_ids = [self.ids[k] for k in numbers[chosen].tolist()]
+        lattice: list[list[Edge]] = [[]]
+        for place, k in enumerate(chosen.tolist()):
+            lattice.append([(place, s, found) for s, found in self.n_best(units[k])])
         more = []
         for own, steps in best_paths(lattice, self.count)[1:]:
             edits = []
-            for k, place, (_, _, new) in zip(chosen, places, steps, strict=True):
-                if new != parts[k][0]:
-                    edits.append((place, place + len(parts[k][0]) // 4, new))
+            for old, place, (_, _, new) in zip(own_ids, places, steps, strict=True):
+                if new != old:
+                    edits.append((place, place + len(old) // 4, new))
             more.append((score - base + own, edits))
         return ids, score, more
 
 
+def smallest(losses: np.ndarray, count: int) -> np.ndarray:
+    """Places of the `count` smallest losses that are none, the first of equal ones, in order."""
+    if count < 1:
+        return np.zeros(0, np.int64)
+    if len(losses) > count:
+        limit = np.partition(losses, count - 1)[count - 1]
+        below = np.flatnonzero(losses < limit)
+        tied = np.flatnonzero(losses == limit)[: count - len(below)]
+        found = np.sort(np.concatenate([below, tied]))
+    else:
+        found = np.arange(len(losses))
+    return found[losses[found] < NONE]
+
+
 ENCODED = (
     "doc_id long, ids array<int>, score double, "
     "more array<struct<score double, edits array<struct<begin int, end int, ids array<int>>>>>"
@@ -352,7 +451,7 @@ MORE = pa.list_(
     )
 )
 #: Texts turned into one batch of rows.
-ROWS = 400
+ROWS = 1200
 
 
 def numbers(ids: bytes) -> list[int]:
@@ -440,4 +539,5 @@ def encode(
 
 def decode(encoded: DataFrame, vocabulary: Broadcast) -> DataFrame:
     """Add the text of column `ids` as `decoded`; null ids give an empty text."""
-    return encoded.mapInArrow(decode_rows(vocabulary), encoded.schema.add("decoded", "string"))
+    columns = StructType([*encoded.schema, StructField("decoded", StringType())])
+    return encoded.mapInArrow(decode_rows(vocabulary), columns)
