@@ -272,8 +272,11 @@ def score_texts(
             words.where("n > 0").select("key", F.col("n").cast("double").alias("value"))
         )
     )
-    dealt = rows.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "held_out", "text"
+    # written with the place it was read at, which tells repeated rows apart: they spread over
+    # all blocks, and both uses of a row see it in the same one
+    place = F.xxhash64("doc_id", F.length("text"), F.monotonically_increasing_id())
+    dealt = written(
+        rows.select(F.pmod(place, F.lit(blocks)).alias("block"), "doc_id", "held_out", "text")
     ).repartition("block")
     asked = dealt.groupBy("block").applyInArrow(distinct_keys, "block long, key long")
     answers = asked.join(values, "key").select("block", "key", "value")

@@ -162,17 +162,19 @@ def repeated_spans(texts: DataFrame, size: int, core: int) -> DataFrame:
         )
         .join(seen, "core", "left_semi")
     )
-    wholes = runs.groupBy("core", "whole").agg(
-        F.min("rank").alias("first"), F.max("rank").alias("last")
-    )
+    wholes = runs.groupBy("core", "whole").agg(F.min("rank").alias("first"))
     cores = wholes.groupBy("core").agg((F.min("first") < F.max("first")).alias("mixed"))
-    found = written(runs.join(wholes.join(cores, "core"), ["core", "whole"]))
+    # written, so that runs of a frequent string can be split when they are joined to it
+    kinds = written(wholes.join(cores, "core"))
+    found = written(runs.join(kinds, ["core", "whole"]))
     asked = (
         found.where("rank = first and mixed")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("core", "low", "high")).alias("asked"))
+        .agg(F.collect_set(F.struct("core", "low", "high")).alias("asked"))
     )
-    windows = texts.join(asked, "key").select("key", "rank", "text", "asked").mapInArrow(
+    # of rows that repeat, one stands for all
+    held = texts.join(asked, "key").dropDuplicates(["key"])
+    windows = held.select("key", "rank", "text", "asked").mapInArrow(
         window_rows(size), "core long, hash long, key long, rank long, at int"
     )
     firsts = (
@@ -190,7 +192,7 @@ def repeated_spans(texts: DataFrame, size: int, core: int) -> DataFrame:
     return (
         whole.unionByName(single)
         .groupBy("key")
-        .agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        .agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     )
 
 

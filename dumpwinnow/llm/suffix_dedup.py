@@ -211,8 +211,11 @@ def remove_repeats(
         )
         .join(seen, "core", "left_semi")
     )
-    wholes = runs.groupBy("core", "whole").agg(
-        F.count("*").alias("copies"), F.min(F.struct("key", "low", "high")).alias("one")
+    # written, so that runs of a frequent string can be split when they are joined to it
+    wholes = written(
+        runs.groupBy("core", "whole").agg(
+            F.count("*").alias("copies"), F.min(F.struct("key", "low", "high")).alias("one")
+        )
     )
     # buckets of the first digit in which a run differs from all others
     mixed = (
@@ -231,9 +234,9 @@ def remove_repeats(
             .groupBy("key")
             .agg(F.collect_list(F.struct("core", "low", "high")).alias("asked"))
         )
-        return texts.join(asked, "key").select("key", "text", "asked").mapInArrow(
-            piece_rows(size), "core long, key long, low int, bytes binary"
-        )
+        # of rows that repeat, one stands for all
+        held = texts.select("key", "text").join(asked, "key").dropDuplicates(["key"])
+        return held.mapInArrow(piece_rows(size), "core long, key long, low int, bytes binary")
 
     sorted_ = (
         pieces("not crowded")
@@ -260,7 +263,7 @@ def remove_repeats(
         whole.unionByName(sorted_)
         .unionByName(single)
         .groupBy("key")
-        .agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        .agg(F.collect_set(F.struct("low", "high")).alias("spans"))  # rows that repeat share a key
     )
     return (
         texts.join(spans, "key", "left")
