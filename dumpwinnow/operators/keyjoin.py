@@ -73,7 +73,7 @@ def _semi(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
 
 def _keep_salted(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Semi-join in which the rows of frequent keys never meet in one task."""
-    return spread_join(rows, keys, column, KEY, "left_semi", right_unique=True)
+    return spread_join(rows, keys, column, KEY, "left_semi", right_unique=True, known_large=True)
 
 
 def frequent_keys(rows: DataFrame, column: str) -> list:
@@ -92,6 +92,17 @@ def frequent_keys(rows: DataFrame, column: str) -> list:
     return [item["item"] for item in found["top"] or () if item["count"] * HOT_KEYS > found["n"]]
 
 
+def _is_broadcast(rows: DataFrame) -> bool:
+    """Whether the optimizer's own size check lets it broadcast these rows."""
+    spark = rows.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.startswith("-"):
+        return False
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -99,22 +110,24 @@ def spread_join(
     right_key: str,
     how: str = "inner",
     right_unique: bool = False,
-    hot_left: list | None = None,
+    known_large: bool = False,
 ) -> DataFrame:
     """Join on one column of each side; rows of a frequent key never meet in one task.
 
     ``how`` is inner, left, left_semi or left_anti.  The rows of a key that is frequent on one
     side are dealt to salts there and copied to each salt on the other; where it is frequent on
     both sides, each is dealt, and each pair of salts meets in a task of its own.  Except in an
-    inner join, and with ``right_unique``, the right side is never dealt.  ``hot_left`` saves
-    the pass over the left side where its frequent keys are known.  A row's salt depends
-    on its values alone, so a re-run repeats it.  Column names must differ between the sides
-    in the result, as in any join.
+    inner join, and with ``right_unique``, the right side is never dealt.  A row's salt depends
+    on its values alone, so a re-run repeats it.  Nothing is spread, nor looked for, where the
+    optimizer broadcasts a side, as no rows are shuffled then; ``known_large`` says that both
+    sides are too large for that.  Column names must differ between
+    the sides in the result, as in any join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a join of kind {how!r}")
-    if hot_left is None:
-        hot_left = frequent_keys(left, left_key)
+    if not known_large and (_is_broadcast(right) or (how == "inner" and _is_broadcast(left))):
+        return left.join(right, left[left_key] == right[right_key], how)
+    hot_left = frequent_keys(left, left_key)
     deals_right = how == "inner" and not right_unique
     hot_right = frequent_keys(right, right_key) if deals_right else []
     if not hot_left and not hot_right:
@@ -134,7 +147,7 @@ def spread_join(
     def copied(count: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), count - 1))
 
-    a, b, c, d = "_left_salt", "_right_salt", "_left_copy", "_right_copy"
+    a, b, c, d = "_row_salt", "_other_row_salt", "_key_salt", "_other_key_salt"
     one = left.withColumn(a, dealt(left, salts(left_key, hot_left, hot_right)))
     two = right.withColumn(c, copied(salts(right_key, hot_left, hot_right)))
     on = (one[left_key] == two[right_key]) & (F.col(a) == F.col(c))

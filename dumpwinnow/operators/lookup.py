@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpwinnow.operators.keyjoin import frequent_keys, spread_join
+from dumpwinnow.operators.keyjoin import spread_join
 
 BY_NAME = "name"
 BY_ALIAS = "alias"
@@ -63,6 +63,25 @@ def lookup_key(requests: DataFrame, column: str, table: DataFrame, key: str) ->
     return table.join(wanted, table[key] == wanted["request"], "left_semi")
 
 
+# Spark hands single values to the file reader up to this many, and beyond it only their range.
+FEW = 10
+
+
+def lookup_few_keys(
+    requests: DataFrame, column: str, table: DataFrame, key: str, few: int = FEW
+) -> DataFrame:
+    """:func:`lookup_key` for a handful of requests against a table stored by the key.
+
+    The requests become a filter, with which the reader skips row groups by their range and
+    their bloom filters.  More than ``few`` distinct requests are joined as usual.
+    """
+    wanted = requests.select(F.col(column).alias("request")).filter("request IS NOT NULL").distinct()
+    values = [r["request"] for r in wanted.limit(few + 1).collect()]
+    if len(values) > few:
+        return lookup_key(requests, column, table, key)
+    return table.filter(F.col(key).isin(values) if values else F.lit(False))
+
+
 # -- navigation along the catalog's references -----------------------------------------
 #
 # A credit, a medium or a tag may be what a large share of the rows refer to, so these joins
@@ -108,9 +127,7 @@ def tracks_of_recordings(tracks: DataFrame, recordings: DataFrame, media: DataFr
     named = recordings.select(F.col("id").alias("recording"), F.col("name").alias("recording_name"))
     carriers = media.select(F.col("id").alias("medium"), "format")
     found = spread_join(placed, named, "of", "recording", right_unique=True)
-    # the same tracks by their medium: looked for in the table, not in the join's result
-    hot = frequent_keys(placed, "on")
-    return spread_join(found, carriers, "on", "medium", right_unique=True, hot_left=hot).select(
+    return spread_join(found, carriers, "on", "medium", right_unique=True).select(
         "recording", "recording_name", "track", "position", "medium", "format"
     )
 

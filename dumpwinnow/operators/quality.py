@@ -262,3 +262,79 @@ def profile(table: DataFrame, name: str, exact_distinct: bool = False) -> DataFr
         "min",
         "max",
     )
+
+
+# -- profiles that can be merged -------------------------------------------------------
+
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+# A quantile's rank is off by 2 % at most, with 99 % certainty.
+QUANTILE_ITEMS = 200
+
+
+def profile_sketches(table: DataFrame, name: str) -> DataFrame:
+    """Statistics of one set of rows, one row per column, for :func:`merge_profiles`.
+
+    (table, column, type, rows, nulls, distinct_sketch, quantile_sketch, low_number, high_number,
+    low, high).  Sketches are binary and of bounded size.  Numbers are taken as doubles for
+    quantiles and order; other types have neither, their low and high are by text.
+    """
+
+    def statistics(column: str, kind: str) -> Column:
+        value = F.col(column)
+        numeric = kind.split("(")[0] in NUMERIC
+        number = value.cast("double") if numeric else F.lit(None).cast("double")
+        text = value.cast("string")
+        none = F.lit(None).cast("binary")
+        # the sketch takes values alone, and one of no values is none
+        sketch = F.when(
+            F.count(number) > 0, F.kll_sketch_agg_double(number, QUANTILE_ITEMS)
+        ).otherwise(none)
+        return F.struct(
+            F.lit(column).alias("column"),
+            F.lit(kind).alias("type"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(value.isNull()).alias("nulls"),
+            F.hll_sketch_agg(text).alias("distinct_sketch"),
+            (sketch if numeric else none).alias("quantile_sketch"),
+            F.min(number).alias("low_number"),
+            F.max(number).alias("high_number"),
+            (F.min_by(text, number) if numeric else F.min(text)).alias("low"),
+            (F.max_by(text, number) if numeric else F.max(text)).alias("high"),
+        )
+
+    found = table.agg(F.array(*[statistics(c, k) for c, k in table.dtypes]).alias("s"))
+    return found.select(F.lit(name).alias("table"), F.inline("s"))
+
+
+def merge_profiles(parts: DataFrame) -> DataFrame:
+    """Rows of :func:`profile_sketches` of several sets of rows as those of all of them."""
+    numeric = F.col("low_number").isNotNull()
+    return parts.groupBy("table", "column", "type").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("nulls").alias("nulls"),
+        F.hll_union_agg("distinct_sketch").alias("distinct_sketch"),
+        F.when(F.count("quantile_sketch") > 0, F.kll_merge_agg_double("quantile_sketch")).alias(
+            "quantile_sketch"
+        ),
+        F.min("low_number").alias("low_number"),
+        F.max("high_number").alias("high_number"),
+        F.coalesce(F.min_by(F.when(numeric, F.col("low")), "low_number"), F.min("low")).alias("low"),
+        F.coalesce(F.max_by(F.when(numeric, F.col("high")), "high_number"), F.max("high")).alias("high"),
+    )
+
+
+def read_profile(sketches: DataFrame, ranks: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(table, column, rows, nulls, distinct, low, high, quantiles) of stored or merged sketches."""
+    quantiles = F.array(
+        *[F.kll_sketch_get_quantile_double("quantile_sketch", F.lit(float(r))) for r in ranks]
+    )
+    return sketches.select(
+        "table",
+        "column",
+        "rows",
+        "nulls",
+        F.hll_sketch_estimate("distinct_sketch").alias("distinct"),
+        "low",
+        "high",
+        F.when(F.col("quantile_sketch").isNotNull(), quantiles).alias("quantiles"),
+    )

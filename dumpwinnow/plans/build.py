@@ -305,7 +305,26 @@ def _stored(target: Snapshot, table: str, rows: DataFrame) -> tuple[DataFrame, i
 
 
 def write_indexes(target: Snapshot) -> int:
-    """Tables that speed up lookups: names with their trigrams, the trigram order, postings.
+    """Tables that speed up lookups; the number of names in the name index.
+
+    ``_by_gid`` and ``_by_name`` hold recordings and artists in the order of what they are looked
+    up by.
+    """
+    artists = target.read("mb_artist").withColumn("name_key", F.lower("name"))
+    recordings = target.read("mb_recording")
+    done = run_steps(
+        target.spark,
+        {
+            "names": lambda: write_name_index(target),
+            "by gid": lambda: target.write_clustered("_by_gid", recordings, "gid", ["gid"]),
+            "by name": lambda: target.write_clustered("_by_name", artists, "name_key", ["name_key"]),
+        },
+    )
+    return done["names"]
+
+
+def write_name_index(target: Snapshot) -> int:
+    """Artists' names with their trigrams, the trigram order and the postings; the names' number.
 
     ``_postings`` is bucketed by trigram; ``_index`` tells how it was made.
     """

@@ -98,3 +98,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete one file, if it is there."""
     fs, target = _file_system(spark, path)
     fs.delete(target, False)
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)

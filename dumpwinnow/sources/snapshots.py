@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +66,31 @@ class Snapshot:
         return rejected.select(F.col(LINE).alias("line"), F.col(REASON).alias("reason"))
 
 
+    def write_clustered(
+        self,
+        table: str,
+        rows: DataFrame,
+        by: str,
+        blooms: Sequence[str] = (),
+        files: int | None = None,
+        distinct: int = 1_000_000,
+    ) -> DataFrame:
+        """Store rows in files that each hold a range of a key, sorted by it, with bloom filters.
+
+        A filter on the key then reads the row groups of its range alone; one on a column of
+        ``blooms`` skips the row groups that cannot hold a value, of which each is made for
+        ``distinct`` values.  Rows that share a key may fill several files.
+        """
+        files = files or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        ordered = rows.repartitionByRange(files, F.col(by), F.xxhash64(*rows.columns))
+        writer = ordered.sortWithinPartitions(by).write.mode("overwrite")
+        for column in blooms:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(
+                f"parquet.bloom.filter.expected.ndv#{column}", str(distinct)
+            )
+        writer.parquet(self.table_path(table))
+        return self.spark.read.schema(rows.schema).parquet(self.table_path(table))
+
     def write_buckets(self, table: str, rows: DataFrame, key: str, buckets: int) -> DataFrame:
         """Store rows in buckets of a key, sorted by it, so that joins on it need no shuffle."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed_name(table)}")

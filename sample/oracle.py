@@ -170,6 +170,54 @@ def _reloaded() -> str:
         UNION ALL SELECT 'rejects', 'mb_artist', 0"""
 
 
+def _closed() -> str:
+    """Tracks name other credits; only credits can be missing, and they refer to nothing."""
+    moved = "SELECT * REPLACE (medium + 1 AS artist_credit) FROM kept_mb_track"
+    credits = f"""SELECT count(*) FROM mb_artist_credit
+                  WHERE id IN (SELECT id FROM kept_mb_artist_credit)
+                     OR id IN (SELECT artist_credit FROM ({moved}))"""
+    lost = f"""SELECT count(*) FROM ({moved})
+               WHERE artist_credit NOT IN (SELECT id FROM mb_artist_credit)"""
+    references = "\nUNION ALL\n".join(
+        f"SELECT 'dangling', '{spec.table}.{column}', "
+        + (f"({lost})" if (spec.table, column) == ("mb_track", "artist_credit") else "0")
+        for spec in LOADED_TABLES
+        for column, _, _ in spec.foreign_keys
+    )
+    return f"""
+        SELECT 'kept' AS part, "table" AS name, rows FROM ({_sizes("kept_")})
+        UNION ALL SELECT 'closed', "table",
+            CASE WHEN "table" = 'mb_artist_credit' THEN ({credits}) ELSE rows END
+        FROM ({_sizes("kept_")})
+        UNION ALL {references}"""
+
+
+CHANGED = """
+, after_all AS (
+    SELECT * REPLACE (CASE WHEN artist % 50 = 7 THEN upper(name) ELSE name END AS name)
+    FROM mb_artist_credit_name WHERE artist_credit % 97 <> 0
+    UNION ALL SELECT * FROM mb_artist_credit_name WHERE artist_credit % 89 = 1
+    UNION ALL SELECT * REPLACE (-artist_credit AS artist_credit) FROM mb_artist_credit_name
+    WHERE artist_credit % 101 = 3),
+b AS (SELECT artist_credit, position, count(*) AS n, list_sort(list(r::VARCHAR)) AS rows
+      FROM mb_artist_credit_name r GROUP BY ALL),
+a AS (SELECT artist_credit, position, count(*) AS n, list_sort(list(r::VARCHAR)) AS rows
+      FROM after_all r GROUP BY ALL)
+SELECT artist_credit, position,
+       CASE WHEN b.n IS NULL THEN 'added' WHEN a.n IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       coalesce(b.n, 0) AS rows_before, coalesce(a.n, 0) AS rows_after
+FROM b FULL JOIN a USING (artist_credit, position) WHERE a.rows IS DISTINCT FROM b.rows"""
+
+
+def _merged(table: str, columns: tuple[str, ...]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) FILTER (\"{c}\" IS NULL) AS nulls, "
+        f'count(DISTINCT "{c}") AS exact, true AS "close", true AS near, '
+        f'CAST(min("{c}") AS VARCHAR) AS low, CAST(max("{c}") AS VARCHAR) AS high FROM {table}'
+        for c in columns
+    )
+
+
 def _profile(table: str, columns: tuple[str, ...]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*) AS rows, "
@@ -322,6 +370,9 @@ def all_oracles() -> dict[str, str]:
                 SELECT * RENAME ("distinct" AS exact), true AS "close"
                 FROM ({_profile("mb_track", spec_for("mb_track").column_names)}))"""
         ),
+        "profile_merged": _catalog(_merged("mb_track", spec_for("mb_track").column_names)),
+        "subset_closed": _kept(_closed()),
+        "changed_credits": f"WITH {CATALOG_CTES}{CHANGED}",
         "ci_name_lookup": _requests(BY_NAME),
         "ci_alias_lookup": _requests(BY_ALIAS),
         "ci_lookup": _requests(f"{BY_NAME} UNION ALL {BY_ALIAS}"),
@@ -353,6 +404,10 @@ def all_oracles() -> dict[str, str]:
             FROM scored JOIN requests ON request = requests.k JOIN part ON p_name = name
             WHERE similarity >= 0.5""",
         "key_lookup": _catalog("SELECT * FROM mb_recording WHERE length > 400000"),
+        "key_lookup_few": _catalog(
+            "SELECT * FROM mb_recording WHERE gid IN "
+            "(SELECT gid FROM mb_recording ORDER BY length DESC, id LIMIT 7)"
+        ),
         "navigate_credits": _catalog(
             "SELECT n.artist, c.id AS artist_credit, n.position, c.name AS credit_name "
             "FROM mb_artist_credit_name n JOIN mb_artist_credit c ON n.artist_credit = c.id"

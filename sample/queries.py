@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.sql import Column as Expression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from dumpwinnow.functions.copytext import decode_field, encode_field, encode_lin
 from dumpwinnow.functions.normalize import normalize_name
 from dumpwinnow.functions.trigrams import similarity, trigrams
 from dumpwinnow.operators import lookup, matching, quality
+from dumpwinnow.operators.closure import close_subset
+from dumpwinnow.operators.compare import changed_keys
 from dumpwinnow.operators.fuzzy import fuzzy_lookup
 from dumpwinnow.operators.keyjoin import distinct_keys
 from dumpwinnow.operators.subset import rules_for, subset, tables_for, write_subset
@@ -21,13 +25,14 @@ from dumpwinnow.plans.build import (
     import_dump,
     read_name_index,
     read_tables,
-    write_indexes,
+    write_name_index,
 )
 from dumpwinnow.plans.rules import CATALOG_RULES
 from dumpwinnow.sources.dump import TOLERANT, parse_lines
 from dumpwinnow.sources.listing import latest_stamp, missing_names, shared_names, snapshot_stamps
 from dumpwinnow.sources.snapshots import Snapshot, SnapshotStore, scratch_snapshot
 from dumpwinnow.sources.specs import LOADED_TABLES, Column, TableSpec, spec_for
+from dumpwinnow.sources.views import publish_views
 from sample.catalog import catalog, catalog_table, dump_lines, library, read, run_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -430,7 +435,7 @@ def build_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A build of a library, a second start under its name, and a build that keeps everything.
 
     Two dump files are missing.  Rows as (part, name, rows): what the first build says it kept,
-    the refused start, the name that is published in the end, and the tables read through it.
+    the refused start, the name that is published in the end, and its tables read through views.
     """
     folder = scratch_snapshot(spark).path
     dump = _write_dump(spark, sf_dir, f"{folder}/dump", ("mb_gender", "mb_tag"))
@@ -444,7 +449,9 @@ def build_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
         facts.append(("refused", "one", 1))
     build(spark, dump, store.root, "two", None, keep_all=True, mode=TOLERANT)
     facts.append(("published last", store.current_name(), 1))
-    published = quality.table_sizes(read_tables(store.current()))
+    publish_views(store, "published_catalog")
+    views = {s.table: spark.table(f"published_catalog.{s.table}") for s in LOADED_TABLES}
+    published = quality.table_sizes(views)
     return (
         _report(first.read("_kept"), "kept")
         .unionAll(_report(published, "published"))
@@ -509,6 +516,86 @@ def column_profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of three sets of tracks, stored apart and merged, against the whole table.
+
+    Per column: exact rows and nulls, low and high, and whether the distinct count is within 5 %
+    and the quartiles' ranks within 3 % of the exact ones.
+    """
+    track = catalog_table(spark, sf_dir, "mb_track")
+    stored = scratch_snapshot(spark)
+    parts = [
+        stored.write(f"part{k}", quality.profile_sketches(track.filter(F.col("medium") % 3 == k), "mb_track"))
+        for k in range(3)
+    ]
+    found = stored.write("merged", quality.merge_profiles(reduce(DataFrame.unionAll, parts)))
+    found = quality.read_profile(found)
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))
+            for c in track.columns
+        ]
+    )
+    values = track.select(F.inline(entries)).join(F.broadcast(found), "column")  # one row a column
+    number, n = F.col("v").try_cast("double"), F.count("v")
+
+    def off(k: int, share: float) -> Expression:
+        """How far the wanted rank is from the ranks that the quantile has."""
+        quantile = F.get("quantiles", F.lit(k))
+        low, high = (F.count_if(c) / n for c in (number < quantile, number <= quantile))
+        return F.greatest(F.lit(0.0), low - share, share - high)
+
+    near = [F.any_value("quantiles").isNull() | (off(k, s) <= 0.03) for k, s in enumerate((0.25, 0.5, 0.75))]
+    exact, distinct = F.count_distinct("v"), F.any_value("distinct")
+    return values.groupBy("column").agg(
+        F.any_value("rows").alias("rows"),
+        F.any_value("nulls").alias("nulls"),
+        exact.alias("exact"),
+        (F.abs(distinct - exact) * 20 <= exact).alias("close"),
+        reduce(lambda x, y: x & y, near).alias("near"),
+        F.any_value("low").alias("low"),
+        F.any_value("high").alias("high"),
+    )
+
+
+def subset_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the subset closed over its references, with tracks that name other credits.
+
+    Rows as (part, name, rows): kept rows, rows of the closed tables, references left dangling.
+    """
+    scratch = scratch_snapshot(spark)
+    tables = catalog(spark, sf_dir)
+    tables["mb_track"] = tables["mb_track"].withColumn("artist_credit", F.col("medium") + 1)
+    roots = scratch.write("roots", _roots(spark, sf_dir))
+    kept = write_subset(tables, CATALOG_RULES, roots, roots.count(), scratch.write).tables
+    closed = close_subset(tables, kept, LOADED_TABLES, scratch).tables
+    report = quality.integrity_report(closed, LOADED_TABLES).filter("check = 'foreign key'")
+    dangling = report.select(
+        F.concat_ws(".", "table", "columns").alias("name"), F.col("violations").alias("rows")
+    )
+    return (
+        _report(quality.table_sizes(kept), "kept")
+        .unionAll(_report(quality.table_sizes(closed), "closed"))
+        .unionAll(_report(dangling, "dangling", "name"))
+    )
+
+
+def changed_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that differ between two stored versions of the credits' members."""
+    before = catalog_table(spark, sf_dir, "mb_artist_credit_name")
+    after = (
+        before.filter(F.col("artist_credit") % 97 != 0)
+        .withColumn("name", F.when(F.col("artist") % 50 == 7, F.upper("name")).otherwise(F.col("name")))
+        .unionAll(before.filter(F.col("artist_credit") % 89 == 1))
+        .unionAll(
+            before.filter("artist_credit % 101 = 3").withColumn("artist_credit", -F.col("artist_credit"))
+        )
+    )
+    stored = scratch_snapshot(spark)
+    versions = [stored.write(n, rows) for n, rows in (("before", before), ("after", after))]
+    return changed_keys(*versions, ["artist_credit", "position"])
+
+
 # -- lookups ---------------------------------------------------------------------------
 
 
@@ -577,7 +664,7 @@ def fuzzy_index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = scratch_snapshot(spark)
     names = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
     named = stored.write("mb_artist", names)
-    write_indexes(stored)
+    write_name_index(stored)
     hits = fuzzy_lookup(
         part.select(F.concat_ws(" ", "p_name", "p_brand").alias("request")),
         named,
@@ -594,6 +681,15 @@ def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.lookup_key(wanted, "gid", recordings, "gid")
 
 
+def key_lookup_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recordings of the seven longest, by UUID, in a table that is stored by UUID."""
+    recordings = catalog_table(spark, sf_dir, "mb_recording")
+    stored = scratch_snapshot(spark)
+    by_gid = stored.write_clustered("recordings", recordings, "gid", ["gid"])
+    wanted = recordings.orderBy(F.desc("length"), "id").limit(7).select("gid")
+    return lookup.lookup_few_keys(wanted, "gid", by_gid, "gid")
+
+
 def navigate_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.credits_of_artists(
         catalog_table(spark, sf_dir, "mb_artist_credit_name"),
@@ -689,6 +785,9 @@ PLAIN: tuple[Query, ...] = (
     integrity_kept,
     column_profile,
     column_profile_sketch,
+    profile_merged,
+    subset_closed,
+    changed_credits,
     ci_name_lookup,
     ci_alias_lookup,
     ci_lookup,
@@ -698,6 +797,7 @@ PLAIN: tuple[Query, ...] = (
     fuzzy_title_lookup,
     fuzzy_index_lookup,
     key_lookup,
+    key_lookup_few,
     navigate_credits,
     navigate_release_groups,
     navigate_recordings,

@@ -22,7 +22,13 @@ from dumpwinnow.plans.build import (
 from dumpwinnow.plans.lease import LeaseHeld, exclusive
 from dumpwinnow.plans.steps import run_steps
 from dumpwinnow.sources import dump as dump_source
-from dumpwinnow.sources.files import create_new, path_exists, read_pointer, write_pointer
+from dumpwinnow.sources.files import (
+    create_new,
+    path_exists,
+    read_pointer,
+    remove,
+    write_pointer,
+)
 from dumpwinnow.sources.snapshots import (
     Snapshot,
     SnapshotStore,
@@ -32,6 +38,7 @@ from dumpwinnow.sources.snapshots import (
     fill_if_empty,
 )
 from dumpwinnow.sources.specs import ALL_TABLES
+from dumpwinnow.sources.views import publish_views, vacuum
 from tests.fixture_rows import (
     FIRST,
     FIRST_KEPT,
@@ -166,6 +173,39 @@ def test_a_live_build_keeps_its_lease(spark, tmp_path):
         pass
 
 
+def test_views_follow_what_is_published(spark, tmp_path):
+    """Views over a filtered and an unfiltered build, with rejects beside the rows."""
+    root, dump = str(tmp_path / "out"), write_dump(tmp_path / "dump", FIRST)
+    with open(f"{dump}/gender", "a", encoding="utf-8") as out:
+        out.write("x\tbad\n")
+    store = SnapshotStore(spark, root)
+    with pytest.raises(ValueError, match="nothing is published"):
+        publish_views(store, "views_test")
+    view = lambda t: spark.table(f"views_test.{t}")
+    one = build(spark, dump, root, "one", names(spark, FIRST_LIBRARY), mode="tolerant")
+    assert publish_views(store, "views_test").path == one.path
+    assert {t: view(t).count() for t in FIRST_KEPT} == FIRST_KEPT
+    build(spark, dump, root, "two", None, keep_all=True, mode="tolerant")
+    assert view("mb_artist").count() == FIRST_KEPT["mb_artist"]  # not yet moved
+    publish_views(store, "views_test")
+    assert {t: view(t).count() for t in FIRST_LOADED} == FIRST_LOADED
+    assert view("mb_gender").columns == ["id", "name"]
+
+    # retention: the published one and the newest others stay
+    for name in ("three", "four"):
+        store.publish("two/loaded")
+        Ledger(store.snapshot(name)).mark("schema", Done(1))
+        time.sleep(1.1)
+    create_new(spark, f"{root}/one/_lease", "busy")
+    assert vacuum(store, keep=1, least_age=0) == ["three"]
+    assert vacuum(store, keep=0, least_age=3600) == []
+    assert vacuum(store, keep=0, least_age=0, dry_run=True) == ["four"]
+    remove(spark, f"{root}/one/_lease")
+    assert vacuum(store, keep=0, least_age=0) == ["four", "one"]
+    assert sorted(n for n in os.listdir(root) if not n.startswith(".")) == ["CURRENT", "two"]
+    assert {t: view(t).count() for t in FIRST_LOADED} == FIRST_LOADED
+
+
 def test_unknown_and_unfinished_entries_are_ignored(spark, tmp_path):
     ledger = Ledger(Snapshot(spark, str(tmp_path)))
     assert (ledger.completed(), ledger.exists()) == (set(), False)

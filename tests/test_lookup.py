@@ -13,7 +13,7 @@ from dumpwinnow.operators.fuzzy import (
     similar_names,
 )
 from dumpwinnow.operators.keyjoin import frequent_keys, spread_join
-from dumpwinnow.plans.build import read_name_index, write_indexes
+from dumpwinnow.plans.build import read_name_index, write_name_index
 from dumpwinnow.sources.snapshots import Snapshot
 from tests.fixture_rows import FIRST
 from tests.test_names import grams_of
@@ -45,6 +45,31 @@ def test_key_lookup_and_tags(spark):
     assert of == {100: ["electronic", "experimental"], 200: ["experimental", "rock"]}
 
 
+def scanned(rows):
+    """Rows that the file reader gave in the query's run."""
+    return rows._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_few_keys_read_few_row_groups(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.md5(F.col("id").cast("string")).alias("gid"), (F.col("id") * 7 % 1000).alias("n")
+    )
+    table = Snapshot(spark, str(tmp_path)).write_clustered("t", rows, "gid", ["gid", "n"], files=20)
+    some = [r["gid"] for r in rows.filter("n = 3").limit(2).collect()]
+    found = lookup.lookup_few_keys(asked(spark, *some, None, some[0]), "request", table, "gid")
+    assert sorted(r["gid"] for r in found.collect()) == sorted(some)
+    assert scanned(found) < 3 * 40_000 / 20 * 1.5
+    # values inside every file's range, which only the bloom filters can rule out
+    nowhere = lookup.lookup_few_keys(asked(spark, "8" * 31 + "x"), "request", table, "gid")
+    assert nowhere.collect() == [] and scanned(nowhere) == 0
+    many = [r["gid"] for r in rows.limit(50).collect()]
+    assert lookup.lookup_few_keys(asked(spark, *many), "request", table, "gid").count() == 50
+    assert lookup.lookup_few_keys(asked(spark, None), "request", table, "gid").count() == 0
+    # one key with most rows fills several files
+    hot = Snapshot(spark, str(tmp_path)).write_clustered("hot", rows.withColumn("gid", F.lit("a")), "gid", files=8)
+    assert hot.count() == 40_000 and largest_share(hot.coalesce(100)) < 0.9
+
+
 def largest_share(rows):
     """Share of the rows in the fullest partition."""
     held = rows.groupBy(F.spark_partition_id().alias("p")).count()
@@ -81,9 +106,24 @@ def test_one_credit_with_half_the_rows(spark, side):
     assert got == want
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_small_side_is_broadcast_as_it_is(spark):
+    left = spark.range(1000).select((F.col("id") % 2).alias("x"))
+    right = spark.createDataFrame([(0, "a"), (1, "b")], "y long, v string")
+    plan = spread_join(left, right, "x", "y")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "_row_salt" not in plan
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("hot", [0, 5])
-def test_spread_joins_equal_plain_ones(spark, how, hot):
+def test_spread_joins_equal_plain_ones(spark, no_broadcast, how, hot):
     draw = random.Random(hot)
     def keys(n, share):
         return [(None if draw.random() < 0.1 else hot if draw.random() < share else draw.randrange(700), k) for k in range(n)]
@@ -185,7 +225,7 @@ def test_stored_postings_are_not_shuffled(spark, tmp_path):
     names, requests = random_names(3000, 5), random_names(815, 6)
     target = Snapshot(spark, str(tmp_path))
     target.write("mb_artist", spark.createDataFrame(list(enumerate(names)), "id int, name string"))
-    write_indexes(target)
+    write_name_index(target)
     spark.sql(f"DROP TABLE {target._bucketed_name('_postings')}")  # as in another session
     index = read_name_index(target)
     asked_names = distinct_names(asked(spark, *requests), "request")
