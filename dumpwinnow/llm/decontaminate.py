@@ -24,13 +24,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import by_value, carried_columns, keyed, value_of, with_carried
+from .rows import beside, by_value, keyed, struct_of, value_of
 from .scratch import written
 from .text import (
     ALPHANUMERIC,
     LOWER,
+    Portion,
     Rolling,
     Words,
+    at_least_one,
     covered,
     expand,
     find_words,
@@ -181,57 +183,42 @@ def occurrences(index: Index, words: Words, hashes: np.ndarray) -> tuple[np.ndar
     return np.concatenate([b for b, _ in found]), np.concatenate([w for _, w in found])
 
 
-def hit_rows(broadcast: Broadcast):
-    """Task: documents to word counts, spans of hit words and groups found."""
+HITS = "n_words long, hits array<struct<low int, high int>>, groups array<long>"
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = value_of(broadcast)
-        for batch in batches:
-            for part in portions(batch["text"]):
-                words, hashes = folded_words(part.data, part.offsets)
-                begin, window = occurrences(index, words, hashes)
-                change = np.zeros(len(hashes) + 1, np.int64)
-                np.add.at(change, begin, 1)
-                np.add.at(change, begin + index.length[window], -1)
-                hit = np.cumsum(change[:-1]) > 0
-                rows = part.high - part.low
-                row = np.searchsorted(words.first, begin, "right") - 1
-                pairs = np.unique(row * (len(index.groups) + 1) + index.group[window])
-                row, group = np.divmod(pairs, len(index.groups) + 1)
-                ends = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
-                own = slice(part.low, part.high)
-                more, names_of_more = carried_columns(batch, own)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["key"][own],
-                        batch["doc_id"][own],
-                        pa.array(np.diff(words.first)),
-                        spans_of(hit, words.first),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(index.groups[group])),
-                        *more,
-                    ],
-                    ["key", "doc_id", "n_words", "hits", "groups", *names_of_more],
-                )
 
-    return task
+def hit_texts(broadcast: Broadcast):
+    """Task: texts to word counts, spans of hit words and groups found."""
 
-
-def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: spans found in several blocks to maximal ones."""
-    for batch in batches:
-        first = np.concatenate([[0], np.cumsum(batch["n_words"].to_numpy())])
-        hits = spans_of(covered(batch["hits"], first), first)
-        more, names = carried_columns(batch, slice(None))
-        yield pa.RecordBatch.from_arrays(
-            [batch["key"], batch["doc_id"], batch["n_words"], hits, batch["groups"], *more],
-            ["key", "doc_id", "n_words", "hits", "groups", *names],
+    def hits_of(index: Index, part: Portion) -> pa.StructArray:
+        words, hashes = folded_words(part.data, part.offsets)
+        begin, window = occurrences(index, words, hashes)
+        change = np.zeros(len(hashes) + 1, np.int64)
+        np.add.at(change, begin, 1)
+        np.add.at(change, begin + index.length[window], -1)
+        hit = np.cumsum(change[:-1]) > 0
+        row = np.searchsorted(words.first, begin, "right") - 1
+        pairs = np.unique(row * (len(index.groups) + 1) + index.group[window])
+        row, group = np.divmod(pairs, len(index.groups) + 1)
+        ends = np.searchsorted(row, np.arange(part.high - part.low + 1)).astype(np.int32)
+        return struct_of(
+            n_words=np.diff(words.first),
+            hits=spans_of(hit, words.first),
+            groups=pa.ListArray.from_arrays(pa.array(ends), pa.array(index.groups[group])),
         )
 
+    def task(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = value_of(broadcast)
+        for text in texts:
+            yield pa.concat_arrays([hits_of(index, part) for part in at_least_one(text)])
 
-FOUND = (
-    "key long, doc_id long, n_words long, hits array<struct<low int, high int>>, "
-    "groups array<long>"
-)
+    return task
+
+
+def merged_hits(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Task: word counts and spans found in several blocks to maximal ones."""
+    for n_words, hits in batches:
+        first = np.concatenate([[0], np.cumsum(n_words.to_numpy())])
+        yield struct_of(hits=spans_of(covered(hits, first), first))
 
 
 def against_block(texts: DataFrame, rows: pa.Table, size: int) -> DataFrame:
@@ -247,7 +234,10 @@ def against_block(texts: DataFrame, rows: pa.Table, size: int) -> DataFrame:
         counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
         rarity = {r["word"]: r["n"] for r in counted.collect()}
     index = build_index(rows, size, rarity)
-    return texts.mapInArrow(hit_rows(by_value(context, index)), with_carried(FOUND, texts))
+    found = beside(hit_texts(by_value(context, index)), HITS, "text").alias("found")
+    more = ["text", "carried"] if "carried" in texts.columns else []
+    rows = texts.select("key", "doc_id", found, *more)
+    return rows.select("key", "doc_id", "found.*", *more)
 
 
 def grouped_windows(items: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -301,19 +291,17 @@ def find_groups(
         F.flatten(F.collect_set("groups")).alias("more_groups"),
     )
     none = F.array().cast("array<long>")
-    return (
-        found[0]
-        .join(more, "key", "left")
-        .select(
-            "key",
-            "doc_id",
-            "n_words",
-            F.concat("hits", F.coalesce("more_hits", F.array())).alias("hits"),
-            F.array_distinct(F.concat("groups", F.coalesce("more_groups", none))).alias("groups"),
-            *(["text", "carried"] if "carried" in texts.columns else []),
-        )
-        .mapInArrow(merged_rows, with_carried(FOUND, texts))
+    carried = ["text", "carried"] if "carried" in texts.columns else []
+    joined = found[0].join(more, "key", "left").select(
+        "key",
+        "doc_id",
+        "n_words",
+        F.concat("hits", F.coalesce("more_hits", F.array())).alias("hits"),
+        F.array_distinct(F.concat("groups", F.coalesce("more_groups", none))).alias("groups"),
+        *carried,
     )
+    merged = beside(merged_hits, "hits array<struct<low int, high int>>", "n_words", "hits")
+    return joined.withColumn("hits", merged["hits"])
 
 
 def find_hits(

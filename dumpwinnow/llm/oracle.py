@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express on whole tables.
 
-Scores, trees, network weights, shards and byte suffixes are not among them; tests compare those
-with brute force.
+Scores, trees, network weights, shards, runs of words and fingerprints are not among them; tests
+compare those with brute force.
 """
 
 from __future__ import annotations
@@ -124,3 +124,28 @@ negatives AS (
     WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
     WINDOW first AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))
 SELECT * FROM negatives WHERE rank <= 3"""
+
+SUFFIXES = """
+WITH raw AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+bytes AS (
+    SELECT doc_id, h, strlen(h) // 2 AS n, unnest(range(1, strlen(h) // 2 + 1)) AS i FROM raw),
+starts AS (
+    SELECT doc_id, i, md5(substr(h, 2 * i - 1, 800)) AS w FROM bytes WHERE i + 399 <= n),
+again AS (SELECT w FROM starts GROUP BY w HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, 1 AS hit FROM starts JOIN again USING (w)),
+marked AS (
+    SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS b,
+           coalesce(max(hit) OVER (
+               PARTITION BY doc_id ORDER BY i ROWS BETWEEN 399 PRECEDING AND CURRENT ROW), 0) AS gone
+    FROM bytes LEFT JOIN hit USING (doc_id, i)),
+edges AS (
+    SELECT *, gone = 1 AND lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY i) = 0 AS head
+    FROM marked),
+cut AS (
+    SELECT doc_id, count(*) AS n, sum(gone) AS gone, count(*) FILTER (head) AS spans,
+           string_agg(b, '' ORDER BY i) FILTER (gone = 0) AS kept
+    FROM edges GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM documents LEFT JOIN cut USING (doc_id)"""

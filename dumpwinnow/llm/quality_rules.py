@@ -17,11 +17,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import by_value, carried_columns, keyed, value_of, with_carried
+from .rows import beside, by_value, keyed, struct_of, value_of
 from .text import (
     LOWER,
     SPACED,
+    Portion,
     Rolling,
+    at_least_one,
     byte_class,
     byte_values,
     find_words,
@@ -156,39 +158,26 @@ def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def judged_rows(model: Broadcast, threshold: float):
+VERDICT = (
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "base_failed boolean, kept boolean, score double"
+)
+
+
+def judged_texts(model: Broadcast, threshold: float):
     """Task: texts to counts and verdict."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judged(forest: Forest | None, part: Portion) -> pa.StructArray:
+        s = statistics(part.data, part.offsets)
+        failed = (s.n_words < 20) | (100 * s.n_repeat_words > 30 * s.n_words)
+        score = np.ones(len(failed)) if forest is None else forest.probabilities(s.features)
+        counts = {name: getattr(s, name).astype(np.int64) for name in s._fields[:5]}
+        return struct_of(**counts, base_failed=failed, kept=~failed & (score >= threshold), score=score)
+
+    def task(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         forest = value_of(model)
-        for batch in batches:
-            for part in portions(batch["text"]):
-                s = statistics(part.data, part.offsets)
-                failed = (s.n_words < 20) | (100 * s.n_repeat_words > 30 * s.n_words)
-                score = np.ones(len(failed)) if forest is None else forest.probabilities(s.features)
-                more, names = carried_columns(batch, slice(part.low, part.high))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["doc_id"][part.low : part.high],
-                        *[pa.array(column.astype(np.int64)) for column in s[:5]],
-                        pa.array(failed),
-                        pa.array(~failed & (score >= threshold)),
-                        pa.array(score),
-                        *more,
-                    ],
-                    [
-                        "doc_id",
-                        "n_words",
-                        "word_chars",
-                        "n_symbols",
-                        "n_dup_lines",
-                        "n_repeat_words",
-                        "base_failed",
-                        "kept",
-                        "score",
-                        *names,
-                    ],
-                )
+        for text in texts:
+            yield pa.concat_arrays([judged(forest, part) for part in at_least_one(text)])
 
     return task
 
@@ -245,11 +234,6 @@ def quality_rules(
     marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
     trees = train(texts.select("doc_id", "text"), marks, train_rows)
     model = by_value(docs.sparkSession.sparkContext, trees)
-    return texts.mapInArrow(
-        judged_rows(model, threshold),
-        with_carried(
-            "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-            "n_repeat_words long, base_failed boolean, kept boolean, score double",
-            texts,
-        ),
-    )
+    verdict = beside(judged_texts(model, threshold), VERDICT, "text").alias("verdict")
+    more = ["text", "carried"] if carry else []
+    return texts.select("doc_id", verdict, *more).select("doc_id", "verdict.*", *more)

@@ -181,6 +181,7 @@ def all_oracles() -> dict[str, str]:
         "op2_superminhash": oracle.NEAR_DUPLICATES,
         "op4_decontaminate": oracle.CONTAMINATION,
         "op5_warc_revisits": oracle.REVISITS,
+        "op7_suffix_dedup": oracle.SUFFIXES,
         "op9_substring_dedup": oracle.WINDOWS,
         "op12_hard_negatives": oracle.HARD_NEGATIVES,
     }

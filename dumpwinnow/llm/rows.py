@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, SparkContext, cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -42,19 +42,21 @@ def keyed(docs: DataFrame, doc_id: str, text: str, carry: bool = False) -> DataF
     return rows.select(F.xxhash64("doc_id", "text").alias("key"), *rows.columns)
 
 
-def with_carried(columns: str, rows: DataFrame) -> StructType:
-    """A task's output schema: the columns, and what `carried_columns` gives beside them."""
-    schema = StructType.fromDDL(columns)
-    for field in rows.schema if "carried" in rows.columns else ():
-        if field.name in ("text", "carried"):
-            schema = schema.add(field)
-    return schema
+def beside(task: Callable, columns: str, *inputs: str) -> Column:
+    """A struct column that a task computes from input columns.
+
+    Only the inputs go to Python and only the struct comes back; the rows' other columns, long
+    texts among them, wait in the JVM.  `task` maps an iterator of arrays, or of tuples of arrays
+    where there are several inputs, to an iterator of struct arrays of the same lengths.  It is
+    marked as nondeterministic, so that a filter on its result does not compute it once more.
+    """
+    made = F.arrow_udf(task, StructType.fromDDL(columns), F.ArrowUDFType.SCALAR_ITER)
+    return made.asNondeterministic()(*inputs)
 
 
-def carried_columns(batch: pa.RecordBatch, rows: slice) -> tuple[list[pa.Array], list[str]]:
-    """Text and other columns that come along, if any do."""
-    names = ["text", "carried"] if "carried" in batch.schema.names else []
-    return [batch[name][rows] for name in names], names
+def struct_of(**columns: pa.Array | np.ndarray) -> pa.StructArray:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()]
+    return pa.StructArray.from_arrays(arrays, list(columns))
 
 
 def carried_back(rows: DataFrame, schema: StructType, text: str) -> DataFrame:

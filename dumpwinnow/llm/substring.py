@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import carried_columns, keyed, with_carried
+from .rows import beside, keyed, struct_of
 from .scratch import written
 from .text import (
+    Portion,
     Rolling,
     anchored_runs,
+    at_least_one,
     covered,
     expand,
     find_words,
@@ -124,24 +126,23 @@ def window_rows(size: int):
     return task
 
 
-def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: merge the intervals of each text and join the words that stay."""
-    for batch in batches:
-        for part in portions(batch["text"]):
-            rows = slice(part.low, part.high)
-            words = find_words(part.data, part.offsets)
-            gone = covered(batch["spans"][rows], words.first)
-            more, names = carried_columns(batch, rows)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"][rows],
-                    pa.array(np.diff(words.first)),
-                    spans_of(gone, words.first),
-                    join_words(part.data, words, ~gone, part.offsets),
-                    *more,
-                ],
-                ["doc_id", "n_words", "removed", "kept", *names],
-            )
+CUT = "n_words long, removed array<struct<low int, high int>>, kept string"
+
+
+def cut_texts(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Task: texts and spans to merged intervals and the words that stay."""
+
+    def part_cut(part: Portion, spans: pa.ListArray) -> pa.StructArray:
+        words = find_words(part.data, part.offsets)
+        gone = covered(spans, words.first)
+        return struct_of(
+            n_words=np.diff(words.first),
+            removed=spans_of(gone, words.first),
+            kept=join_words(part.data, words, ~gone, part.offsets),
+        )
+
+    for text, spans in batches:
+        yield pa.concat_arrays([part_cut(p, spans[p.low : p.high]) for p in at_least_one(text)])
 
 
 def repeated_spans(texts: DataFrame, size: int, core: int) -> DataFrame:
@@ -210,13 +211,8 @@ def remove_windows(
     """
     texts = keyed(docs, doc_id, text, carry).withColumn("rank", F.coalesce("doc_id", F.lit(LAST)))
     spans = repeated_spans(texts.select("key", "rank", "text"), size, core)
-    return (
-        texts.join(spans, "key", "left")
-        .drop("key", "rank")
-        .mapInArrow(
-            cut_rows,
-            with_carried(
-                "doc_id long, n_words long, removed array<struct<low int, high int>>, kept string", texts
-            ),
-        )
+    more = ["text", "carried"] if carry else []
+    cut = texts.join(spans, "key", "left").select(
+        "doc_id", beside(cut_texts, CUT, "text", "spans").alias("cut"), *more
     )
+    return cut.select("doc_id", "cut.*", *more)

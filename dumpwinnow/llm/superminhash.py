@@ -27,6 +27,7 @@ from .rows import keyed, whole_groups
 from .scratch import written
 from .text import (
     LOWER,
+    SMALL_PORTION,
     SPACED,
     STEP,
     U64,
@@ -112,7 +113,7 @@ def sketch_rows(size: int, bands: int, rows: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in portions(batch["text"]):
+            for part in portions(batch["text"], SMALL_PORTION):
                 hashes, first = shingle_sets(part.data, part.offsets, size)
                 counts = np.diff(first)
                 sums = np.concatenate([[U64(0)], np.cumsum(mix(hashes))])
@@ -149,7 +150,7 @@ def set_rows(size: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in portions(batch["text"]):
+            for part in portions(batch["text"], SMALL_PORTION):
                 hashes, first = shingle_sets(part.data, part.offsets, size)
                 yield pa.RecordBatch.from_arrays(
                     [

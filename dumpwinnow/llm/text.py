@@ -81,6 +81,15 @@ def portions(column: pa.Array, limit: int = PORTION) -> Iterator[Portion]:
         low = high
 
 
+#: For work that holds many arrays beside the bytes; caches hold it better, too.
+SMALL_PORTION = 1 << 18
+
+
+def at_least_one(column: pa.Array, limit: int = SMALL_PORTION) -> list[Portion]:
+    """All portions of a column, an empty one where it has no rows."""
+    return list(portions(column, limit)) or [Portion(0, 0, *flat(column))]
+
+
 class Words(NamedTuple):
     """Begin and end byte of each word; row r has words first[r] to first[r + 1]."""
 

@@ -132,7 +132,39 @@ def test_records_are_plain_warc(spark, tmp_path):
     (tmp_path / "broken").mkdir()
     (tmp_path / "broken" / "a.warc").write_bytes(text.replace("x" * 1200, "y" * 1200).encode())
     with pytest.raises(Exception, match="does not match its digest"):
-        warc.read_archives(spark, str(tmp_path / "broken")).collect()
+        warc.read_headers(spark, str(tmp_path / "broken")).collect()
+
+
+def test_archives_are_read_as_a_stream(monkeypatch):
+    """Small pieces, several gzip members, plain files, and files that end too early."""
+    monkeypatch.setattr(warc, "READ_BYTES", 7)
+    block = "HTTP/1.1 200 OK\r\n\r\n"
+    record = lambda body: (
+        f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nWARC-Payload-Digest: "
+        f"sha1:{hashlib.sha1(body).hexdigest()}\r\nContent-Length: {len(block) + len(body)}\r\n\r\n{block}"
+    ).encode() + body + b"\r\n\r\n"
+    bodies = [b"", b"WARC/1.1\r\n\r\n" * 9, b"\xff\x00" * 50, b"x" * 300]
+    whole = b"".join(map(record, bodies))
+    for content in (whole, gzip.compress(whole), b"".join(gzip.compress(record(b)) for b in bodies)):
+        archive, found = warc.Archive(content), []
+        while not archive.ended():
+            found.append(warc.next_record(archive, len(found))["payload"])
+        assert found == bodies
+    for cut in (len(whole) - 1, len(whole) - 200, 20):
+        archive = warc.Archive(gzip.compress(whole[:cut]))
+        with pytest.raises(ValueError, match="record"):
+            while not archive.ended():
+                warc.next_record(archive, 0)
+
+
+def test_files_hold_so_many_records_as_their_size_allows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 50_000)
+    pages = spark.range(120).selectExpr("id AS page_id", "'http://a/' AS url", "repeat(string(id), 4000) AS html")
+    _, fresh = warc.archive(pages.coalesce(1), str(tmp_path))
+    files = sorted((tmp_path / "deduplicated").glob("part-*"))
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in files]
+    assert len(files) > 5 and max(sizes) < 100_000
+    assert warc.read_headers(spark, fresh).count() == 120
 
 
 def test_shards_are_even_and_keep_copies_together(spark, edge, empty):

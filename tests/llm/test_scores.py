@@ -106,6 +106,36 @@ def test_attention_gradients_are_those_of_the_loss():
         assert slope[place] == pytest.approx((sides[0] - sides[1]) / 2e-5, abs=1e-6)
 
 
+def test_attention_forward_pass_as_plain_loops():
+    """Passage by passage and number by number, as the formulas read."""
+    draw = np.random.default_rng(2)
+    x, first = draw.normal(0, 4, size=(9, 5)), [0, 2, 3, 9]
+    model = {
+        "mean": draw.normal(size=5), "spread": draw.uniform(0.5, 2, size=5), "W": draw.normal(size=(5, 4)),
+        "b": draw.normal(size=4), "V": draw.normal(size=(4, 3)), "U": draw.normal(size=(4, 3)),
+        "w": draw.normal(size=3), "c": draw.normal(size=4), "d": draw.normal(size=1),
+    }
+    logistic = lambda v: 1 / (1 + math.exp(-v))
+    want = []
+    for low, high in zip(first, first[1:], strict=False):
+        hidden, votes = [], []
+        for passage in x[low:high]:
+            inputs = [
+                max(-6.0, min(6.0, (v - m) / s)) for v, m, s in zip(passage, model["mean"], model["spread"], strict=True)
+            ]
+            e = [max(0.0, sum(v * w[j] for v, w in zip(inputs, model["W"], strict=True)) + model["b"][j]) for j in range(4)]
+            vote = 0.0
+            for a in range(3):
+                t = math.tanh(sum(e[j] * model["V"][j, a] for j in range(4)))
+                g = logistic(sum(e[j] * model["U"][j, a] for j in range(4)))
+                vote += t * g * model["w"][a]
+            hidden.append(e)
+            votes.append(math.exp(vote))
+        z = [sum(v * e[j] for v, e in zip(votes, hidden, strict=True)) / sum(votes) for j in range(4)]
+        want.append(logistic(sum(z[j] * model["c"][j] for j in range(4)) + model["d"][0]))
+    assert mil.forward(model, x, np.array(first))["p"] == pytest.approx(want, rel=1e-9)
+
+
 def test_trees_learn_and_stay_monotone():
     draw = np.random.default_rng(3)
     x = draw.uniform(size=(3000, 3))
