@@ -128,14 +128,18 @@ SELECT * FROM negatives WHERE rank <= 3"""
 SUFFIXES = """
 WITH raw AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (  -- 400 bytes each, with the 400 that follow
+    SELECT doc_id, n, k, substr(h, 800 * k + 1, 1600) AS block
+    FROM (SELECT *, strlen(h) // 2 AS n, unnest(range(0, strlen(h) // 800 + 1)) AS k FROM raw)),
 bytes AS (
-    SELECT doc_id, h, strlen(h) // 2 AS n, unnest(range(1, strlen(h) // 2 + 1)) AS i FROM raw),
+    SELECT doc_id, n, 400 * k + j AS i, block, j
+    FROM (SELECT *, unnest(range(0, 400)) AS j FROM blocks) WHERE 400 * k + j < n),
 starts AS (
-    SELECT doc_id, i, md5(substr(h, 2 * i - 1, 800)) AS w FROM bytes WHERE i + 399 <= n),
+    SELECT doc_id, i, md5(substr(block, 2 * j + 1, 800)) AS w FROM bytes WHERE i + 400 <= n),
 again AS (SELECT w FROM starts GROUP BY w HAVING count(*) > 1),
 hit AS (SELECT doc_id, i, 1 AS hit FROM starts JOIN again USING (w)),
 marked AS (
-    SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS b,
+    SELECT doc_id, i, substr(block, 2 * j + 1, 2) AS b,
            coalesce(max(hit) OVER (
                PARTITION BY doc_id ORDER BY i ROWS BETWEEN 399 PRECEDING AND CURRENT ROW), 0) AS gone
     FROM bytes LEFT JOIN hit USING (doc_id, i)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -42,6 +43,27 @@ def keyed(docs: DataFrame, doc_id: str, text: str, carry: bool = False) -> DataF
     return rows.select(F.xxhash64("doc_id", "text").alias("key"), *rows.columns)
 
 
+def release() -> None:
+    """Give back to the system what this worker has freed but still holds.
+
+    Workers outlive their tasks, and what idle ones keep counts against an executor's memory.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
+def releasing(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The task, which releases memory when it is done."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        release()
+
+    return run
+
+
 def beside(task: Callable, columns: str, *inputs: str) -> Column:
     """A struct column that a task computes from input columns.
 
@@ -50,7 +72,7 @@ def beside(task: Callable, columns: str, *inputs: str) -> Column:
     where there are several inputs, to an iterator of struct arrays of the same lengths.  It is
     marked as nondeterministic, so that a filter on its result does not compute it once more.
     """
-    made = F.arrow_udf(task, StructType.fromDDL(columns), F.ArrowUDFType.SCALAR_ITER)
+    made = F.arrow_udf(releasing(task), StructType.fromDDL(columns), F.ArrowUDFType.SCALAR_ITER)
     return made.asNondeterministic()(*inputs)
 
 

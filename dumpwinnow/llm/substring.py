@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import beside, keyed, struct_of
+from .rows import beside, keyed, releasing, struct_of
 from .scratch import written
 from .text import (
     Portion,
@@ -150,7 +150,7 @@ def repeated_spans(texts: DataFrame, size: int, core: int) -> DataFrame:
     # written, so that an anchor of many runs can be split when runs are joined to it
     seen = written(
         texts.select("rank", "text")
-        .mapInArrow(core_rows(size, core), "core long, rank long")
+        .mapInArrow(releasing(core_rows(size, core)), "core long, rank long")
         .groupBy("core")
         .agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
         .where("first < last")
@@ -159,7 +159,7 @@ def repeated_spans(texts: DataFrame, size: int, core: int) -> DataFrame:
     runs = written(
         texts.select("key", "rank", "text")
         .mapInArrow(
-            run_rows(size, core), "core long, whole long, key long, rank long, low int, high int"
+            releasing(run_rows(size, core)), "core long, whole long, key long, rank long, low int, high int"
         )
         .join(seen, "core", "left_semi")
     )

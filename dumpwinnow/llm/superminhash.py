@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .rows import keyed, whole_groups
+from .rows import keyed, releasing, whole_groups
 from .scratch import written
 from .text import (
     LOWER,
@@ -46,6 +46,9 @@ BANDS = 40
 ROWS = 6
 #: Nodes of a bucket that one task compares with each other.
 BLOCK = 1024
+#: Pairs compared at a time by their signatures, and bytes of sets compared at a time.
+PAIRS = 1 << 14
+PAIR_BYTES = 4 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,8 +200,8 @@ def likely_pairs(group: dict[str, np.ndarray], percent: int, least: int):
         # of two different chunks only pairs across; of one chunk each pair once
         open_ &= (side[x, None] < side) | ((side[x, None] == side) & (group["same"][0] & (x[:, None] < place)))
         i, j = np.nonzero(open_)
-        for part in range(0, len(i), 1 << 17):
-            a, b = x[i[part : part + (1 << 17)]], j[part : part + (1 << 17)]
+        for part in range(0, len(i), PAIRS):
+            a, b = x[i[part : part + PAIRS]], j[part : part + PAIRS]
             near = (brief[a] == brief[b]).sum(axis=1) >= least
             a, b = a[near], b[near]
             first = np.ones(len(a), bool)
@@ -251,7 +254,7 @@ def link_rows(percent: int, least: int, slots: int):
             held = np.zeros((len(lists), int(shingle.max(initial=0)) // 8 + 1), np.uint8)
             np.bitwise_or.at(held, (row, shingle // 8), np.uint8(1) << (shingle % 8).astype(np.uint8))
             n, root, node = group["n"], group["root"], table["node"].to_numpy()
-            step = max(1, (16 << 20) // held.shape[1])
+            step = max(1, PAIR_BYTES // held.shape[1])
             for a, b in likely_pairs(group, percent, least):
                 for part in range(0, len(a), step):
                     x, y = a[part : part + step], b[part : part + step]
@@ -319,11 +322,11 @@ def find_links(
     blocks = in_blocks(held).join(sketches, "node")
     blocks = blocks.withColumn("earlier", F.slice("bands", F.lit(1), F.col("band"))).drop("bands")
     likely = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(
-        open_rows(percent, least, slots), BLOCK_ROWS
+        releasing(open_rows(percent, least, slots)), BLOCK_ROWS
     )
     compared = likely.join(sets.select("node", "members"), "node")
     found = compared.repartition("block").sortWithinPartitions("block").mapInArrow(
-        link_rows(percent, least, slots), "a long, b long"
+        releasing(link_rows(percent, least, slots)), "a long, b long"
     )
     return components(links.unionByName(written(found)))
 
@@ -351,7 +354,7 @@ def near_duplicates(
     texts = keyed(docs, doc_id, text)
     sketches = written(
         texts.select("doc_id", "key", "text").mapInArrow(
-            sketch_rows(shingle, bands, rows),
+            releasing(sketch_rows(shingle, bands, rows)),
             "doc_id long, key long, n_shingles long, node long, bands array<long>, brief binary",
         )
     )
@@ -377,7 +380,7 @@ def near_duplicates(
         .join(asked, "key")
         .dropDuplicates(["key"])
         .select("node", "text")
-        .mapInArrow(set_rows(shingle), "node long, members array<long>")
+        .mapInArrow(releasing(set_rows(shingle)), "node long, members array<long>")
     )
     roots = find_links(buckets, sets, nodes.select("node", "brief", "bands"), percent, bands * rows)
     placed = with_root(nodes.select("node", "id"), roots)
