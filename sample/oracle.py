@@ -140,6 +140,27 @@ def _build() -> str:
         UNION ALL SELECT 'ledger', 'analyze', {columns}"""
 
 
+def _groups() -> str:
+    listed = " ".join(f"WHEN '{s.table}' THEN '{s.source}'" for s in LOADED_TABLES)
+    return f"""
+        SELECT CASE "table" {listed} END AS source, count(*) AS tables,
+               CAST(sum(rows) AS BIGINT) AS rows, 0 AS shared
+        FROM ({_sizes("")}) GROUP BY 1"""
+
+
+def _reset() -> str:
+    parts = []
+    for table in ("mb_area", "mb_artist", "mb_tag"):
+        parts.append(f"SELECT 'filled' AS part, '{table}' AS name, count(*) AS rows FROM {table}")
+        parts.append(f"SELECT 'again', '{table}', 0")
+        parts.append(f"SELECT 'held', '{table}', count(*) FROM {table}")
+    for spec in ALL_TABLES:
+        names = ", ".join(c.name for c in spec.columns)
+        parts.append(f"SELECT 'columns', '{spec.table}: {names}', {len(spec.columns)}")
+        parts.append(f"SELECT 'dropped', '{spec.table}', 1")
+    return "\nUNION ALL\n".join([*parts, "SELECT 'left', 'other', 1"])
+
+
 def _restarted() -> str:
     """Tables of missing dump files are empty; nothing but themselves depends on them."""
 
@@ -361,6 +382,8 @@ def all_oracles() -> dict[str, str]:
             FROM documents""",
         "build_from_files": _kept(_build()),
         "build_restarted": _kept(_restarted()),
+        "source_groups": _catalog(_groups()),
+        "catalog_reset": _catalog(_reset()),
         "reload_tables": _catalog(_reloaded()),
         "integrity_loaded": _catalog(_integrity("")),
         "integrity_kept": _kept(_integrity("kept_")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -30,8 +31,22 @@ from dumpwinnow.plans.build import (
 from dumpwinnow.plans.rules import CATALOG_RULES
 from dumpwinnow.sources.dump import TOLERANT, parse_lines
 from dumpwinnow.sources.listing import latest_stamp, missing_names, shared_names, snapshot_stamps
-from dumpwinnow.sources.snapshots import Snapshot, SnapshotStore, scratch_snapshot
-from dumpwinnow.sources.specs import LOADED_TABLES, Column, TableSpec, spec_for
+from dumpwinnow.sources.snapshots import (
+    Snapshot,
+    SnapshotStore,
+    create_tables,
+    drop_tables,
+    fill_if_empty,
+    scratch_snapshot,
+)
+from dumpwinnow.sources.specs import (
+    ALL_TABLES,
+    LOADED_TABLES,
+    Column,
+    TableSpec,
+    sources,
+    spec_for,
+)
 from dumpwinnow.sources.views import publish_views
 from sample.catalog import catalog, catalog_table, dump_lines, library, read, run_sql
 
@@ -200,6 +215,26 @@ def source_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_names(documents.select("name"), present.select("name"))
 
 
+def source_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, tables, rows, shared) of each part of the dump; no name may be in both."""
+    sizes = quality.table_sizes(catalog(spark, sf_dir)).withColumnRenamed("table", "name")
+    of = {
+        source: spark.createDataFrame([(spec_for(f).table,) for f in sources(source)], "name string")
+        for source in ("core", "derived")
+    }
+    shared = shared_names(*of.values()).count()
+    parts = [
+        sizes.join(names, "name").agg(
+            F.lit(source).alias("source"),
+            F.count("*").alias("tables"),
+            F.sum("rows").alias("rows"),
+            F.lit(shared).cast("long").alias("shared"),
+        )
+        for source, names in of.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def source_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names sold under two brands: the groups ought not to share a name."""
     part = read(spark, sf_dir, "part")
@@ -459,6 +494,31 @@ def build_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalog_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog tables created, filled twice, listed, and dropped by their prefix.
+
+    Rows as (part, name, rows): rows of each filling, rows held, columns, tables dropped and left.
+    """
+    database = f"reset_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    create_tables(spark, database)
+    facts = []
+    for table in ("mb_area", "mb_artist", "mb_tag"):
+        name = f"{database}.{table}"
+        for part in ("filled", "again"):
+            done = fill_if_empty(name, catalog_table(spark, sf_dir, table))
+            facts.append((part, table, spark.table(name).count() if done else 0))
+        facts.append(("held", table, spark.table(name).count()))
+    for spec in ALL_TABLES:
+        columns = [c.name for c in spark.catalog.listColumns(f"{database}.{spec.table}")]
+        facts.append(("columns", f"{spec.table}: {', '.join(columns)}", len(columns)))
+    spark.sql(f"CREATE TABLE {database}.other (mb_x int) USING parquet")
+    facts += [("dropped", name, 1) for name in drop_tables(spark, database)]
+    facts += [("left", t.name, 1) for t in spark.catalog.listTables(database)]
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.createDataFrame(facts, "part string, name string, rows long")
+
+
 def reload_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load, the same load again, and a fresh load of a dump with other and bad lines.
 
@@ -758,6 +818,7 @@ PLAIN: tuple[Query, ...] = (
     snapshot_list,
     source_completeness,
     source_overlap,
+    source_groups,
     normalize_text,
     normalize_names,
     library_keys,
@@ -781,6 +842,7 @@ PLAIN: tuple[Query, ...] = (
     build_from_files,
     build_restarted,
     reload_tables,
+    catalog_reset,
     integrity_loaded,
     integrity_kept,
     column_profile,
