@@ -15,12 +15,22 @@ from dumpwinnow.llm.rows import carried_back, keyed
 from dumpwinnow.llm.scratch import written
 
 
+#: Rows of an Arrow batch in the pipeline's session.  Whole texts travel in batches, and Spark's
+#: default of 10,000 rows is some 30 MB of them, several times over in each task.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the fixed limits or the boosted trees reject.
 
     Null, empty and blank texts have too few words and go.  Repeated rows are judged alike, null
     ids like others; without labels of both kinds the fixed limits alone decide.
     """
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     judged = quality_rules.quality_rules(docs, labels, carry=True)
     return carried_back(judged.where("kept"), docs.schema, "text")
@@ -33,6 +43,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     words link with nothing and stay.  A null id gives way to any other of its group; a group of
     null ids alone stays.
     """
+    bound_batches(spark)
     found = superminhash.near_duplicates(docs, shingle=5, percent=80)
     keys = written(found.where("kept").select("key").distinct())
     return carried_back(
@@ -47,6 +58,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     and null ids come last.  A cut text is its words joined by one space, and n_chars follows.  A
     null text becomes an empty one; no row goes, even if all its words do.
     """
+    bound_batches(spark)
     cut = substring.remove_windows(docs, carry=True)
     shorter = cut.withColumn("text", F.when(F.size("removed") > 0, F.col("kept")).otherwise(F.col("text")))
     rows = carried_back(shorter, docs.schema, "text")
@@ -59,6 +71,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Texts without words are not contaminated and stay.  Each row is judged by itself, so repeated
     rows fare alike; items without words or with a null text occur nowhere.
     """
+    bound_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hits, _ = decontaminate.find_hits(docs, items, carry=True)
     found = decontaminate.hit_share(hits)
@@ -71,6 +84,7 @@ def in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no pieces; of paths with equal scores the one whose last pieces are
     longer comes first.
     """
+    bound_batches(spark)
     vocabulary = sentencepiece_nbest.shared_vocabulary(spark)
     encoded = sentencepiece_nbest.encode(docs, vocabulary)
     return sentencepiece_nbest.decode(encoded, vocabulary).select(
