@@ -154,6 +154,7 @@ def shard_documents(
 
     Counts of any two shards differ by one at most; slots run from 0 without gaps.  Null and
     empty texts are equal texts of size 16.  A group too large for a shard fills several.
+    Rows are numbered as they are read, so shards depend on how the table's files are split.
     Null and repeated ids are rows like any other.  Columns other than the two named are
     ignored.
     """

@@ -6,6 +6,7 @@ import os
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -202,6 +203,19 @@ def test_scores_are_inner_products():
         assert (hn.scores(hn.subset_sums(a.astype(kind)), hn.planes_of(b, planes)) == b @ a.T).all()
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+@pytest.mark.parametrize("name", ["op7_suffix_dedup", "op12_hard_negatives"])
+def test_query_equals_its_sql(spark, name):
+    connection = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    result = connection.execute(queries.all_oracles()[name])
+    columns = [d[0] for d in result.description]
+    rows = queries.all_queries()[name](spark, SF_DIR)
+    assert sorted(columns) == sorted(rows.columns)
+    assert sorted(map(tuple, rows.select(*columns).collect())) == sorted(map(tuple, result.fetchall()))
+
+
 def simhash_by_hand(text, size=3):
     ws = words(lower((text or "").encode()).decode())
     grams = [b" ".join(ws[i : i + size]) for i in range(max(1, len(ws) - size + 1))] if ws else []
