@@ -16,6 +16,10 @@ CHECKED = (
     "fk_orphan_keys",
     "ci_lookup",
     "fuzzy_title_lookup",
+    "changed_credits",
+    "key_lookup_few",
+    "catalog_reset",
+    "profile_merged",
 )
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
