@@ -8,9 +8,10 @@ fields, so payloads may hold any bytes, and only one record of a file is held at
 
 Revisit resolution shuffles headers alone, by payload digest: the largest page id of equal
 payloads of at least `least_bytes` keeps its response record, the others become revisit records
-without a payload that refer to it.  What was decided goes back to the files as a list of places
-for each, no longer than a file has records; payloads are unzipped once more and written anew, and
-never shuffled.
+without a payload that refer to it.  What was decided is a list of places for each file, no
+longer than the file has records.  It meets the zipped files in a join by path, for which Spark
+moves the lists where these are small and the files, still zipped, where they are not; payloads
+are unzipped in the task that writes them anew.
 """
 
 from __future__ import annotations
