@@ -8,8 +8,9 @@ would pair nearly everything with everything, are mostly never joined on at all.
 
 * Copies of a name are folded into one before anything is shuffled.
 * A leading trigram's row, a posting, has a name's number, its size, the trigram's place and a
-  bitmap of the set.  These bound what a pair can share; the sets themselves are joined back
-  only to pairs that pass, each once, and intersected.
+  bitmap of the set, in which the most frequent trigrams have a bit each.  These bound what a
+  pair can share, and where few trigrams make up most names, nearly exactly; the sets themselves
+  are joined back only to pairs that pass, each once, and intersected.
 * Trigrams that stay frequent are salted: their postings are spread over several tasks and the
   requests copied to each.
 * Postings can be stored in buckets of their trigrams; lookups then read them in place and
@@ -36,9 +37,13 @@ RANKED_TRIGRAMS = 1024
 # Names under one trigram that one task should have to hold.
 ROWS_PER_TASK = 1_000_000
 
-# 64-bit words in a set's parity bitmap.  Bits in which two bitmaps differ are at most the
-# trigrams in which the sets differ, which bounds what they can share.
-SIGNATURE_WORDS = 4
+# 64-bit words in a set's bitmap: the most frequent trigrams have a bit each in the first ones,
+# all others flip hashed bits of the last ones.  Bits in which two bitmaps differ are at most
+# the trigrams in which the sets differ, which bounds what they can share.  Compiled joins get
+# slow when these words, compared one by one, make a method too long to be compiled further.
+RANKED_WORDS = 8
+HASHED_WORDS = 4
+SIGNATURE_WORDS = RANKED_WORDS + HASHED_WORDS
 
 # Guards the integer bounds against binary fractions such as 0.1 * 3; a bound that comes
 # out too low only lets a pair through to the exact test.
@@ -49,7 +54,8 @@ SLACK = 1e-9
 class Postings:
     """Stored postings (slot, id, place, size, bitmap) of all names.
 
-    They serve lookups at ``threshold`` or above; ``rows_per_task`` fixed their salts.
+    They serve lookups at ``threshold`` or above; ``rows_per_task`` fixed their salts.  Postings
+    with other bitmaps, as an earlier version stored them, serve none.
     """
 
     rows: DataFrame
@@ -145,11 +151,22 @@ def _salts(frequent: tuple[tuple[int, int], ...], rows_per_task: int) -> str:
     return _case(groups, 1)
 
 
+def _bits(frequent: tuple[tuple[int, int], ...]) -> Column:
+    """The bit of the set's bitmap that each of ``grams`` flips."""
+    ranked = ", ".join(f"{code}L" for code, _ in frequent[: 64 * RANKED_WORDS])
+    ranks = f"CAST(array({ranked}) AS array<bigint>)"
+    return F.expr(
+        f"transform(transform(grams, g -> named_struct('g', g, 'rank', array_position({ranks}, g))), "
+        "s -> CAST(CASE WHEN s.rank > 0 THEN s.rank - 1 "
+        f"ELSE {64 * RANKED_WORDS} + pmod(xxhash64(s.g), {64 * HASHED_WORDS}) END AS int))"
+    )
+
+
 def _signature(word: int) -> Column:
     """One 64-bit word of the set's parity bitmap: every trigram flips one bit."""
     return F.expr(
-        f"aggregate(filter(grams, g -> pmod(xxhash64(g), {SIGNATURE_WORDS}) = {word}), 0L, "
-        "(bits, g) -> bits ^ shiftleft(1L, cast(pmod(xxhash64(g) >> 8, 64) AS int)))"
+        f"aggregate(filter(flipped, b -> b DIV 64 = {word}), 0L, "
+        "(bits, b) -> bits ^ shiftleft(1L, b % 64))"
     )
 
 
@@ -176,8 +193,8 @@ def _leading(
         F.xxhash64("name_key").alias("id"),
         F.coalesce(_in_order(frequent), no_grams).alias("grams"),
         F.coalesce(F.size("grams"), F.lit(0)).alias("size"),
-        *words,
-    )
+        _bits(frequent).alias("flipped"),
+    ).select("id", "grams", "size", *words)
     leading = F.posexplode_outer(F.slice("grams", 1, _lead(F.col("size"), threshold)))
     return (
         sets.select("*", leading.alias("place", "g"))
@@ -219,8 +236,36 @@ def similar_names(
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
+    pairs = candidate_pairs(requests, index, threshold, rows_per_task)
+    # names that share a number, if any do, are all judged by their sets
+    one = requests.select(
+        F.xxhash64("name_key").alias("r_id"),
+        F.col("name_key").alias("request_key"),
+        F.col("grams").alias("r_grams"),
+    )
+    two = index.names.select(F.xxhash64("name_key").alias("id"), "name_key", "grams")
+    both = (F.size("r_grams") + F.size("grams")).alias("both")
+    shared = once(F.size(F.array_intersect("r_grams", "grams"))).alias("shared")
+    score = (F.col("shared") / (F.col("both") - F.col("shared"))).alias("similarity")
+    return (
+        pairs.join(two, "id")
+        .join(one, "r_id")
+        .select("request_key", "name_key", both, shared)
+        .select("request_key", "name_key", score)
+        .filter(F.col("similarity") >= threshold)
+    )
+
+
+def candidate_pairs(
+    requests: DataFrame, index: NameIndex, threshold: float, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """(r_id, id) of the pairs that sizes, places and bitmaps do not rule out, each once."""
     stored = index.postings
-    if stored is not None and threshold >= stored.threshold:
+    if (
+        stored is not None
+        and threshold >= stored.threshold
+        and set(POSTING) <= set(stored.rows.columns)
+    ):
         held, rows_per_task = stored.rows, stored.rows_per_task
         if threshold > stored.threshold:
             held = held.filter(F.col("place") < _lead(F.col("size"), threshold))
@@ -237,7 +282,7 @@ def similar_names(
         F.bit_count(F.col(f"r_bits{word}").bitwiseXOR(F.col(f"bits{word}")))
         for word in range(SIGNATURE_WORDS)
     )
-    pairs = (
+    return (
         asked.join(
             held,
             (F.col("r_slot") == F.col("slot"))
@@ -247,23 +292,6 @@ def similar_names(
         .select("r_id", "id")
         .distinct()
     )
-    # names that share a number, if any do, are all judged by their sets
-    one = requests.select(
-        F.xxhash64("name_key").alias("r_id"),
-        F.col("name_key").alias("request_key"),
-        F.col("grams").alias("r_grams"),
-    )
-    two = index.names.select(F.xxhash64("name_key").alias("id"), "name_key", "grams")
-    both = (F.size("r_grams") + F.size("grams")).alias("both")
-    shared = once(F.size(F.array_intersect("r_grams", "grams"))).alias("shared")
-    score = (F.col("shared") / (F.col("both") - F.col("shared"))).alias("similarity")
-    return (
-        pairs.join(two, "id")
-        .join(one, "r_id")
-        .select("request_key", "name_key", both, shared)
-        .select("request_key", "name_key", score)
-        .filter(F.col("similarity") >= threshold)
-    )
 
 
 def fuzzy_lookup(

@@ -52,7 +52,7 @@ SCHEMA, IMPORT, FILTER, INDEXES, ANALYZE = STEPS = (
 LEDGER_SCHEMA = "step string, rows long, rejects long, seconds double, completed_at timestamp"
 IMPORT_SCHEMA = "table string, rows long, rejects long"
 INDEX_SCHEMA = "buckets int, threshold double, rows_per_task long"
-# Names whose postings share a bucket: some 20 postings of 60 bytes each.
+# Names whose postings share a bucket: some 20 postings of 130 bytes each.
 BUCKET_NAMES = 100_000
 KEPT_SCHEMA = "table string, rows long, seconds double"
 

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from dumpwinnow.operators import lookup
 from dumpwinnow.operators.fuzzy import (
+    POSTING,
     NameIndex,
+    Postings,
+    candidate_pairs,
     distinct_names,
     fuzzy_lookup,
     index_names,
@@ -246,6 +249,33 @@ def test_stored_postings_are_not_shuffled(spark, tmp_path):
     assert {(r[0], r[1]): round(r[2], 9) for r in lower} == brute(requests, names, 0.2)
 
 
+def long_names(n, seed):
+    """Names of some 45 trigrams each, all from the same few syllables."""
+    chosen = random.Random(seed)
+    parts = ["re", "lou", "tion", "ea", "ment", "ois", "qu", "sch", "ver", "er", "nd", "th"]
+    word = lambda: "".join(chosen.choices(parts, k=chosen.randint(1, 3)))
+    return list({" ".join(word() for _ in range(9)) for _ in range(n)})
+
+
+def test_few_unlike_pairs_leave_the_join(spark):
+    """What is shuffled after the join grows with the result, not with all pairs."""
+    names = long_names(400, 7)
+    index = index_names(spark.createDataFrame([(n,) for n in names], "name string"))
+    wanted = brute(names, names, 0.45)
+    passed = candidate_pairs(index.names, index, 0.45)
+    assert 400 < len(wanted) <= passed.count() < 2 * len(wanted)
+    pairs = similar_names(index.names, index, 0.45).collect()
+    assert {(r[0], r[1]): round(r[2], 9) for r in pairs} == wanted
+
+
+def test_postings_of_an_earlier_version_are_made_again(spark):
+    names = random_names(60, 8)
+    index = index_names(spark.createDataFrame([(n,) for n in names], "name string"))
+    old = spark.createDataFrame([], ", ".join(f"{c} long" for c in POSTING[:8]))
+    pairs = similar_names(index.names, NameIndex(index.names, index.frequent, Postings(old)))
+    assert {(r[0], r[1]): round(r[2], 9) for r in pairs.collect()} == brute(names, names, 0.3)
+
+
 def test_threshold_is_checked(spark):
     with pytest.raises(ValueError, match="threshold"):
         similar_names(None, NameIndex(None, ()), 0)
