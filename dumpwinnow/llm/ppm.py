@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rows import released, releasing
 from .scratch import written
 from .text import LOWER, U64, Words, find_words, portions, signed, word_hashes
 
@@ -39,7 +40,7 @@ WORD = 1 << 62
 #: The end of a text as a word.
 STOP = WORD
 #: Distinct keys that a counting task holds before it passes them on.
-HELD = 3_000_000
+HELD = 2_000_000
 
 
 def pair_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,7 +260,7 @@ def score_texts(
     blocks = 1 + size // block_bytes
     counts = written(
         rows.select("text", (~F.col("held_out")).alias("train"))
-        .mapInArrow(count_rows, "key long, n long")
+        .mapInArrow(releasing(count_rows), "key long, n long")
         .groupBy("key")
         .agg(F.sum("n").alias("n"))
     )
@@ -278,13 +279,16 @@ def score_texts(
     dealt = written(
         rows.select(F.pmod(place, F.lit(blocks)).alias("block"), "doc_id", "held_out", "text")
     ).repartition("block")
-    asked = dealt.groupBy("block").applyInArrow(distinct_keys, "block long, key long")
+    asked = dealt.groupBy("block").applyInArrow(
+        lambda block: released(distinct_keys(block)), "block long, key long"
+    )
+    score = score_rows(tokens, distinct)
     answers = asked.join(values, "key").select("block", "key", "value")
     scored = (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
-            score_rows(tokens, distinct),
+            lambda texts, values: released(score(texts, values)),
             "doc_id long, held_out boolean, n_tokens long, n_known long, "
             "base_score double, score double",
         )

@@ -6,6 +6,7 @@ import sys
 from collections import Counter
 
 import corpus_pipeline
+from dumpwinnow.llm import rows as rows_module
 from dumpwinnow.llm import ppm, simhash, substring, suffix_dedup
 from dumpwinnow.llm.scratch import written
 from tests.llm.conftest import EDGE
@@ -94,3 +95,11 @@ def test_equal_rows_are_scored_in_many_groups(spark, monkeypatch):
     rows = ppm.score_texts(docs, block_bytes=2000).collect()
     assert len(rows) == 3000 and len({r["score"] for r in rows}) == 1
     assert sizes.value >= 20 and most.value >= 3000
+
+
+def test_every_scoring_task_releases_its_memory(spark, monkeypatch):
+    done = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(rows_module, "release", lambda: done.add(1))
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('some short text ', id) AS text")
+    assert ppm.score_texts(docs.repartition(3), block_bytes=20_000).count() == 3000
+    assert done.value >= 3 + 2 * 2  # of counting, and two of each block
