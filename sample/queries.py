@@ -596,25 +596,38 @@ def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
             for c in track.columns
         ]
     )
-    values = track.select(F.inline(entries)).join(F.broadcast(found), "column")  # one row a column
-    number, n = F.col("v").try_cast("double"), F.count("v")
+    # values are counted before they are ranked, so that no row carries what is known of its column
+    values = track.select(F.inline(entries)).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    shares = (0.25, 0.5, 0.75)
+    quantiles = [F.get("quantiles", F.lit(k)).alias(f"q{k}") for k in range(len(shares))]
+    ranked = values.join(F.broadcast(found.select("column", *quantiles)), "column")
+    number = F.col("v").try_cast("double")
+
+    def rows_of(condition: Expression) -> Expression:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    counted = ranked.groupBy("column").agg(
+        F.count("v").alias("exact"),
+        rows_of(F.col("v").isNotNull()).alias("n"),
+        *[rows_of(number < F.col(f"q{k}")).alias(f"below{k}") for k in range(len(shares))],
+        *[rows_of(number <= F.col(f"q{k}")).alias(f"upto{k}") for k in range(len(shares))],
+    )
 
     def off(k: int, share: float) -> Expression:
         """How far the wanted rank is from the ranks that the quantile has."""
-        quantile = F.get("quantiles", F.lit(k))
-        low, high = (F.count_if(c) / n for c in (number < quantile, number <= quantile))
+        low, high = (F.col(f"{side}{k}") / F.col("n") for side in ("below", "upto"))
         return F.greatest(F.lit(0.0), low - share, share - high)
 
-    near = [F.any_value("quantiles").isNull() | (off(k, s) <= 0.03) for k, s in enumerate((0.25, 0.5, 0.75))]
-    exact, distinct = F.count_distinct("v"), F.any_value("distinct")
-    return values.groupBy("column").agg(
-        F.any_value("rows").alias("rows"),
-        F.any_value("nulls").alias("nulls"),
-        exact.alias("exact"),
-        (F.abs(distinct - exact) * 20 <= exact).alias("close"),
+    near = [F.col("quantiles").isNull() | (off(k, s) <= 0.03) for k, s in enumerate(shares)]
+    return counted.join(F.broadcast(found), "column").select(
+        "column",
+        "rows",
+        "nulls",
+        "exact",
+        (F.abs(F.col("distinct") - F.col("exact")) * 20 <= F.col("exact")).alias("close"),
         reduce(lambda x, y: x & y, near).alias("near"),
-        F.any_value("low").alias("low"),
-        F.any_value("high").alias("high"),
+        "low",
+        "high",
     )
 
 

@@ -57,3 +57,16 @@ def test_query_equals_its_counterpart(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_profiled_values_are_counted_without_sorting_them(spark, tmp_path):
+    rows = [(k, 1 + k % 3, None if k == 5 else k % 4, "R", 100.0 + k) for k in range(200)]
+    columns = "l_orderkey long, l_linenumber int, l_suppkey long, l_returnflag string, l_extendedprice double"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = entry.queries()["profile_merged"](spark, str(tmp_path))
+    by_column = {r["column"]: r for r in found.collect()}
+    # profiles are of the rows with a medium
+    assert [by_column["recording"][k] for k in ("rows", "nulls", "exact", "near")] == [199, 0, 200, True]
+    assert [by_column["medium"][k] for k in ("rows", "nulls", "exact", "near")] == [199, 0, 4, True]
+    assert [by_column["name"][k] for k in ("exact", "close", "near")] == [3, True, True]
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
