@@ -14,7 +14,7 @@ from dumpwinnow.functions.copytext import (
 )
 from dumpwinnow.sources.dump import STRICT, TOLERANT, load_all, load_table, parse_lines, read_lines
 from dumpwinnow.sources.listing import latest_stamp, missing_files
-from dumpwinnow.sources.specs import Column, TableSpec, spec_for
+from dumpwinnow.sources.specs import LOADED_TABLES, Column, TableSpec, spec_for
 from tests.fixture_rows import FIRST, FIRST_LOADED, write_dump
 
 PAIR = TableSpec("pair", "pair", (Column("id", "int", 0), Column("text", "text", 1)), ("id",))
@@ -240,3 +240,35 @@ def test_fields_are_decoded_once_under_a_join(spark):
         plan = joined._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("regexp_extract_all") == 1
         assert [r["body"] for r in joined.collect()] == ["a"]
+
+
+@pytest.mark.parametrize("mode", [STRICT, TOLERANT])
+def test_parsing_is_made_of_methods_that_the_machine_compiles(spark, mode):
+    """A method of 8,000 bytes or more is interpreted, several times slower."""
+    lines = spark.range(1).select(F.col("id").cast("string").alias("value"))
+    for spec in LOADED_TABLES:
+        plan = parse_lines(lines, spec, mode).lines._jdf.queryExecution()
+        parts = plan.debug().codegenToSeq()
+        sizes = [parts.apply(k)._3().maxMethodCodeSize() for k in range(parts.length())]
+        assert sizes and max(sizes) < 8000, spec.table
+
+
+def test_the_first_problem_of_a_line_is_told(spark):
+    spec = TableSpec(
+        "t",
+        "t",
+        (Column("id", "int", 0), Column("n", "int", 1), Column("body", "text", 2, required=True)),
+        ("id",),
+    )
+    lines = lines_of(
+        spark, "1\t\\N\ta", "x\ty\t\\N", "1\ty\t\\N", "1\t2\t\\N", "\\N\ty\ta", "1\t\\061\tb\\x41", "1\t\\062\t\\N"
+    )
+    parsed = parse_lines(lines, spec, TOLERANT)
+    assert sorted(tuple(r) for r in parsed.rows.fillna(0).collect()) == [(1, 0, "a"), (1, 1, "bA")]
+    assert {r["line"]: r["reason"] for r in parsed.rejects.collect()} == {
+        "x\ty\t\\N": "bad value: id",
+        "1\ty\t\\N": "bad value: n",
+        "1\t2\t\\N": "missing value: body",
+        "\\N\ty\ta": "missing value: id",
+        "1\t\\062\t\\N": "missing value: body",
+    }
