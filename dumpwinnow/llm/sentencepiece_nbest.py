@@ -25,6 +25,7 @@ import math
 import re
 from array import array
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .rows import by_value, quoted, value_of
-from .text import STEP, U64
+from .rows import by_value, quoted, releasing, value_of
+from .text import STEP, U64, expand, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 #: Units whose result a task remembers; beyond it the memory starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 600_000
+#: Units whose N best paths a task remembers.
+REMEMBERED_PATHS = 150_000
 SPACE = "▁"
 #: White space that ends a unit and is one itself, where no longer piece holds it.
 BREAKS = "\t\n\x0b\f\r"
@@ -51,7 +54,7 @@ Edge = tuple[int, int, bytes]  # begin, score, ids
 
 
 def text_digest(text: str) -> int:
-    """64-bit polynomial of the code points, as `analysed_together` computes it for columns."""
+    """64-bit polynomial of the code points, as `analysed_codes` computes it for columns."""
     digest = 0
     for char in text:
         digest = (digest * STEP + ord(char) + 1) % (1 << 64)
@@ -111,8 +114,7 @@ class Vocabulary:
         self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
         longer = set().union(*[p for p in pieces if len(p) > 1])
         lone = "".join(c for c in BREAKS if c not in longer)
-        breaks = f"|[{lone}]" if lone else ""
-        self.unit = re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+{breaks}")
+        self.breaks = np.array([ord(c) for c in lone], np.uint32)
         self.longest = max(map(len, pieces), default=1)
         self.table = PrefixTable(pieces)
 
@@ -120,6 +122,18 @@ class Vocabulary:
         """Byte pieces of a character that is no piece."""
         return array("i", [self.bytes_ids[b] for b in char.encode("utf-8", "surrogatepass")]).tobytes()
 
+    def begins(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where the units of texts begin: a text, a break, what follows it, marks after others."""
+        fresh = np.zeros(len(codes) + 1, bool)
+        if self.splits:
+            mark = codes == ord(SPACE)
+            fresh[1:-1] = mark[1:] & ~mark[:-1]
+            low = np.flatnonzero(codes <= ord(max(BREAKS)))
+            low = low[np.isin(codes[low], self.breaks)]
+            fresh[low] = fresh[low + 1] = True
+        fresh[offsets] = True
+        return np.flatnonzero(fresh[:-1])
+
     def edges(self, text: str) -> list[list[Edge]]:
         """For each node the edges that end there."""
         n = len(text)
@@ -235,89 +249,104 @@ def analysed(vocabulary: Vocabulary, unit: str) -> tuple[bytes, int, int]:
     return b"".join(steps), best[n], best[n] - second if second > -NONE else NONE
 
 
-def analysed_together(vocabulary: Vocabulary, units: list[str]) -> list[tuple[bytes, int, int] | None]:
-    """`analysed` for many units of one length at once; None where a character is no piece."""
-    count, n = len(units), len(units[0])
+class Analysed(NamedTuple):
+    """Best paths of some units: their ids end to end, pieces of each, score, loss of the second best."""
+
+    ids: np.ndarray
+    pieces: np.ndarray
+    scores: np.ndarray
+    losses: np.ndarray
+
+    def where(self, some: np.ndarray) -> Analysed:
+        return Analysed(self.ids[np.repeat(some, self.pieces)], *[column[some] for column in self[1:]])
+
+
+def analysed_codes(vocabulary: Vocabulary, codes: np.ndarray) -> tuple[Analysed, np.ndarray]:
+    """`analysed` for a column of code points for each unit, and where a character is no piece.
+
+    The ids of the latter units hold -1.  Each node keeps the two best scores of reaching it, so
+    one pass forward tells the best path and the second.
+    """
+    n, count = codes.shape
     width = min(n, vocabulary.longest)
-    codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(count, n).T.astype(U64)
     worst = -(1 << 60)
-    rows = np.arange(count)
-    # by begin and length: the units that have such a piece (None: taken as all), its scores
-    scores: list[list[tuple[np.ndarray | None, np.ndarray] | None]] = [[None] * width for _ in range(n)]
-    ids = np.full((n, width, count), -1, np.int32)
+    best, second = np.full((n + 1, count), worst), np.full((n + 1, count), worst)
+    # by node: where the best path's last edge begins, and its piece
+    last, piece = np.zeros((n + 1, count), np.int64), np.full((n + 1, count), -1, np.int32)
+    best[0] = 0
     table = vocabulary.table
+    raised = codes + U64(1)
+    rows = np.arange(count)
     for i in range(n):
         live, digest = rows, np.zeros(count, U64)
         for k in range(min(width, n - i)):
-            digest = digest * U64(STEP) + (codes[i + k, live] + U64(1))
+            digest = digest * U64(STEP) + raised[i + k, live]
             place = table.look_up(digest)
-            ids[i, k, live] = table.ids[place]
-            whole = np.flatnonzero(table.ids[place] >= 0)
-            having, own = live[whole], table.scores[place[whole]]
-            if k == 0 or len(whole) * 4 > count:
-                dense = np.full(count, worst, np.int64)
-                dense[having] = own
-                having, own = None, dense
-            if having is None or len(having):
-                scores[i][k] = (having, own)
+            ids = table.ids[place]
             if k == 0:
-                unknown = ids[i, 0] < 0
+                own = table.scores[place]
+                unknown = np.flatnonzero(ids < 0)
                 own[unknown] = vocabulary.unknown
-                unknown &= codes[i] < U64(128)  # one byte, one id
-                ids[i, 0, unknown] = vocabulary.byte_pieces[codes[i, unknown].astype(np.int64)]
-            stay = place < table.absent
+                unknown = unknown[codes[i, unknown] < U64(128)]  # one byte, one id
+                ids[unknown] = vocabulary.byte_pieces[codes[i, unknown].astype(np.int64)]
+                having = rows
+            else:
+                whole = np.flatnonzero(ids >= 0)
+                having, ids, own = live[whole], ids[whole], table.scores[place[whole]]
+            j = i + k + 1
+            if len(having):
+                reached, held = best[i][having] + own, best[j][having]
+                behind = np.maximum(second[j][having], second[i][having] + own)
+                second[j][having] = np.maximum(behind, np.minimum(reached, held))
+                better = np.flatnonzero(reached > held)
+                having = having[better]
+                best[j][having] = reached[better]
+                last[j][having] = i
+                piece[j][having] = ids[better]
+            stay = np.flatnonzero(place < table.absent)
             live, digest = live[stay], digest[stay]
             if not len(live):
                 break
-    best, last = np.full((n + 1, count), worst, np.int64), np.zeros((n + 1, count), np.int64)
-    best[0] = 0
-    for j in range(1, n + 1):
-        for i in range(max(0, j - width), j):
-            if scores[i][j - i - 1] is None:
-                continue
-            having, own = scores[i][j - i - 1]
-            if having is None:
-                reached = best[i] + own
-                better = reached > best[j]
-                np.copyto(best[j], reached, where=better)
-                np.copyto(last[j], i, where=better)
-            else:
-                reached = best[i, having] + own
-                better = reached > best[j, having]
-                having = having[better]
-                best[j, having] = reached[better]
-                last[j, having] = i
-    ends = np.zeros((n, count), np.int64)  # where the best path's piece from i ends, or 0
-    chosen = np.full((n, count), -1, np.int32)
-    node = np.full(count, n)
-    while node.any():
-        live = rows[node > 0]
-        begin = last[node[live], live]
-        ends[begin, live] = node[live]
-        chosen[begin, live] = ids[begin, node[live] - begin - 1, live]
-        node[live] = begin
-    ahead, second = np.full((n + 1, count), worst, np.int64), np.full(count, 2 * worst)
-    ahead[n] = 0
-    for i in range(n - 1, -1, -1):
-        for k in range(min(width, n - i)):
-            if scores[i][k] is None:
-                continue
-            having, own = scores[i][k]
-            some = slice(None) if having is None else having
-            rest = own + ahead[i + k + 1, some]
-            ahead[i, some] = np.maximum(ahead[i, some], rest)
-            rest += best[i, some]
-            rest[ends[i, some] == i + k + 1] = 2 * worst
-            second[some] = np.maximum(second[some], rest)
-    on_path = (ends > 0).T
-    flat_ids = chosen.T[on_path].tobytes()
-    cuts = np.concatenate([[0], np.cumsum(on_path.sum(axis=1) * 4)]).tolist()
-    spelled = (on_path & (chosen.T < 0)).any(axis=1).tolist()
-    loss = np.where(second > worst // 2, best[n] - second, NONE).tolist()
-    total = best[n].tolist()
-    return [
-        None if spelled[u] else (flat_ids[cuts[u] : cuts[u + 1]], total[u], loss[u]) for u in range(count)
-    ]
+    on_path = np.zeros((count, n), bool)
+    live, node = rows, np.full(count, n)
+    while len(live):
+        on_path[live, node - 1] = True
+        node = last[node, live]
+        live, node = live[node > 0], node[node > 0]
+    chosen = piece[1:].T
+    loss = np.where(second[n] > worst // 2, best[n] - second[n], NONE)
+    found = Analysed(chosen[on_path], on_path.sum(axis=1), best[n], loss)
+    return found, (on_path & (chosen < 0)).any(axis=1)
+
+
+def analysed_together(vocabulary: Vocabulary, units: list[str]) -> list[tuple[bytes, int, int] | None]:
+    """`analysed` for many units of one length at once; None where a character is no piece."""
+    codes = code_points("".join(units)).reshape(len(units), -1).T.astype(U64)
+    found, spelled = analysed_codes(vocabulary, codes)
+    cuts = np.cumsum(found.pieces)[:-1]
+    rows = zip(np.split(found.ids, cuts), found.scores.tolist(), found.losses.tolist(), spelled, strict=True)
+    return [None if alone else (ids.tobytes(), score, loss) for ids, score, loss, alone in rows]
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def unit_hashes(codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each unit, a character of all units at a time."""
+    size = (end - begin).astype(np.int16)
+    order = np.argsort(-size, kind="stable")
+    place = begin[order]
+    longer = len(order) - np.cumsum(np.bincount(size))  # by length
+    hashes = mix(size[order].astype(U64))
+    for k, count in enumerate(longer[:-1].tolist()):
+        some = hashes[:count]
+        some ^= codes[place[:count] + k]
+        some *= U64(STEP)
+        some ^= some >> U64(29)
+    found = np.empty_like(hashes)
+    found[order] = mix(hashes)
+    return found
 
 
 #: Longer units are analysed one by one, and others this many at a time.
@@ -325,6 +354,19 @@ LONG_UNIT = 24
 TOGETHER = 4096
 
 
+class Units(NamedTuple):
+    """Some texts with their marks, end to end: text r has units first[r] to first[r + 1]."""
+
+    marked: str
+    begin: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    number: np.ndarray
+
+    def unit(self, k: int) -> str:
+        return self.marked[self.begin[k] : self.end[k]]
+
+
 class Encoder:
     """Segments texts; remembers units."""
 
@@ -334,91 +376,147 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}  # number of each unit
-        self.ids: list[bytes] = []
-        self.values = np.zeros((3, 1024), np.int64)  # score, loss and pieces by number
-
-    def remember(self, units: list[str], found: list[tuple[bytes, int, int]]) -> None:
-        low, high = len(self.ids), len(self.ids) + len(units)
-        while high > self.values.shape[1]:
-            self.values = np.concatenate([self.values, np.zeros_like(self.values)], axis=1)
-        self.known.update(zip(units, range(low, high), strict=True))
-        self.ids.extend([f[0] for f in found])
-        self.values[0, low:high] = [f[1] for f in found]
-        self.values[1, low:high] = [f[2] for f in found]
-        self.values[2, low:high] = [len(f[0]) // 4 for f in found]
+        self.long: dict[str, int] = {}  # number of each long unit
+        # of the others by hash, in order
+        self.hashes, self.numbers = np.zeros(0, U64), np.zeros(0, np.int64)
+        # by number
+        self.known = Analysed(np.zeros(0, np.int32), *[np.zeros(0, np.int64)] * 3)
+        self.place = np.zeros(0, np.int64)  # where the ids begin
+
+    def remember(self, found: list[Analysed]) -> np.ndarray:
+        """Numbers given to units."""
+        low = len(self.known.pieces)
+        self.known = Analysed(*map(np.concatenate, zip(self.known, *found, strict=True)))
+        self.place = np.cumsum(self.known.pieces) - self.known.pieces
+        return np.arange(low, len(self.known.pieces))
+
+    def analysed(self, units: list[str]) -> Analysed:
+        """Units one by one."""
+        found = [analysed(self.vocabulary, unit) for unit in units]
+        ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
+        return Analysed(ids, *np.array([(len(f[0]) // 4, *f[1:]) for f in found], np.int64).reshape(-1, 3).T)
 
     def n_best(self, unit: str) -> list[tuple[int, bytes]]:
         """Score and ids of the unit's best paths."""
         found = self.paths_of.get(unit)
         if found is None:
-            if len(self.paths_of) >= REMEMBERED:
+            if len(self.paths_of) >= REMEMBERED_PATHS:
                 self.paths_of.clear()
             paths = best_paths(self.vocabulary.edges(unit), self.count)
             found = self.paths_of[unit] = [(s, b"".join([e[2] for e in steps])) for s, steps in paths]
         return found
 
-    def learn(self, texts: list[str]) -> list[list[str]]:
+    def learn(self, texts: list[str]) -> Units:
         """Units of some texts, of which new ones are analysed together."""
-        units_of = [self.units(text) for text in texts]
-        if len(self.known) >= REMEMBERED:
+        # a space mark in front, spaces as marks; nothing for an empty text
+        marked = "".join([SPACE + text for text in texts if text]).replace(" ", SPACE)
+        codes = code_points(marked)
+        offsets = np.cumsum([0, *[len(text) + 1 if text else 0 for text in texts]])
+        begin = self.vocabulary.begins(codes, offsets)
+        end = np.append(begin[1:], len(codes))
+        if len(self.known.pieces) >= REMEMBERED:
             self.forget()
-        new: dict[int, list[str]] = {}
-        alone = []
-        for unit in set().union(*units_of).difference(self.known):
-            if len(unit) <= LONG_UNIT and self.vocabulary.splits:
-                new.setdefault(len(unit), []).append(unit)
-            else:
-                alone.append(unit)
-        for same in new.values():
+        units = Units(marked, begin, end, np.searchsorted(begin, offsets), np.zeros(len(begin), np.int64))
+        long = (end - begin > LONG_UNIT) | (not self.vocabulary.splits)
+        self.number_long(units, np.flatnonzero(long))
+        self.number_short(units, np.flatnonzero(~long), codes)
+        return units
+
+    def number_long(self, units: Units, at: np.ndarray) -> None:
+        names = [units.unit(k) for k in at.tolist()]
+        new = list(set(names).difference(self.long))
+        if new:
+            self.long.update(zip(new, self.remember([self.analysed(new)]).tolist(), strict=True))
+        units.number[at] = [self.long[name] for name in names]
+
+    def number_short(self, units: Units, at: np.ndarray, codes: np.ndarray) -> None:
+        if not len(at):
+            return
+        hashes, which = np.unique(unit_hashes(codes, units.begin[at], units.end[at]), return_inverse=True)
+        found = np.searchsorted(self.hashes, hashes)
+        known = found < len(self.hashes)
+        known[known] = self.hashes[found[known]] == hashes[known]
+        numbers = np.zeros(len(hashes), np.int64)
+        numbers[known] = self.numbers[found[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            one = np.zeros(len(hashes), np.int64)
+            one[which] = at  # some unit of each hash
+            numbers[new] = self.analyse(units, one[new], codes)
+            every = np.concatenate([self.hashes, hashes[new]])
+            order = np.argsort(every, kind="stable")
+            self.hashes = every[order]
+            self.numbers = np.concatenate([self.numbers, numbers[new]])[order]
+        units.number[at] = numbers[which]
+
+    def analyse(self, units: Units, at: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Numbers of new short units."""
+        begin, size = units.begin[at], units.end[at] - units.begin[at]
+        found, rows, alone = [], [], []
+        for n in np.unique(size).tolist():
+            same = np.flatnonzero(size == n)
             for low in range(0, len(same), TOGETHER):
                 part = same[low : low + TOGETHER]
-                found = analysed_together(self.vocabulary, part)
-                alone += [unit for unit, f in zip(part, found, strict=True) if f is None]
-                good = [k for k, f in enumerate(found) if f is not None]
-                self.remember([part[k] for k in good], [found[k] for k in good])
-        self.remember(alone, [analysed(self.vocabulary, unit) for unit in alone])
-        return units_of
-
-    def units(self, text: str) -> list[str]:
-        """A space mark in front, spaces as marks; nothing for an empty text."""
-        if not text:
-            return []
-        marked = SPACE + text.replace(" ", SPACE)
-        return self.vocabulary.unit.findall(marked) if self.vocabulary.splits else [marked]
+                columns = codes[begin[part] + np.arange(n)[:, None]].astype(U64)
+                paths, spelled = analysed_codes(self.vocabulary, columns)
+                if spelled.any():
+                    alone.append(part[spelled])
+                    paths, part = paths.where(~spelled), part[~spelled]
+                found.append(paths)
+                rows.append(part)
+        if alone:
+            rows += alone
+            found.append(self.analysed([units.unit(k) for k in at[np.concatenate(alone)].tolist()]))
+        numbers = np.zeros(len(at), np.int64)
+        numbers[np.concatenate(rows)] = self.remember(found)
+        return numbers
 
     def encode(self, text: str) -> tuple[bytes, int, list[tuple[int, list[tuple[int, int, bytes]]]]]:
         """Ids and score of the best path; further paths as score and edits of the ids."""
-        return self.paths(self.learn([text])[0])
+        ids, _, scores, more = self.encode_all([text])
+        return ids.tobytes(), int(scores[0]), more[0]
 
-    def paths(self, units: list[str]) -> tuple[bytes, int, list[tuple[int, list[tuple[int, int, bytes]]]]]:
-        """The same for the units of a text, all of them learned.
+    def encode_all(
+        self, texts: list[str]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[tuple[int, list[tuple[int, int, bytes]]]]]]:
+        """Ids of all texts end to end, where each text's begin, scores, further paths.
 
         An edit (begin, end, ids) puts ids in place of those from begin to end.
         """
-        if not units:
-            return b"", 0, []
-        numbers = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
-        ids = b"".join(map(self.ids.__getitem__, numbers.tolist()))
-        scores, losses, pieces = self.values[:, numbers]
-        score = int(scores.sum())
-        chosen = smallest(losses, self.count - 1)
-        if not len(chosen):
-            return ids, score, []
-        places = (np.cumsum(pieces) - pieces)[chosen].tolist()
+        units = self.learn(texts)
+        low, pieces = self.place[units.number], self.known.pieces[units.number]
+        ids = self.known.ids[expand(low, low + pieces - 1)[0]]
+        ends = np.concatenate([[0], np.cumsum(pieces)])
+        scores = self.known.scores[units.number]
+        sums = np.concatenate([[0], np.cumsum(scores)])[units.first]
+        losses = self.known.losses[units.number]
+        more = []
+        for a, b in zip(units.first[:-1].tolist(), units.first[1:].tolist(), strict=True):
+            chosen = a + smallest(losses[a:b], self.count - 1)
+            more.append(self.further(units, chosen, ids, ends, a, scores) if len(chosen) else [])
+        totals = np.diff(sums)
+        for row, paths in enumerate(more):
+            more[row] = [(int(totals[row]) + gain, edits) for gain, edits in paths]
+        return ids, ends[units.first], totals, more
+
+    def further(
+        self, units: Units, chosen: np.ndarray, ids: np.ndarray, ends: np.ndarray, first: int, scores: np.ndarray
+    ) -> list[tuple[int, list[tuple[int, int, bytes]]]]:
+        """Gain in score and edits of a text's next best paths, which differ in the chosen units."""
         base = int(scores[chosen].sum())
-        own_ids = [self.ids[k] for k in numbers[chosen].tolist()]
+        own_ids = [ids[a:b].tobytes() for a, b in zip(ends[chosen].tolist(), ends[chosen + 1].tolist(), strict=True)]
+        places = (ends[chosen] - ends[first]).tolist()
         lattice: list[list[Edge]] = [[]]
         for place, k in enumerate(chosen.tolist()):
-            lattice.append([(place, s, found) for s, found in self.n_best(units[k])])
+            lattice.append([(place, s, found) for s, found in self.n_best(units.unit(k))])
         more = []
         for own, steps in best_paths(lattice, self.count)[1:]:
             edits = []
             for old, place, (_, _, new) in zip(own_ids, places, steps, strict=True):
                 if new != old:
                     edits.append((place, place + len(old) // 4, new))
-            more.append((score - base + own, edits))
-        return ids, score, more
+            more.append((own - base, edits))
+        return more
 
 
 def smallest(losses: np.ndarray, count: int) -> np.ndarray:
@@ -451,7 +549,7 @@ MORE = pa.list_(
     )
 )
 #: Texts turned into one batch of rows.
-ROWS = 1200
+ROWS = 800
 
 
 def numbers(ids: bytes) -> list[int]:
@@ -467,24 +565,22 @@ def encode_rows(shared: Broadcast, count: int):
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
                 texts = part["text"].to_pylist()
-                found = [encoder.paths(units) for units in encoder.learn(texts)]
-                ends = np.concatenate([[0], np.cumsum([len(f[0]) // 4 for f in found])])
-                ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
+                ids, ends, scores, found = encoder.encode_all(texts)
                 more = [
                     [
                         {
                             "score": s / MILLION,
                             "edits": [{"begin": a, "end": b, "ids": numbers(new)} for a, b, new in edits],
                         }
-                        for s, edits in f[2]
+                        for s, edits in paths
                     ]
-                    for f in found
+                    for paths in found
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"],
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
-                        pa.array([f[1] / MILLION for f in found]),
+                        pa.array(scores / MILLION),
                         pa.array(more, MORE),
                     ],
                     ["doc_id", "ids", "score", "more"],
@@ -534,10 +630,10 @@ def encode(
     rows = docs.select(
         F.col(quoted(doc_id)).alias("doc_id"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")
     )
-    return rows.mapInArrow(encode_rows(vocabulary, count), ENCODED)
+    return rows.mapInArrow(releasing(encode_rows(vocabulary, count)), ENCODED)
 
 
 def decode(encoded: DataFrame, vocabulary: Broadcast) -> DataFrame:
     """Add the text of column `ids` as `decoded`; null ids give an empty text."""
     columns = StructType([*encoded.schema, StructField("decoded", StringType())])
-    return encoded.mapInArrow(decode_rows(vocabulary), columns)
+    return encoded.mapInArrow(releasing(decode_rows(vocabulary)), columns)

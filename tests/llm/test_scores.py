@@ -248,6 +248,42 @@ def test_units_analysed_together_as_one_by_one(vocabulary):
             assert found == alone if found is not None or plain else True
 
 
+def test_units_met_again_are_not_analysed_again(vocabulary, monkeypatch):
+    """As in a task whose batches share more words than 150,000."""
+    looked_up = []
+    plain = vocabulary.table.look_up
+    monkeypatch.setattr(vocabulary.table, "look_up", lambda d: looked_up.append(len(d)) or plain(d), raising=False)
+    encoder = sp.Encoder(vocabulary, 2)
+    texts = [" ".join(f"{k:x}" for k in range(low, low + 40_000)) for low in range(0, 160_000, 40_000)]
+    for text in texts:
+        encoder.learn([text])
+    assert looked_up
+    looked_up.clear()
+    for text in texts:
+        encoder.learn([text])
+    assert not looked_up
+
+
+@pytest.mark.parametrize("pieces", [None, {"a": (0, -100), "b": (1, -200), "a▁": (2, -150), "▁": (3, -10), "\n": (4, -30)}])
+def test_texts_together_as_whole_lattices(vocabulary, pieces):
+    if pieces:
+        vocabulary = sp.Vocabulary(pieces, list(range(100, 356)), [])
+    draw = np.random.default_rng(6)
+    texts = ["", "\n", " ", "▁ a", "\n\n a\r b", "a" * 60 + " b", "a" * 60 + "\tb"]
+    texts += ["".join(draw.choice(list("aabthe  ▁\n\tñ漢"), n)) for n in range(1, 25)] * 2
+    encoder = sp.Encoder(vocabulary, 3)
+    ids, ends, scores, more = encoder.encode_all(texts)
+    for k, text in enumerate(texts):
+        own = ids[ends[k] : ends[k + 1]].tobytes()
+        assert (own, scores[k], more[k]) == sp.Encoder(vocabulary, 3).encode(text)
+        edges = vocabulary.edges(sp.SPACE + text.replace(" ", sp.SPACE)) if text else [[]]
+        want = sp.best_paths(edges, 4)
+        assert [scores[k], *[s for s, _ in more[k]]] == [s for s, _ in want[:3]]
+        if len(want) > 1 and want[0][0] > want[1][0]:
+            assert own == b"".join(e[2] for e in want[0][1])
+    assert encoder.encode_all([])[3] == []
+
+
 def test_encoding_edge_rows_round_trip(spark, edge, empty, vocabulary):
     shared = by_value(spark.sparkContext, vocabulary)
     rows = sp.decode(sp.encode(edge, shared), shared).collect()
