@@ -2,7 +2,9 @@ import logging
 import os
 import threading
 import time
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,8 +22,9 @@ from dumpwinnow.plans.build import (
     read_tables,
 )
 from dumpwinnow.plans.lease import LeaseHeld, exclusive
-from dumpwinnow.plans.steps import run_steps
+from dumpwinnow.plans.steps import FREE_SHUFFLES, freed_shuffles, run_steps
 from dumpwinnow.sources import dump as dump_source
+from dumpwinnow.sources.dump import load_table
 from dumpwinnow.sources.files import (
     create_new,
     path_exists,
@@ -37,8 +40,9 @@ from dumpwinnow.sources.snapshots import (
     drop_tables,
     fill_if_empty,
 )
-from dumpwinnow.sources.specs import ALL_TABLES
+from dumpwinnow.sources.specs import ALL_TABLES, spec_for
 from dumpwinnow.sources.views import publish_views, vacuum
+from sample.queries import _write_dump
 from tests.fixture_rows import (
     FIRST,
     FIRST_KEPT,
@@ -85,6 +89,63 @@ def test_full_build_and_publish(spark, tmp_path):
     assert counts(snapshot) == FIRST_KEPT
 
 
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(str(folder)) for folder in manager.localDirs()]
+    return {file.name for folder in folders for file in folder.glob("*/shuffle_*")}
+
+
+def test_build_frees_its_shuffle_files(spark, tmp_path):
+    setting = spark.conf.get(FREE_SHUFFLES)
+    dump, before = write_dump(tmp_path / "dump", FIRST), shuffle_files(spark)
+    build(spark, dump, str(tmp_path / "out"), "s", names(spark, FIRST_LIBRARY))
+    until = time.monotonic() + 5
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert shuffle_files(spark) - before == set()
+    assert spark.conf.get(FREE_SHUFFLES) == setting
+
+
+def test_side_by_side_work_puts_the_setting_back(spark):
+    setting = spark.conf.get(FREE_SHUFFLES)
+    with pytest.raises(RuntimeError), freed_shuffles(spark):
+        with freed_shuffles(spark):
+            assert spark.conf.get(FREE_SHUFFLES) == "true"
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+        raise RuntimeError
+    assert spark.conf.get(FREE_SHUFFLES) == setting
+
+
+def test_stored_tables_and_bloom_filters_are_small(spark, tmp_path):
+    target = Snapshot(spark, str(tmp_path))
+    rows = spark.range(1000).select(F.md5(F.col("id").cast("string")).alias("gid"))
+    target.write("plain", rows)
+    target.write_clustered("by_gid", rows, "gid", ["gid"], files=4)
+    target.write_buckets("buckets", rows, "gid", 2)
+    for table in ("plain", "by_gid", "buckets"):
+        files = list((tmp_path / table).glob("part-*"))
+        kinds = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+        assert kinds == {"ZSTD"}
+    # 250 values a file; a filter for a million values takes 1 MB
+    sizes = [file.stat().st_size for file in (tmp_path / "by_gid").glob("part-*")]
+    assert len(sizes) == 4 and max(sizes) < 20_000
+
+
+def test_dump_is_stored_zipped_and_read_as_it_was(spark, tmp_path):
+    rows = spark.range(500).select(
+        F.col("id").cast("int").alias("r_regionkey"),
+        F.concat(F.lit("a\\\tb\r"), "id").alias("r_name"),
+    )
+    rows.write.parquet(str(tmp_path / "region.parquet"))
+    others = tuple(s.table for s in ALL_TABLES if s.table != "mb_area_type")
+    dump = _write_dump(spark, str(tmp_path), str(tmp_path / "dump"), others)
+    files = list((tmp_path / "dump" / "area_type").glob("part-*"))
+    assert files and all(file.suffix == ".gz" for file in files)
+    parsed = load_table(spark, spec_for("mb_area_type"), dump, "tolerant")
+    assert sorted(map(tuple, parsed.rows.collect())) == sorted(map(tuple, rows.collect()))
+    assert parsed.rejects.isEmpty()
+
+
 def test_build_without_filter(spark, tmp_path):
     root, dump = str(tmp_path / "out"), write_dump(tmp_path / "dump", FIRST)
     with pytest.raises(ValueError, match="library"):

@@ -40,6 +40,27 @@ def test_every_kind_of_violation_is_reported(spark):
     }
 
 
+def test_parts_of_the_report_have_its_rows(spark):
+    tables = frames(spark, FIRST)
+    tag, track = tables["mb_artist_tag"], tables["mb_track"]
+    tables["mb_artist_tag"] = tag.unionAll(tag.limit(2)).unionAll(
+        tag.limit(1).withColumn("tag", F.lit(99)).withColumn("count", F.lit(None).cast("int"))
+    )
+    tables["mb_track"] = track.unionAll(track.withColumn("id", F.lit(None).cast("int"))).withColumn(
+        "medium", F.lit(-1)
+    )
+    tables["mb_gender"] = tables["mb_gender"].withColumn("id", F.concat(F.lit("g"), "id"))
+    rows = {name: table.count() for name, table in tables.items()}
+    whole = sorted(map(tuple, quality.integrity_report(tables, LOADED_TABLES).collect()))
+    assert sum(violations for *_, violations in whole) > 4
+    sizes = []
+    for part_values in (0, 20, 1000):
+        parts = quality.integrity_parts(tables, LOADED_TABLES, rows, part_values)
+        assert sorted(tuple(r) for part in parts for r in part.collect()) == whole
+        sizes.append(len(parts))
+    assert sizes[0] > sizes[1] > sizes[2] == 3
+
+
 def test_dropped_credit_of_a_kept_track_is_a_finding(spark):
     tables = frames(spark, FIRST)
     tables["mb_track"] = tables["mb_track"].withColumn("artist_credit", F.lit(400))
